@@ -28,13 +28,15 @@ def _entity(kind: str, iata: str, icao: str, name: str) -> Column:
     )
 
 
-_AIRLINE = _entity("airline", "airline_iata", "airline_icao", "airline_name")
-_DEPARTURE = _entity("airport", "dep_airport_iata", "dep_airport_icao", "dep_airport")
-_ARRIVAL = _entity("airport", "arr_airport_iata", "arr_airport_icao", "arr_airport")
+# kind, then the staging columns of the codes and the name
+_AIRLINE = ("airline", "airline_iata", "airline_icao", "airline_name")
+_DEPARTURE = ("airport", "dep_airport_iata", "dep_airport_icao", "dep_airport")
+_ARRIVAL = ("airport", "arr_airport_iata", "arr_airport_icao", "arr_airport")
 
 
-def _sighted(staging: DataFrame, entities: list[Column]) -> DataFrame:
-    rows = staging.select(F.explode(F.array(*entities)).alias("e"), "ingest_time").select(
+def _sighted(staging: DataFrame, parts: list[tuple[str, str, str, str]]) -> DataFrame:
+    entities = F.array(*[_entity(*part) for part in parts])
+    rows = staging.select(F.explode(entities).alias("e"), "ingest_time").select(
         "e.*", "ingest_time"
     )
     return sightings(rows, ["kind", *_ENTITY], "ingest_time")
