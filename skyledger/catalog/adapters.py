@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.schemas import STAGING
-from skyledger.session import configure, scratch_dir
+from skyledger.session import configure
 
 # Orders before this day arrive with the first load, the others with the second.
 SECOND_LOAD = "1996-07-01"
@@ -18,17 +18,34 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ssxxx"
 
 
+# The columns of the given tables.
+TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+    "props string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the scan has fewer splits, as one small file has.
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: columnar, with known size."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    A large input has more splits than cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -49,7 +66,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One envelope per event, as struct columns. Signups lack an airline; errors lack a name."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     ts = F.col("ts").cast("timestamp")
     kind = F.col("event_type")
     number = F.get_json_object("props", "$.k")
@@ -100,7 +117,7 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page text per event with two records: the event, and a live twin with the scheduled
     time at another offset and the identifiers that the event type leaves."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     ts = F.col("ts").cast("timestamp")
     kind = F.col("event_type")
     user = F.col("user_id").cast("string")
@@ -176,7 +193,7 @@ def order_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     dep = ports.select(*[F.col(c).alias(f"dep_{c}") for c in ports.columns])
     arr = ports.select(*[F.col(c).alias(f"arr_{c}") for c in ports.columns])
     o = (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(dep, F.col("dep_supp") == F.col("dep_s_suppkey"), "left")

@@ -13,7 +13,6 @@ from skyledger.catalog.adapters import (
     event_pages,
     order_staging,
     portable,
-    stored,
     table,
 )
 from skyledger.functions import (
@@ -47,7 +46,7 @@ from skyledger.schemas import (
     STAGED,
     STAGING,
 )
-from skyledger.session import configure, scratch_dir
+from skyledger.session import configure, materialize, scratch_dir
 from skyledger.sources.connect import read_messages
 from skyledger.sources.store import Warehouse
 from skyledger.streaming.ingest import staging_sink, start_ingest
@@ -298,21 +297,21 @@ def _no_rows(spark: SparkSession, schema) -> DataFrame:
 
 @query
 def dim_airline_merge(spark, sf_dir):
-    staging = stored(order_staging(spark, sf_dir), "staging")
+    staging = materialize(order_staging(spark, sf_dir))
     dim = _no_rows(spark, DIM_AIRLINE)
     for batch in (1, 2):
-        dim = stored(dims.merge_airlines(dim, _seen(staging, batch, "airline")), "dim_airline")
+        dim = materialize(dims.merge_airlines(dim, _seen(staging, batch, "airline")))
     return dim
 
 
 def _first_airports(spark: SparkSession, staging: DataFrame) -> DataFrame:
     dim, _ = dims.merge_airports(_no_rows(spark, DIM_AIRPORT), _seen(staging, 1, "airport"))
-    return stored(dim, "dim_airport")
+    return materialize(dim)
 
 
 @query
 def airport_upsert_iata(spark, sf_dir):
-    staging = stored(order_staging(spark, sf_dir), "staging")
+    staging = materialize(order_staging(spark, sf_dir))
     dim = _first_airports(spark, staging)
     seen = _seen(staging, 2, "airport").withColumnRenamed("name", "airport_name")
     accepted, _ = dims.resolve_airports(dim, seen)
@@ -321,14 +320,14 @@ def airport_upsert_iata(spark, sf_dir):
 
 @query
 def airport_upsert_icao(spark, sf_dir):
-    staging = stored(order_staging(spark, sf_dir), "staging")
+    staging = materialize(order_staging(spark, sf_dir))
     dim = _first_airports(spark, staging)
     return dims.merge_airports(dim, _seen(staging, 2, "airport"))[0]
 
 
 @query
 def airport_quarantine(spark, sf_dir):
-    staging = stored(order_staging(spark, sf_dir), "staging")
+    staging = materialize(order_staging(spark, sf_dir))
     dim = _first_airports(spark, staging)
     return dims.merge_airports(dim, _seen(staging, 2, "airport"))[1]
 
@@ -349,13 +348,13 @@ def _airlines(rows: DataFrame) -> DataFrame:
 
 @query
 def route_pairs(spark, sf_dir):
-    staging = stored(order_staging(spark, sf_dir), "staging")
+    staging = materialize(order_staging(spark, sf_dir))
     return dims.route_pairs(staging, _airports(staging))
 
 
 @query
 def route_insert_ignore(spark, sf_dir):
-    staging = stored(order_staging(spark, sf_dir), "staging")
+    staging = materialize(order_staging(spark, sf_dir))
     airports = _airports(staging)
     routes = _no_rows(spark, DIM_ROUTE)
     for batch in (1, 2):
@@ -369,11 +368,11 @@ def route_insert_ignore(spark, sf_dir):
 
 def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Staging and dimensions of one load, with plain airport matching."""
-    staging = stored(order_staging(spark, sf_dir), "staging")
-    airports = stored(_airports(staging), "dim_airport")
-    airlines = stored(_airlines(staging), "dim_airline")
+    staging = materialize(order_staging(spark, sf_dir))
+    airports = materialize(_airports(staging))
+    airlines = materialize(_airlines(staging))
     pairs = dims.route_pairs(staging, airports)
-    routes = stored(dims.merge_routes(_no_rows(spark, DIM_ROUTE), pairs), "dim_route")
+    routes = materialize(dims.merge_routes(_no_rows(spark, DIM_ROUTE), pairs))
     return staging, airlines, routes, airports
 
 
@@ -389,13 +388,13 @@ def fact_enrich(spark, sf_dir):
 @query
 def fact_enrich_icao(spark, sf_dir):
     """As ``fact_enrich``, with routes for airports known by ICAO code only."""
-    staging = stored(order_staging(spark, sf_dir), "staging")
+    staging = materialize(order_staging(spark, sf_dir))
     codes = dims.airport_candidates(staging, "icao").groupBy("icao").agg(
         F.max("iata").alias("iata"), F.max("airport_name").alias("airport_name")
     )
-    airports = stored(assign_ids(codes, "airport_id", ["icao"]), "dim_airport")
+    airports = materialize(assign_ids(codes, "airport_id", ["icao"]))
     pairs = dims.route_pairs(staging, airports, icao_fallback=True)
-    routes = stored(dims.merge_routes(_no_rows(spark, DIM_ROUTE), pairs), "dim_route")
+    routes = materialize(dims.merge_routes(_no_rows(spark, DIM_ROUTE), pairs))
     numbered = staging.withColumn("flight_key", F.col("flight_number"))
     return enrich(numbered, _airlines(staging), routes, airports, icao_fallback=True).select(
         "flight_key", "airline_id", "route_id"
@@ -447,7 +446,7 @@ def export_gate(spark, sf_dir):
 def _fact(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[DataFrame]]:
     staging, airlines, routes, airports = _star(spark, sf_dir)
     fact = enrich(latest_status(staging), airlines, routes, airports)
-    return stored(fact, "fact"), [airlines, routes, airports]
+    return materialize(fact), [airlines, routes, airports]
 
 
 @query
@@ -477,11 +476,10 @@ def warehouse_load(spark, sf_dir):
     """Two loads through the store, then the export frame of the published tables."""
     root = scratch_dir(spark, "warehouse")
     house = Warehouse(spark, root)
-    rows = stored(
+    rows = materialize(
         order_staging(spark, sf_dir).withColumns(
             {"arr_eta_delta_min": F.lit(None).cast("double"), "partial_parse": F.lit(False)}
-        ),
-        "staging",
+        )
     )
     for batch in (1, 2):
         arrived = rows.where(F.col("batch_id") == batch).select(STAGED.fieldNames())

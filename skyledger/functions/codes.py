@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skyledger.functions.times import iso_utc
-
 
 def clean_code(text: Column) -> Column:
     """Strip spaces; nothing left means null."""
@@ -19,6 +17,9 @@ def flight_identifier(iata: Column, icao: Column, number: Column) -> Column:
     return F.coalesce(F.nullif(iata, empty), F.nullif(icao, empty), F.nullif(number, empty))
 
 
-def flight_key(iata: Column, icao: Column, number: Column, scheduled: Column) -> Column:
-    """``<identifier>_<departure time at UTC>``; null if either part is missing."""
-    return F.concat(flight_identifier(iata, icao, number), F.lit("_"), iso_utc(scheduled))
+def flight_key(iata: Column, icao: Column, number: Column, schedule: Column) -> Column:
+    """``<identifier>_<departure time>``; null if either part is missing.
+
+    The time is text as ``iso_utc`` gives it.
+    """
+    return F.concat(flight_identifier(iata, icao, number), F.lit("_"), schedule)

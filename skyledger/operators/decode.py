@@ -21,9 +21,10 @@ def parse_envelopes(df: DataFrame, column: str = "value") -> DataFrame:
     """
     text = df.select(F.col(column).cast("string").alias("raw"))
     options = {"columnNameOfCorruptRecord": _CORRUPT}
-    return text.select("raw", F.from_json("raw", _PARSE_SCHEMA, options).alias("r")).select(
-        "raw", "r.*"
-    )
+    parsed = F.from_json("raw", _PARSE_SCHEMA, options)
+    # as a generator the parse runs once per message: filters on its fields would otherwise be
+    # pushed below it together with copies of it
+    return text.select("raw", F.explode(F.array(parsed)).alias("r")).select("raw", "r.*")
 
 
 def _stop_columns(side: str, prefix: str) -> list[Column]:

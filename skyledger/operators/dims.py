@@ -73,7 +73,6 @@ def unknown_airports(candidates: DataFrame, dim_airport: DataFrame) -> DataFrame
 
 def _with_ids(pool: DataFrame, dim: DataFrame, column: str, order: list[str]) -> DataFrame:
     """Number the rows that have no id yet; ids given before never change."""
-    pool = materialize(pool)
     new = assign_ids(
         pool.where(F.col(column).isNull()).drop(column), column, order, highest_id(dim, column)
     )
@@ -91,9 +90,8 @@ def merge_airlines(dim: DataFrame, seen: DataFrame) -> DataFrame:
     iata, icao = F.col("iata"), F.col("icao")
 
     by_iata = latest_non_null(seen, "iata", ["icao", "airline_name"], "seen")
-    pool = upsert_coalesce(dim, by_iata, ["iata"], ["icao", "airline_name"])
-    # read several times below
-    pool = materialize(pool)
+    # read by each of the steps below
+    pool = materialize(upsert_coalesce(dim, by_iata, ["iata"], ["icao", "airline_name"]))
 
     by_icao = latest_non_null(
         seen.where(iata.isNull()), "icao", ["airline_name"], "seen"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.operators.dims import route_names
-from skyledger.operators.joins import lookup_join
+from skyledger.operators.joins import lookup_join, measured_bytes
 from skyledger.schemas import EXPORT_COLUMNS
 
 _FACT_COLUMNS = [c for c in EXPORT_COLUMNS if not c.endswith("_name")]
@@ -27,9 +27,11 @@ def denormalize(
     rows = fact.select(*_FACT_COLUMNS, "airline_id", "route_id")
     airlines = dim_airline.select("airline_id", "airline_name")
     routes = route_names(dim_route, dim_airport)
+    sizes = measured_bytes(airlines, routes)
     spread = ["flight_key"]
-    named = lookup_join(rows, airlines, ["airline_id"], spread=spread)
-    return lookup_join(named, routes, ["route_id"], spread=spread).select(EXPORT_COLUMNS)
+    named = lookup_join(rows, airlines, ["airline_id"], spread=spread, size=sizes[0])
+    named = lookup_join(named, routes, ["route_id"], spread=spread, size=sizes[1])
+    return named.select(EXPORT_COLUMNS)
 
 
 def full_extract(

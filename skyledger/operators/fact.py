@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyledger.functions import clean_code
 from skyledger.operators.dims import end_code, route_lookup
 from skyledger.operators.fold import latest_per_key
-from skyledger.operators.joins import lookup_join
+from skyledger.operators.joins import lookup_join, measured_bytes
 from skyledger.schemas import FACT, TIMELINE
 
 FACT_INPUTS = [
@@ -34,7 +34,7 @@ def enrich(
     """Fact rows: staging rows with the ids of their airline and route, null where unknown.
 
     The route table is joined with its airports first, which leaves two joins on the large
-    side instead of four. Dimensions must be stored or checkpointed tables.
+    side instead of four. Dimensions must be stored tables.
     """
     coded = staging.withColumns(
         {
@@ -47,9 +47,12 @@ def enrich(
         F.col("iata").alias("airline_code"), "airline_id"
     )
     routes = route_lookup(dim_route, dim_airport, icao_fallback)
+    sizes = measured_bytes(airlines, routes)
     spread = ["flight_key"]
-    with_airline = lookup_join(coded, airlines, ["airline_code"], spread=spread)
-    with_route = lookup_join(with_airline, routes, ["dep_code", "arr_code"], spread=spread)
+    with_airline = lookup_join(coded, airlines, ["airline_code"], spread=spread, size=sizes[0])
+    with_route = lookup_join(
+        with_airline, routes, ["dep_code", "arr_code"], spread=spread, size=sizes[1]
+    )
     return with_route.select(FACT.fieldNames())
 
 

@@ -21,9 +21,14 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` by one distributed aggregate."""
-    return df.agg(F.sum(_row_bytes(df)).alias("bytes")).first()["bytes"] or 0
+def measured_bytes(*frames: DataFrame) -> list[int]:
+    """Size of each frame, by one distributed aggregate over all."""
+    sizes = [
+        df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"), F.lit(i).alias("frame"))
+        for i, df in enumerate(frames)
+    ]
+    found = reduce(DataFrame.unionAll, sizes).collect()
+    return [row["bytes"] for row in sorted(found, key=lambda row: row["frame"])]
 
 
 def lookup_join(
@@ -32,6 +37,7 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     spread: list[str] | None = None,
+    size: int | None = None,
     max_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -43,9 +49,11 @@ def lookup_join(
     key or a null that holds a large part of the rows is divided over ``salts`` tasks. Each row
     meets every lookup row of its key exactly once either way.
 
-    ``lookup`` is read once more for its size: pass a stored or checkpointed table.
+    The lookup is read once more for its size unless ``size`` brings it: pass a stored table.
     """
-    if measured_bytes(lookup) <= max_bytes:
+    if size is None:
+        [size] = measured_bytes(lookup)
+    if size <= max_bytes:
         return rows.join(F.broadcast(lookup), on, how)
     salt = F.pmod(F.xxhash64(*(spread or rows.columns)), F.lit(salts)).cast("int")
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

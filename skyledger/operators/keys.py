@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.session import materialize
 
 
-def highest_id(df: DataFrame, column: str) -> int:
-    return df.agg(F.max(column).alias("top")).first()["top"] or 0
+def highest_id(df: DataFrame, column: str) -> Column:
+    """Greatest id, 0 for no rows, as a scalar subquery."""
+    return df.agg(F.coalesce(F.max(column), F.lit(0)).alias("top")).scalar()
 
 
-def assign_ids(rows: DataFrame, column: str, order: list[str], start: int = 0) -> DataFrame:
+def assign_ids(
+    rows: DataFrame, column: str, order: list[str], start: Column | int = 0
+) -> DataFrame:
     """Number ``rows`` densely from ``start + 1`` in the order of the columns ``order``.
 
     ``order`` must identify a row. The rows are range partitioned and sorted inside their
@@ -36,7 +39,7 @@ def assign_ids(rows: DataFrame, column: str, order: list[str], start: int = 0) -
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    number = F.col("_offset") + F.col("_position") + F.lit(start + 1)
+    number = F.lit(start) + F.col("_offset") + F.col("_position") + F.lit(1)
     # one row per partition of the rows, which bounds the broadcast
     return placed.join(F.broadcast(offsets), "_part").select(
         number.cast("long").alias(column), *rows.columns

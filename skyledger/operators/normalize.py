@@ -23,6 +23,9 @@ def explode_pages(pages: DataFrame, status: str | None = LIVE_STATUS) -> DataFra
     return records.where(F.col("flight_status") == status)
 
 
+_SIDES = ("departure", "arrival")
+
+
 def _stop(side: str) -> Column:
     at = lambda name: F.col(f"{side}.{name}")
     return F.struct(
@@ -31,7 +34,7 @@ def _stop(side: str) -> Column:
         at("icao").alias("icao"),
         at("gate").alias("gate"),
         at("terminal").alias("terminal"),
-        iso_utc(at("scheduled")).alias("schedule"),
+        F.col(f"{side}_schedule").alias("schedule"),
         iso_utc(at("estimated")).alias("estimated"),
         iso_utc(at("actual")).alias("actual"),
         at("delay").alias("delay_min"),
@@ -47,11 +50,12 @@ def normalize_records(
     ``ingest_time`` is a timestamp, the time of the query where none is given.
     """
     stamp = F.current_timestamp() if ingest_time is None else ingest_time
-    envelope = records.select(
-        flight_key(
-            F.col("flight.iata"), F.col("flight.icao"), F.col("flight.number"),
-            F.col("departure.scheduled"),
-        ).alias("flight_key"),
+    timed = records.withColumns(
+        {f"{side}_schedule": iso_utc(F.col(f"{side}.scheduled")) for side in _SIDES}
+    )
+    identifiers = [F.col(f"flight.{name}") for name in ("iata", "icao", "number")]
+    envelope = timed.select(
+        flight_key(*identifiers, F.col("departure_schedule")).alias("flight_key"),
         F.col("flight_date"),
         F.col("flight_status").alias("status"),
         F.struct(
@@ -64,8 +68,7 @@ def normalize_records(
             F.col("flight.iata").alias("iata"),
             F.col("flight.icao").alias("icao"),
         ).alias("flight"),
-        _stop("departure"),
-        _stop("arrival"),
+        *[_stop(side) for side in _SIDES],
         F.date_format(stamp, KEY_TIME_FORMAT_MICROS).alias("ingest_time"),
         F.lit(source).alias("source"),
     )

@@ -39,9 +39,17 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def orphans(
-    child: DataFrame, foreign_key: str, parent: DataFrame, key: str, spread: list[str] | None = None
+    child: DataFrame,
+    foreign_key: str,
+    parent: DataFrame,
+    key: str,
+    spread: list[str] | None = None,
+    size: int | None = None,
 ) -> DataFrame:
-    """Child rows whose foreign key is set but has no parent row."""
+    """Child rows whose foreign key is set but has no parent row.
+
+    ``spread`` and ``size`` are those of ``lookup_join``, for the parent's keys.
+    """
     ids = parent.select(F.col(key).alias(foreign_key)).where(F.col(foreign_key).isNotNull())
     referring = child.where(F.col(foreign_key).isNotNull())
-    return lookup_join(referring, ids, [foreign_key], how="left_anti", spread=spread)
+    return lookup_join(referring, ids, [foreign_key], how="left_anti", spread=spread, size=size)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,10 @@ from skyledger.operators.dims import (
     route_pairs,
 )
 from skyledger.operators.fact import FACT_INPUTS, enrich, key_day, latest_status
+from skyledger.operators.joins import measured_bytes
 from skyledger.operators.quality import duplicates, orphans
 from skyledger.operators.upsert import upsert_overwrite
-from skyledger.session import materialize
+from skyledger.session import materialize, scratch_tables
 from skyledger.sources.store import Warehouse, add_to_ranges
 
 
@@ -24,34 +27,55 @@ class ConstraintViolation(RuntimeError):
     """New tables break a uniqueness or reference rule; nothing was published."""
 
 
-def _require_none(df: DataFrame, rule: str) -> None:
-    sample = df.take(1)
-    if sample:
-        raise ConstraintViolation(f"{rule}: {sample[0].asDict()}")
+def _violations(df: DataFrame, rule: str) -> DataFrame:
+    return df.select(F.lit(rule).alias("rule"), F.to_json(F.struct("*")).alias("row"))
+
 
+def _repeated(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    return _violations(duplicates(df, list(keys)), f"{name} is not unique on {', '.join(keys)}")
 
-def check_dimensions(airline: DataFrame, airport: DataFrame, route: DataFrame) -> None:
-    for table, name, keys in (
-        (airline, "dim_airline", ["airline_id"]),
-        (airline, "dim_airline", ["iata"]),
-        (airport, "dim_airport", ["airport_id"]),
-        (airport, "dim_airport", ["iata"]),
-        (airport, "dim_airport", ["icao"]),
-        (route, "dim_route", ["route_id"]),
-        (route, "dim_route", ["dep_airport_id", "arr_airport_id"]),
-    ):
-        _require_none(duplicates(table, keys), f"{name} is not unique on {', '.join(keys)}")
+
+def dimension_violations(airline: DataFrame, airport: DataFrame, route: DataFrame) -> DataFrame:
+    """Rows that break a rule of the dimensions: ``rule`` and the ``row`` as JSON."""
+    parts = [
+        _repeated(airline, "dim_airline", "airline_id"),
+        _repeated(airline, "dim_airline", "iata"),
+        _repeated(airport, "dim_airport", "airport_id"),
+        _repeated(airport, "dim_airport", "iata"),
+        _repeated(airport, "dim_airport", "icao"),
+        _repeated(route, "dim_route", "route_id"),
+        _repeated(route, "dim_route", "dep_airport_id", "arr_airport_id"),
+    ]
+    [size] = measured_bytes(airport.select("airport_id"))
     for end in ("dep_airport_id", "arr_airport_id"):
-        _require_none(orphans(route, end, airport, "airport_id"), f"dim_route.{end} unknown")
+        lost = orphans(route, end, airport, "airport_id", ["route_id"], size)
+        parts.append(_violations(lost, f"dim_route.{end} has no airport"))
+    return reduce(DataFrame.unionAll, parts)
 
 
-def check_fact(rows: DataFrame, airline: DataFrame, route: DataFrame) -> None:
+def fact_violations(rows: DataFrame, airline: DataFrame, route: DataFrame) -> DataFrame:
+    """As ``dimension_violations``, for the fact."""
+    sizes = measured_bytes(airline.select("airline_id"), route.select("route_id"))
     spread = ["flight_key"]
-    _require_none(
-        orphans(rows, "airline_id", airline, "airline_id", spread), "fact.airline_id unknown"
-    )
-    _require_none(orphans(rows, "route_id", route, "route_id", spread), "fact.route_id unknown")
-    _require_none(duplicates(rows, ["flight_key"]), "fact is not unique on flight_key")
+    columns = ["flight_key", "airline_id", "route_id"]
+    rows = rows.select(columns)
+    parts = [
+        _repeated(rows, "fact", "flight_key"),
+        _violations(
+            orphans(rows, "airline_id", airline, "airline_id", spread, sizes[0]),
+            "fact.airline_id has no airline",
+        ),
+        _violations(
+            orphans(rows, "route_id", route, "route_id", spread, sizes[1]),
+            "fact.route_id has no route",
+        ),
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def require_none(violations: DataFrame) -> None:
+    for row in violations.take(1):
+        raise ConstraintViolation(f"{row['rule']}: {row['row']}")
 
 
 def run_load(
@@ -73,6 +97,21 @@ def run_load(
     batches = house.pending_batches(old)
     if not batches:
         return old
+    with scratch_tables(spark):
+        manifest = _load_batches(house, old, batches, icao_fallback, newer_only, check)
+    house.manifests.publish(manifest)
+    return manifest
+
+
+def _load_batches(
+    house: Warehouse,
+    old: dict,
+    batches: list[int],
+    icao_fallback: bool,
+    newer_only: bool,
+    check: bool,
+) -> dict:
+    """Write the new snapshots; returns the manifest that names them."""
     version = old["version"] + 1
     load = house.new_load(version)
     staging = house.staging(batches)
@@ -106,8 +145,11 @@ def run_load(
     incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if check:
-            check_dimensions(airline, airport, route)
-            check_fact(incoming, airline, route)
+            require_none(
+                dimension_violations(airline, airport, route).unionAll(
+                    fact_violations(incoming, airline, route)
+                )
+            )
         touched = incoming.select(key_day(F.col("flight_key")).alias("day")).distinct()
         # bounded by the calendar and the number of key buckets
         days = [r["day"] for r in touched.collect()]
@@ -119,7 +161,7 @@ def run_load(
     finally:
         incoming.unpersist()
 
-    manifest = {
+    return {
         "version": version,
         "consumed": add_to_ranges(old["consumed"], batches),
         "dims": {
@@ -127,5 +169,3 @@ def run_load(
         },
         "fact": {**old["fact"], **entries},
     }
-    house.manifests.publish(manifest)
-    return manifest

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.sources.files import Folder
+
 # Runtime settings the operators rely on: UTC for every text/time conversion, ANSI so that
 # unexpected input fails instead of wrapping, AQE for skew splitting and partition sizing.
 SETTINGS = {
@@ -25,11 +30,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Fixed when a session starts: no Python call site is recorded for every column expression.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def build(app: str = "skyledger", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -58,10 +67,31 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and cut its lineage.
+    """Write ``df`` once as a table in the shared folder and read it back.
 
-    Survives the loss of executors, and fixes values that depend on the physical layout.
+    Cuts the lineage, survives the loss of executors, fixes values that depend on the physical
+    layout, and gives the planner the true size of what follows.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_dir(spark, "table")
+    written = _written.get()
+    if written is not None:
+        written.append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables that ``materialize`` writes inside when the block ends."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        for path in _written.get() or []:
+            Folder(spark, path).delete("")
+        _written.reset(token)
