@@ -12,7 +12,7 @@ def parse_schedule(text: Column) -> Column:
     """Whole-second ISO text with an offset, as in ``SCHEDULE_FORMAT``; a fraction gives null."""
     # parsing with a format raises an exception inside for each text that does not fit, which
     # is far slower than this test and the plain cast
-    return F.try_to_timestamp(F.when(text.rlike(SCHEDULE_SHAPE), text))
+    return F.try_to_timestamp(F.when(text.rlike(SCHEDULE_SHAPE), F.upper(text)))
 
 
 def parse_iso(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 # The formats of the feed.
 SCHEDULE_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
-SCHEDULE_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$"
+SCHEDULE_SHAPE = r"(?i)^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$"
 KEY_TIME_FORMAT_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 LIVE_STATUS = "active"
 FEED_SOURCE = "aviationstack"
