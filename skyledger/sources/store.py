@@ -175,3 +175,29 @@ class Warehouse:
     def max_ingest(manifest: dict) -> int | None:
         """Greatest stored ingest time in microseconds, from the manifest alone."""
         return max((e["max_ingest"] for e in manifest["fact"].values()), default=None)
+
+    # retention -------------------------------------------------------------------------------
+
+    def drop_old_snapshots(self, keep: int = 10) -> None:
+        """Delete manifests but the last ``keep``, and snapshots that no kept manifest names.
+
+        Snapshots of a load that has not published yet are left alone.
+        """
+        files = self.folder.glob("manifest/*.json")
+        kept = [self.folder.read_json(f) for f in files[-keep:]]
+        if not kept:
+            return
+        newest = kept[-1]["version"]
+        used = {f"{t}/load={load}" for m in kept for t, load in m["dims"].items()}
+        used |= {
+            f"fact/load={e['load']}/key_day={day}" for m in kept for day, e in m["fact"].items()
+        }
+        for file in files[:-keep]:
+            self.folder.delete(file)
+        stored = self.folder.glob("fact/load=*/key_day=*")
+        for table in (*DIMENSIONS, "quarantine"):
+            stored += self.folder.glob(f"{table}/load=*")
+        for path in stored:
+            version = int(path.split("load=")[1].split("-")[0])
+            if path not in used and version <= newest:
+                self.folder.delete(path)
