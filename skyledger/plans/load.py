@@ -19,7 +19,7 @@ from skyledger.operators.fact import FACT_INPUTS, enrich, key_day, latest_status
 from skyledger.operators.joins import measured_bytes
 from skyledger.operators.quality import duplicates, orphans
 from skyledger.operators.upsert import upsert_overwrite
-from skyledger.session import materialize, scratch_tables
+from skyledger.session import materialize, scratch_tables, together
 from skyledger.sources.store import Warehouse, add_to_ranges
 
 
@@ -118,19 +118,22 @@ def _load_batches(
 
     # staging is columnar and read with few columns each time, which is cheaper than caching it
     seen = materialize(entity_sightings(staging))
-    airline = house.write_dimension(
-        "dim_airline",
-        merge_airlines(
-            house.dimension("dim_airline", old),
-            seen.where(F.col("kind") == "airline").drop("kind"),
-        ),
-        load,
-    )
-    airports, quarantined = merge_airports(
-        house.dimension("dim_airport", old), seen.where(F.col("kind") == "airport").drop("kind")
-    )
-    airport = house.write_dimension("dim_airport", airports, load)
-    house.write_dimension("quarantine", quarantined, load)
+    kind = F.col("kind")
+
+    def load_airlines() -> DataFrame:
+        merged = merge_airlines(
+            house.dimension("dim_airline", old), seen.where(kind == "airline").drop("kind")
+        )
+        return house.write_dimension("dim_airline", merged, load)
+
+    def load_airports() -> DataFrame:
+        merged, quarantined = merge_airports(
+            house.dimension("dim_airport", old), seen.where(kind == "airport").drop("kind")
+        )
+        house.write_dimension("quarantine", quarantined, load)
+        return house.write_dimension("dim_airport", merged, load)
+
+    airline, airport = together(house.spark, load_airlines, load_airports)
     route = house.write_dimension(
         "dim_route",
         merge_routes(
@@ -144,20 +147,23 @@ def _load_batches(
     # read for the days, the match with stored keys and the result; recomputable from staging
     incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if check:
-            require_none(
-                dimension_violations(airline, airport, route).unionAll(
-                    fact_violations(incoming, airline, route)
-                )
-            )
         touched = incoming.select(key_day(F.col("flight_key")).alias("day")).distinct()
         # bounded by the calendar and the number of key buckets
         days = [r["day"] for r in touched.collect()]
-        stored = house.fact(old, days=days)
-        merged = upsert_overwrite(
-            stored, incoming, ["flight_key"], "ingest_time" if newer_only else None
-        )
-        entries = house.write_fact(merged, load)
+
+        def store_fact() -> dict:
+            stored = house.fact(old, days=days)
+            merged = upsert_overwrite(
+                stored, incoming, ["flight_key"], "ingest_time" if newer_only else None
+            )
+            return house.write_fact(merged, load)
+
+        def check_rules() -> None:
+            if check:
+                dimensions = dimension_violations(airline, airport, route)
+                require_none(dimensions.unionAll(fact_violations(incoming, airline, route)))
+
+        entries, _ = together(house.spark, store_fact, check_rules)
     finally:
         incoming.unpersist()
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.sources.files import Folder
@@ -95,3 +97,14 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
         for path in _written.get() or []:
             Folder(spark, path).delete("")
         _written.reset(token)
+
+
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run independent jobs at the same time, so one fills the cores another leaves idle.
+
+    Returns their results in order; waits for all before the first error is raised.
+    """
+    wrap = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        futures = [pool.submit(copy_context().run, wrap(job)) for job in jobs]
+    return [future.result() for future in futures]

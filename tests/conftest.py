@@ -1,3 +1,4 @@
+import os
 import sys
 from datetime import date, datetime, timezone
 from pathlib import Path
@@ -16,7 +17,12 @@ def spark():
     session = build(
         "tests",
         "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.showConsoleProgress": "false",
+            # on tiny tables most of the time would go into compiling generated code
+            "spark.sql.codegen.wholeStage": os.environ.get("TEST_CODEGEN", "false"),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
