@@ -288,7 +288,7 @@ def airport_icao_anti(spark, sf_dir):
 
 def _seen(staging: DataFrame, batch: int, kind: str) -> DataFrame:
     rows = staging.where(F.col("batch_id") == batch)
-    return dims.entity_sightings(rows).where(F.col("kind") == kind).drop("kind")
+    return materialize(dims.entity_sightings(rows).where(F.col("kind") == kind).drop("kind"))
 
 
 def _no_rows(spark: SparkSession, schema) -> DataFrame:
@@ -329,7 +329,8 @@ def airport_upsert_icao(spark, sf_dir):
 def airport_quarantine(spark, sf_dir):
     staging = materialize(order_staging(spark, sf_dir))
     dim = _first_airports(spark, staging)
-    return dims.merge_airports(dim, _seen(staging, 2, "airport"))[1]
+    seen = _seen(staging, 2, "airport").withColumnRenamed("name", "airport_name")
+    return dims.resolve_airports(dim, seen)[1]
 
 
 def _airports(rows: DataFrame) -> DataFrame:

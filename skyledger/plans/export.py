@@ -29,8 +29,9 @@ def export_full(
     manifest = house.manifest()
     if house.fact_rows(manifest) == 0:
         return 0
+    rows = house.fact(manifest) if limit is None else house.newest_departures(manifest, limit)
     counted = Observation()
-    frame = full_extract(house.fact(manifest), *_dimensions(house, manifest), limit)
+    frame = full_extract(rows, *_dimensions(house, manifest), limit)
     write_extract(frame.observe(counted, F.count(F.lit(1)).alias("rows")), path, fmt)
     return counted.get["rows"]
 

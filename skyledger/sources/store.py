@@ -127,17 +127,20 @@ class Warehouse:
             .write.partitionBy("key_day")
             .parquet(path)
         )
-        schema = T.StructType([FACT["ingest_time"], T.StructField("key_day", T.StringType())])
+        schema = T.StructType(
+            [FACT["ingest_time"], FACT["dep_scheduled"], T.StructField("key_day", T.StringType())]
+        )
         stored = self.spark.read.schema(schema).parquet(path)
         # one row per day of the load
         per_day = stored.groupBy("key_day").agg(
             F.count(F.lit(1)).alias("rows"),
+            F.count("dep_scheduled").alias("departures"),
             F.unix_micros(F.max("ingest_time")).alias("max_ingest"),
+            F.unix_micros(F.min("dep_scheduled")).alias("min_departure"),
+            F.unix_micros(F.max("dep_scheduled")).alias("max_departure"),
         )
-        return {
-            r["key_day"]: {"load": load, "rows": r["rows"], "max_ingest": r["max_ingest"]}
-            for r in per_day.collect()
-        }
+        entries = [r.asDict() for r in per_day.collect()]
+        return {e.pop("key_day"): {**e, "load": load} for e in entries}
 
     def fact(
         self,
@@ -167,6 +170,34 @@ class Warehouse:
         stored = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
         return stored.select(FACT.fieldNames())
 
+    def newest_departures(self, manifest: dict, limit: int) -> DataFrame:
+        """Fact rows that include the first ``limit`` by departure, unknown departures first.
+
+        The ranges of the days give a departure time that enough rows are not before; days and
+        files before it are not read.
+        """
+        entries = manifest["fact"]
+        missing = limit - sum(e["rows"] - e["departures"] for e in entries.values())
+        bound = None
+        known = [e for e in entries.values() if e["departures"]]
+        for entry in sorted(known, key=lambda e: e["min_departure"], reverse=True):
+            if missing <= 0:
+                break
+            missing -= entry["departures"]
+            bound = entry["min_departure"]
+        if missing > 0:
+            return self.fact(manifest)
+        departure = F.col("dep_scheduled")
+        wanted = departure.isNull()
+        if bound is not None:
+            wanted = wanted | (departure >= F.timestamp_micros(F.lit(bound)))
+        days = [
+            d
+            for d, e in entries.items()
+            if e["departures"] < e["rows"] or (bound is not None and e["max_departure"] >= bound)
+        ]
+        return self.fact(manifest, days=days).where(wanted)
+
     @staticmethod
     def fact_rows(manifest: dict) -> int:
         return sum(e["rows"] for e in manifest["fact"].values())

@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from conftest import at, tuples
 
+from skyledger.operators.export import newest_first
 from skyledger.plans import load as load_plan
 from skyledger.plans.export import export_delta, export_full
 from skyledger.plans.load import ConstraintViolation, run_load
@@ -253,6 +254,35 @@ def test_full_extract_is_ordered_and_limited(spark, house, stage, tmp_path):
         assert [line.split(",")[0] for line in lines] == expected
 
 
+def test_limited_extract_reads_the_newest_days_only(spark, house, stage):
+    rows = [
+        {**SAMPLE, "flight_key": f"F{d}{i}_2025-08-{d}T00:00:00+00:00",
+         "dep_scheduled": at(f"2025-08-{d} 0{i}:00")}
+        for d in range(10, 16) for i in range(4)
+    ]
+    late = {**SAMPLE, "flight_key": "L_2025-08-10T00:00:00+00:00",
+            "dep_scheduled": at("2025-08-20 00:00")}
+    stage(0, *rows, late)
+    manifest = run_load(spark, house.root)
+
+    def top(limit):
+        picked = house.newest_departures(manifest, limit)
+        keys = [r[0] for r in picked.orderBy(*newest_first()).limit(limit).select(
+            "flight_key").collect()]
+        return keys, picked.count()
+
+    ordered = [r[0] for r in house.fact(manifest).orderBy(*newest_first()).select(
+        "flight_key").collect()]
+    for limit in (1, 2, 5, 6, 24, 25, 99):
+        keys, read = top(limit)
+        assert keys == ordered[:limit]
+        assert read < 25 or limit >= 20
+    stage(1, {**rows[0], "dep_scheduled": None})
+    manifest = run_load(spark, house.root)
+    assert top(1) == ([rows[0]["flight_key"]], 1)
+    assert top(2) == ([rows[0]["flight_key"], late["flight_key"]], 6)
+
+
 def test_empty_warehouse_writes_nothing(spark, house, tmp_path):
     assert export_full(spark, house.root, str(tmp_path / "full")) == 0
     assert export_delta(spark, house.root, str(tmp_path / "delta")) == 0
