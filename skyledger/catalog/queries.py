@@ -46,7 +46,7 @@ from skyledger.schemas import (
     STAGED,
     STAGING,
 )
-from skyledger.session import configure, materialize, scratch_dir
+from skyledger.session import configure, materialize, scratch_dir, together
 from skyledger.sources.connect import read_messages
 from skyledger.sources.store import Warehouse
 from skyledger.streaming.ingest import staging_sink, start_ingest
@@ -370,8 +370,9 @@ def route_insert_ignore(spark, sf_dir):
 def _star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Staging and dimensions of one load, with plain airport matching."""
     staging = materialize(order_staging(spark, sf_dir))
-    airports = materialize(_airports(staging))
-    airlines = materialize(_airlines(staging))
+    airports, airlines = together(
+        spark, lambda: materialize(_airports(staging)), lambda: materialize(_airlines(staging))
+    )
     pairs = dims.route_pairs(staging, airports)
     routes = materialize(dims.merge_routes(_no_rows(spark, DIM_ROUTE), pairs))
     return staging, airlines, routes, airports

@@ -17,7 +17,9 @@ def parse_pages(df: DataFrame, column: str = "value") -> DataFrame:
 
 def explode_pages(pages: DataFrame, status: str | None = LIVE_STATUS) -> DataFrame:
     """One row per flight record; ``status`` keeps the records of that flight status only."""
-    records = pages.select(F.explode("data").alias("record")).select("record.*")
+    # the outer form infers no filter on the size of the array, which would repeat the parse
+    records = pages.select(F.explode_outer("data").alias("record"))
+    records = records.where(F.col("record").isNotNull()).select("record.*")
     if status is None:
         return records
     return records.where(F.col("flight_status") == status)
