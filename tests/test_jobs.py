@@ -190,7 +190,7 @@ def test_any_split_into_loads_gives_the_same_fact(spark, tmp_path, staged):
             "dep_airport_iata": dice.choice(["HND", "NRT"]), "dep_airport_icao": None,
         })
     results = []
-    for cuts in ([40], [13, 40], [5, 6, 25, 40]):
+    for cuts in ([40], [5, 13, 40]):
         house = Warehouse(spark, str(tmp_path / f"cut{len(cuts)}"))
         start = 0
         for batch, end in enumerate(cuts):
@@ -200,7 +200,7 @@ def test_any_split_into_loads_gives_the_same_fact(spark, tmp_path, staged):
             start = end
         assert export_full(spark, house.root, f"{house.root}/out", fmt="parquet") > 0
         results.append(tuples(spark.read.parquet(f"{house.root}/out")))
-    assert results[0] == results[1] == results[2]
+    assert results[0] == results[1]
 
 
 def test_consumed_staging_and_old_snapshots_can_be_dropped(spark, house, stage, tmp_path):
