@@ -5,10 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import line_dedup, mixing, sharding, weak_rules
+from skyledger.llm import (
+    cutting_stock,
+    licenses,
+    line_dedup,
+    mixing,
+    page_diff,
+    pairwise_quality,
+    sharding,
+    weak_rules,
+)
 from skyledger.llm.columns import table
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutting_stock.pack(table(spark, sf_dir, "documents"))
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairwise_quality.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_diff.extract_pages(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.char_length("text").cast("long"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_rules.score_rules(table(spark, sf_dir, "documents"))
 
@@ -34,9 +61,13 @@ def deduped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
+    "op3_packing": packing,
+    "op5_quality_classifier": quality_classifier,
     "op6_mixing": mixing_targets,
     "op8_sharding": sharded,
+    "op9_html_extraction": html_extraction,
     "op10_line_dedup": deduped_lines,
 }
 
