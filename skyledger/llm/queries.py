@@ -10,8 +10,10 @@ from skyledger.llm import (
     licenses,
     line_dedup,
     mixing,
+    ngram_join,
     page_diff,
     pairwise_quality,
+    projection_dedup,
     sharding,
     weak_rules,
 )
@@ -26,6 +28,14 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutting_stock.pack(table(spark, sf_dir, "documents"))
 
 
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_dedup.dedup_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_ngrams(table(spark, sf_dir, "documents"))
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairwise_quality.score_quality(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -64,8 +74,10 @@ QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
     "op3_packing": packing,
+    "op4_embedding_dedup": embedding_dedup,
     "op5_quality_classifier": quality_classifier,
     "op6_mixing": mixing_targets,
+    "op7_ngram_join": ngram_links,
     "op8_sharding": sharded,
     "op9_html_extraction": html_extraction,
     "op10_line_dedup": deduped_lines,
