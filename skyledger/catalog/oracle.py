@@ -162,21 +162,25 @@ dim_airline AS (
 )""",
 ]
 
-_ROUTE_LOOKUP = """LEFT JOIN dim_route r
-    ON r.dep_airport_id = (SELECT airport_id FROM dim_airport WHERE iata = x.dep_airport_iata)
-   AND r.arr_airport_id = (SELECT airport_id FROM dim_airport WHERE iata = x.arr_airport_iata)"""
+# Routes by the codes of their ends.
+_ROUTE_CODES = """route_codes AS (
+  SELECT route_id, d.iata AS dep_code, d.airport_name AS dep_name, a.iata AS arr_code,
+         a.airport_name AS arr_name
+  FROM dim_route JOIN dim_airport d ON d.airport_id = dep_airport_id
+  JOIN dim_airport a ON a.airport_id = arr_airport_id
+)"""
+_ROUTE_LOOKUP = """LEFT JOIN route_codes r
+    ON r.dep_code = x.dep_airport_iata AND r.arr_code = x.arr_airport_iata"""
 
 _EXPORT = [
     *_STAR,
+    _ROUTE_CODES,
     _LATEST,
     f"""frame AS (
-  SELECT x.*, al.airline_name, d.airport_name AS dep_airport_name,
-         a.airport_name AS arr_airport_name
+  SELECT x.*, al.airline_name, r.dep_name AS dep_airport_name, r.arr_name AS arr_airport_name
   FROM (SELECT * EXCLUDE (airline_name) FROM latest) x
   LEFT JOIN dim_airline al ON al.iata = x.airline_iata
   {_ROUTE_LOOKUP}
-  LEFT JOIN dim_airport d ON d.airport_id = r.dep_airport_id
-  LEFT JOIN dim_airport a ON a.airport_id = r.arr_airport_id
 )""",
 ]
 _FRAME = f"SELECT {', '.join(EXPORT_COLUMNS)} FROM frame"
@@ -229,6 +233,37 @@ _RECORDS = """records AS (
 _ESTIMATED = f"""CASE WHEN epoch_us(ts) % 1000000 = 0 THEN {_DEPARTS}
        ELSE strftime(ts, '{_ISO}.%f') || '+00:00' END"""
 
+# The tables after the first load and after both.
+_LOADS = [
+    *_AIRPORTS_TWO_LOADS,
+    _AIRLINES_SEEN,
+    "by_load AS (SELECT 1 AS batch_id, * FROM ap1 UNION ALL SELECT 2, * FROM ap2)",
+]
+
+
+def _loaded(n: int) -> str:
+    """Export frame of the tables after load ``n``. A flight has the route that its own load
+    found, with the names that the airports have after load ``n``."""
+    return f"""
+SELECT {', '.join(EXPORT_COLUMNS)} FROM (
+  SELECT x.*, al.name AS airline_name,
+    CASE WHEN d.id IS NOT NULL AND a.id IS NOT NULL THEN d2.name END AS dep_airport_name,
+    CASE WHEN d.id IS NOT NULL AND a.id IS NOT NULL THEN a2.name END AS arr_airport_name
+  FROM (
+    SELECT * EXCLUDE (airline_name) FROM c WHERE batch_id <= {n} QUALIFY row_number() OVER (
+      PARTITION BY flight_key
+      ORDER BY ingest_time DESC, batch_id DESC, flight_date DESC, status DESC, flight_number DESC
+    ) = 1
+  ) x
+  LEFT JOIN ({_fold(f"(SELECT * FROM airlines_seen WHERE batch_id <= {n})", 'iata', ['name'])}) al
+    ON al.iata = x.airline_iata
+  LEFT JOIN by_load d ON d.batch_id = x.batch_id AND d.iata = x.dep_airport_iata
+  LEFT JOIN by_load a ON a.batch_id = x.batch_id AND a.iata = x.arr_airport_iata
+  LEFT JOIN ap{n} d2 ON d2.id = d.id
+  LEFT JOIN ap{n} a2 ON a2.id = a.id
+)"""
+
+
 ORACLE: dict[str, str] = {
     "envelope_roundtrip": f"SELECT {_EVENT_ROWS}",
     "staging_project": f"""
@@ -301,9 +336,8 @@ SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "dq_orphans": """
-SELECT o_orderkey, o_custkey FROM orders
-WHERE o_custkey IS NOT NULL AND NOT EXISTS (
-  SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment <> 'BUILDING')""",
+SELECT o_orderkey, -o_custkey AS o_custkey FROM orders
+WHERE o_orderpriority = '5-LOW' AND o_custkey > 0""",
     "latest_per_flight": f"""
 SELECT flight_key, status, ingest_time, flight_number, airline_name, dep_delay_min
 FROM (SELECT {_EVENT_ROWS})
@@ -318,9 +352,8 @@ QUALIFY row_number() OVER (
         f"SELECT iata, icao, name AS airline_name FROM ({_fold('airlines_seen', 'iata', ['icao', 'name'])})",
         _AIRLINES_SEEN,
     ),
-    "dim_candidates": _with("""
-SELECT DISTINCT airline_iata AS iata, airline_icao AS icao, airline_name
-FROM c WHERE airline_iata IS NOT NULL OR airline_icao IS NOT NULL OR airline_name IS NOT NULL"""),
+    "dim_candidates": _with(
+        "SELECT DISTINCT iata, icao, name AS airline_name FROM airlines_seen", _AIRLINES_SEEN),
     "surrogate_keys": _with("""
 SELECT 1000 + row_number() OVER (ORDER BY flight_key) AS flight_id, flight_key
 FROM (SELECT DISTINCT flight_key FROM s)"""),
@@ -336,11 +369,8 @@ FULL JOIN f2 n ON t.iata = n.iata""",
         f"f1 AS ({_fold('b1', 'iata', ['icao', 'name'])})",
         f"f2 AS ({_fold('b2', 'iata', ['icao', 'name'])})",
     ),
-    "airport_union": _with("""
-SELECT dep_airport_iata AS iata, dep_airport_icao AS icao, dep_airport AS airport_name
-FROM c WHERE dep_airport_iata IS NOT NULL
-UNION
-SELECT arr_airport_iata, arr_airport_icao, arr_airport FROM c WHERE arr_airport_iata IS NOT NULL"""),
+    "airport_union": _with(
+        "SELECT DISTINCT iata, icao, name AS airport_name FROM ports_seen WHERE iata IS NOT NULL"),
     "airport_icao_anti": _with("""
 SELECT DISTINCT iata, icao, name AS airport_name FROM ports_seen a
 WHERE icao IS NOT NULL AND NOT EXISTS (
@@ -359,7 +389,7 @@ WHERE icao IS NOT NULL AND NOT EXISTS (
     ),
     "airport_quarantine": _with(
         """SELECT iata, icao, name AS airport_name, 'icao_conflict' AS reason
-FROM p_set_aside2""",
+FROM (SELECT iata, icao, name FROM p_set_aside1 UNION SELECT iata, icao, name FROM p_set_aside2)""",
         *_AIRPORTS_TWO_LOADS,
     ),
     "route_pairs": _with("SELECT dep_airport_id, arr_airport_id FROM pairs", *_STAR[1:3]),
@@ -385,6 +415,7 @@ FROM pair_loads WHERE first_load = 2""",
 SELECT x.flight_number AS flight_key, al.airline_id, r.route_id
 FROM c x LEFT JOIN dim_airline al ON al.iata = x.airline_iata {_ROUTE_LOOKUP}""",
         *_STAR,
+        _ROUTE_CODES,
     ),
     "fact_enrich_icao": _with(
         """
@@ -445,25 +476,32 @@ WHERE ingest_time <= TIMESTAMP '{DELTA_TARGET}' AND (ingest_time > TIMESTAMP '{D
 ORDER BY ingest_time, flight_key LIMIT {PAGE_LIMIT}""",
         *_EXPORT,
     ),
-    "warehouse_load": _with(
-        f"""
-SELECT {', '.join(EXPORT_COLUMNS)} FROM (
-  SELECT x.*, al.name AS airline_name,
-    CASE WHEN d.id IS NOT NULL AND a.id IS NOT NULL THEN d2.name END AS dep_airport_name,
-    CASE WHEN d.id IS NOT NULL AND a.id IS NOT NULL THEN a2.name END AS arr_airport_name
-  FROM (SELECT * EXCLUDE (airline_name) FROM latest) x
-  LEFT JOIN airline_names al ON al.iata = x.airline_iata
-  LEFT JOIN by_load d ON d.batch_id = x.batch_id AND d.iata = x.dep_airport_iata
-  LEFT JOIN by_load a ON a.batch_id = x.batch_id AND a.iata = x.arr_airport_iata
-  LEFT JOIN ap2 d2 ON d2.id = d.id
-  LEFT JOIN ap2 a2 ON a2.id = a.id
-)""",
-        *_AIRPORTS_TWO_LOADS,
-        _LATEST,
-        "by_load AS (SELECT 1 AS batch_id, * FROM ap1 UNION ALL SELECT 2, * FROM ap2)",
-        _AIRLINES_SEEN,
-        f"airline_names AS ({_fold('airlines_seen', 'iata', ['name'])})",
+    "warehouse_load": _with(_loaded(2), *_LOADS),
+    "job_export_full": _with(_loaded(2), *_LOADS),
+    "job_export_delta": _with(
+        f"SELECT 1 AS after_load, * FROM ({_loaded(1)}) UNION ALL "
+        f"SELECT 2, * FROM ({_loaded(2)}) WHERE ingest_time > "
+        f"(SELECT max(ingest_time) FROM ({_loaded(1)}))",
+        *_LOADS,
     ),
+    "load_failure": _with(
+        f"SELECT 'failed' AS state, * FROM ({_loaded(1)}) UNION ALL "
+        f"SELECT 'retried', * FROM ({_loaded(2)})",
+        *_LOADS,
+    ),
+    "stream_restart": f"""
+SELECT flight_key, 'again ' || status AS status, max(ingest_time) AS ingest_time
+FROM (SELECT {_EVENT_ROWS}) GROUP BY flight_key, status""",
+    "default_ingest": """
+SELECT event_type || '_' || user_id AS flight_key, CAST(event_id AS VARCHAR) AS flight_number,
+  CASE WHEN event_type = 'view' THEN TIMESTAMP '2024-02-01 00:00:00' ELSE ts END AS ingest_time
+FROM events""",
+    "page_rejects": f"""
+SELECT CASE WHEN event_type = 'error' THEN 'malformed_page' ELSE 'keyed' END AS outcome,
+  CASE WHEN event_type <> 'error' THEN {_IDENTIFIER} || '_' || {_DEPARTS} END AS flight_key,
+  event_type = 'signup' AS partial_parse,
+  CASE WHEN event_type NOT IN ('error', 'signup') THEN trunc(value) END AS dep_delay_min
+FROM events""",
     "stream_ingest": """
 SELECT
   CASE WHEN event_type NOT IN ('signup', 'error') THEN event_type || '_' || user_id END

@@ -37,12 +37,17 @@ from skyledger.operators.normalize import (
 )
 from skyledger.operators.quality import duplicates, orphans, split_rejects, with_reject_reason
 from skyledger.operators.upsert import upsert_coalesce, upsert_overwrite
-from skyledger.plans.load import run_load
+from skyledger.plans.export import export_delta as export_delta_job
+from skyledger.plans.export import export_full as export_full_job
+from skyledger.plans.export import published_extracts
+from skyledger.plans.load import load_unpublished, run_load
+from skyledger.plans.normalize import messages as messages_of
 from skyledger.plans.normalize import normalize_pages
 from skyledger.schemas import (
     DIM_AIRLINE,
     DIM_AIRPORT,
     DIM_ROUTE,
+    EXPORT_COLUMNS,
     STAGED,
     STAGING,
 )
@@ -82,11 +87,42 @@ def envelope_roundtrip(spark, sf_dir):
 @query
 def staging_project(spark, sf_dir):
     pages = parse_pages(event_pages(spark, sf_dir))
-    messages, _ = normalize_pages(pages, F.lit("2024-02-01 00:00:00.5").cast("timestamp"))
-    good, _ = split_rejects(decode(messages))
+    outcomes = normalize_pages(pages, F.lit("2024-02-01 00:00:00.5").cast("timestamp"))
+    good, _ = split_rejects(decode(messages_of(outcomes)))
     return good.select(STAGING.fieldNames())
 
 
+@query
+def page_rejects(spark, sf_dir):
+    """Pages of errors are cut off, delays of signups are text: every outcome, as decoded."""
+    page = F.col("value").cast("string")
+    broken = F.when(page.contains('"flight_status":"error"'),
+                    F.substr(page, F.lit(1), F.length(page) - 3)).when(
+        page.contains('"flight_status":"signup"'),
+        F.regexp_replace(page, r'"delay":(-?\d+)', '"delay":"$1 min"'),
+    ).otherwise(page)
+    outcomes = materialize(normalize_pages(
+        parse_pages(event_pages(spark, sf_dir).select(broken.alias("value")))))
+    decoded = decode(messages_of(outcomes)).select(
+        F.lit("keyed").alias("outcome"), "flight_key", "partial_parse", "dep_delay_min")
+    lost = outcomes.where(F.col("outcome") != "keyed").select(
+        "outcome", F.col("key").cast("string").alias("flight_key"),
+        F.coalesce("partial_parse", F.lit(False)).alias("partial_parse"),
+        F.lit(None).cast("double").alias("dep_delay_min"))
+    return decoded.unionByName(lost)
+
+
+@query
+def default_ingest(spark, sf_dir):
+    """Messages of views lack the ingest time; the default stands in."""
+    envelopes = event_envelopes(spark, sf_dir)
+    stamped = F.when(F.col("status") != "view", F.col("ingest_time"))
+    messages = encode_envelopes(envelopes.withColumn("ingest_time", stamped))
+    arrived = F.lit("2024-02-01").cast("timestamp")
+    good, _ = split_rejects(decode(messages, default_ingest=arrived))
+    return good.select("flight_key", "flight_number", "ingest_time")
+
+
 @query
 def ts_parse(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -210,8 +246,11 @@ def dq_duplicates(spark, sf_dir):
 
 @query
 def dq_orphans(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING")
-    orders = table(spark, sf_dir, "orders")
+    """Orders of low priority refer to customers that are not there."""
+    customers = table(spark, sf_dir, "customer")
+    low = F.col("o_orderpriority") == "5-LOW"
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_custkey", F.when(low, -F.col("o_custkey")).otherwise(F.col("o_custkey")))
     return orphans(orders, "o_custkey", customers, "c_custkey", ["o_orderkey"]).select(
         "o_orderkey", "o_custkey"
     )
@@ -327,10 +366,10 @@ def airport_upsert_icao(spark, sf_dir):
 
 @query
 def airport_quarantine(spark, sf_dir):
-    staging = materialize(order_staging(spark, sf_dir))
-    dim = _first_airports(spark, staging)
-    seen = _seen(staging, 2, "airport").withColumnRenamed("name", "airport_name")
-    return dims.resolve_airports(dim, seen)[1]
+    """Airports set aside by two loads, after old snapshots are gone."""
+    house, _ = _loaded(spark, sf_dir, (1, 2))
+    house.drop_old_snapshots(keep=1)
+    return house.quarantine()
 
 
 def _airports(rows: DataFrame) -> DataFrame:
@@ -356,7 +395,7 @@ def route_pairs(spark, sf_dir):
 @query
 def route_insert_ignore(spark, sf_dir):
     staging = materialize(order_staging(spark, sf_dir))
-    airports = _airports(staging)
+    airports = materialize(_airports(staging))
     routes = _no_rows(spark, DIM_ROUTE)
     for batch in (1, 2):
         pairs = dims.route_pairs(staging.where(F.col("batch_id") == batch), airports)
@@ -398,7 +437,8 @@ def fact_enrich_icao(spark, sf_dir):
     pairs = dims.route_pairs(staging, airports, icao_fallback=True)
     routes = materialize(dims.merge_routes(_no_rows(spark, DIM_ROUTE), pairs))
     numbered = staging.withColumn("flight_key", F.col("flight_number"))
-    return enrich(numbered, _airlines(staging), routes, airports, icao_fallback=True).select(
+    airlines = materialize(_airlines(staging))
+    return enrich(numbered, airlines, routes, airports, icao_fallback=True).select(
         "flight_key", "airline_id", "route_id"
     )
 
@@ -473,23 +513,113 @@ def export_delta(spark, sf_dir):
 # jobs ------------------------------------------------------------------------------------
 
 
+def _stage(house: Warehouse, rows: DataFrame, batch: int) -> None:
+    arrived = rows.where(F.col("batch_id") == batch).select(STAGED.fieldNames())
+    arrived.write.parquet(house.batch_path("orders", batch))
+
+
+def _staging_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(order_staging(spark, sf_dir).withColumns(
+        {"arr_eta_delta_min": F.lit(None).cast("double"), "partial_parse": F.lit(False)}))
+
+
+def _loaded(spark: SparkSession, sf_dir: str, batches: tuple) -> tuple[Warehouse, DataFrame]:
+    """A warehouse with one load per batch, and the rows of all batches."""
+    house = Warehouse(spark, scratch_dir(spark, "warehouse"))
+    rows = _staging_rows(spark, sf_dir)
+    for batch in batches:
+        _stage(house, rows, batch)
+        run_load(spark, house.root)
+    return house, rows
+
+
+def _frame(house: Warehouse) -> DataFrame:
+    manifest = house.manifest()
+    names = ("dim_airline", "dim_route", "dim_airport")
+    tables = [house.dimension(name, manifest) for name in names]
+    return export.denormalize(house.fact(manifest), *tables)
+
+
 @query
 def warehouse_load(spark, sf_dir):
     """Two loads through the store, then the export frame of the published tables."""
-    root = scratch_dir(spark, "warehouse")
-    house = Warehouse(spark, root)
-    rows = materialize(
-        order_staging(spark, sf_dir).withColumns(
-            {"arr_eta_delta_min": F.lit(None).cast("double"), "partial_parse": F.lit(False)}
-        )
-    )
+    house, _ = _loaded(spark, sf_dir, (1, 2))
+    return _frame(house)
+
+
+@query
+def load_failure(spark, sf_dir):
+    """A second load that stops before it publishes leaves the first state; a retry goes on."""
+    house, rows = _loaded(spark, sf_dir, (1,))
+    _stage(house, rows, 2)
+    load_unpublished(spark, house.root)
+    failed = materialize(_frame(house).withColumn("state", F.lit("failed")))
+    run_load(spark, house.root)
+    return failed.unionByName(_frame(house).withColumn("state", F.lit("retried")))
+
+
+_EXPORT_SCHEMA = ", ".join(
+    f"{name} {kind}" for name, kind in zip(
+        EXPORT_COLUMNS,
+        ["string", "timestamp", "timestamp", "double", "timestamp", "timestamp", "timestamp",
+         "double", "string", "string", "string", "string", "timestamp"], strict=True)
+)
+
+
+@query
+def job_export_full(spark, sf_dir):
+    """The full extract of the default call after each of two loads, read back from its files."""
+    house, rows = _loaded(spark, sf_dir, (1,))
+    out = f"{house.root}/extract"
+    export_full_job(spark, house.root, out)
+    _stage(house, rows, 2)
+    run_load(spark, house.root)
+    count = export_full_job(spark, house.root, out)
+    state = published_extracts(spark, out).latest()
+    if count != state["rows"] or count != house.fact_rows(house.manifest()):
+        raise AssertionError(f"{count} rows returned, {state} published")
+    return spark.read.schema(_EXPORT_SCHEMA).option("header", True).csv(f"{out}/{state['folder']}")
+
+
+@query
+def job_export_delta(spark, sf_dir):
+    """Pages until nothing is left, after each of two loads: all pages, read back."""
+    house, rows = _loaded(spark, sf_dir, ())
+    pages = []
     for batch in (1, 2):
-        arrived = rows.where(F.col("batch_id") == batch).select(STAGED.fieldNames())
-        arrived.write.parquet(f"{house.staging_path}/batch_id={batch}")
-        manifest = run_load(spark, root)
-    names = ("dim_airline", "dim_route", "dim_airport")
-    tables = [house.dimension(name, manifest) for name in names]
-    return export.denormalize(house.fact(manifest), *tables)
+        _stage(house, rows, batch)
+        run_load(spark, house.root)
+        limit = house.fact_rows(house.manifest()) // 3 + 1
+        out = f"{house.root}/delta{batch}"
+        while export_delta_job(spark, house.root, out, limit, "parquet"):
+            pass
+        read = spark.read.schema(_EXPORT_SCHEMA).parquet(f"{out}/export_id=*")
+        pages.append(read.withColumn("after_load", F.lit(batch)))
+    return pages[0].unionByName(pages[1])
+
+
+def _ingest(house: Warehouse, topic: str, checkpoint: str) -> None:
+    """Read all messages of a folder as a stream into staging."""
+    start_ingest(
+        read_messages(house.spark, {}, fmt="parquet", path=topic),
+        staging_sink(house.staging_path, house.rejects_path),
+        checkpoint=checkpoint,
+        trigger={"availableNow": True},
+    ).awaitTermination()
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """Events by one stream and a load, then with another status under a fresh checkpoint."""
+    folder = scratch_dir(spark, "restart")
+    house = Warehouse(spark, f"{folder}/warehouse")
+    envelopes = event_envelopes(spark, sf_dir)
+    again = envelopes.withColumn("status", F.concat(F.lit("again "), "status"))
+    for turn, rows in enumerate((envelopes, again)):
+        encode_envelopes(rows).select("value").write.parquet(f"{folder}/messages{turn}")
+        _ingest(house, f"{folder}/messages{turn}", f"{folder}/progress{turn}")
+        house.purge_staging(run_load(spark, house.root))
+    return house.fact().select("flight_key", "status", "ingest_time")
 
 
 @query
@@ -509,18 +639,12 @@ def stream_ingest(spark, sf_dir):
     messages = encode_envelopes(envelopes).select(sent.cast("binary").alias("value"))
     messages.write.parquet(f"{folder}/messages")
     house = Warehouse(spark, f"{folder}/warehouse")
-    running = start_ingest(
-        read_messages(spark, {}, fmt="parquet", path=f"{folder}/messages"),
-        staging_sink(house.staging_path, house.rejects_path),
-        checkpoint=f"{folder}/progress",
-        trigger={"availableNow": True},
-    )
-    running.awaitTermination()
+    _ingest(house, f"{folder}/messages", f"{folder}/progress")
     good = house.staging(house.staged_batches()).select(
         "flight_key", "flight_number", "ingest_time", F.lit("none").alias("reason")
     )
     rejected = spark.read.schema("reason string, raw string").parquet(
-        f"{house.rejects_path}/batch_id=*"
+        f"{house.rejects_path}/stream=*/batch_id=*"
     )
     missing = F.lit(None).cast("string")
     return good.unionByName(

@@ -8,10 +8,16 @@ from pyspark.sql import types as T
 
 from skyledger.functions import minutes_between, parse_date, parse_ingest_time, parse_schedule
 from skyledger.operators.quality import reject_reason
-from skyledger.schemas import ENVELOPE, STAGED
+from skyledger.schemas import ENVELOPE, PARTIAL, STAGED
 
 _CORRUPT = "_corrupt"
-_PARSE_SCHEMA = T.StructType([*ENVELOPE.fields, T.StructField(_CORRUPT, T.StringType())])
+_PARSE_SCHEMA = T.StructType(
+    [
+        *ENVELOPE.fields,
+        T.StructField(PARTIAL, T.BooleanType()),
+        T.StructField(_CORRUPT, T.StringType()),
+    ]
+)
 
 
 def parse_envelopes(df: DataFrame, column: str = "value") -> DataFrame:
@@ -48,6 +54,7 @@ def type_envelopes(parsed: DataFrame) -> DataFrame:
     flat = parsed.select(
         "raw",
         _CORRUPT,
+        F.col(PARTIAL).alias("_marked"),
         F.when(key.isNotNull(), F.col("flight_key")).alias("flight_key"),
         parse_date(F.col("flight_date")).alias("flight_date"),
         F.col("status"),
@@ -62,9 +69,9 @@ def type_envelopes(parsed: DataFrame) -> DataFrame:
         *_stop_columns("arrival", "arr"),
     )
     return flat.select(
-        "*",
+        *[c for c in flat.columns if c != "_marked"],
         minutes_between(F.col("arr_estimated"), F.col("arr_scheduled")).alias("arr_eta_delta_min"),
-        F.col(_CORRUPT).isNotNull().alias("partial_parse"),
+        (F.col(_CORRUPT).isNotNull() | F.coalesce("_marked", F.lit(False))).alias(PARTIAL),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,27 @@ def denormalize(
     return named.select(EXPORT_COLUMNS)
 
 
+def first_by_time(rows: DataFrame, time: str, limit: int, newest: bool) -> DataFrame:
+    """Rows that include the first ``limit`` by a time, newest first with nulls before all, or
+    oldest first: all rows up to the hour that completes the limit.
+
+    Rows are counted per hour by a hash aggregate; one row per hour passes through one task. So
+    a sort for the limit sees the rows it takes and those of one hour, not a limit from each
+    partition of the table.
+    """
+    hour = F.date_trunc("hour", F.col(time)).alias("hour")
+    counts = rows.groupBy(hour).agg(F.count(F.lit(1)).alias("n"))
+    order = F.desc_nulls_first("hour") if newest else F.asc("hour")
+    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.select(
+        "hour", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+    ).where(F.col("before") < limit)
+    last = needed.agg((F.min if newest else F.max)("hour")).scalar()
+    if newest:
+        return rows.where(F.col(time).isNull() | (F.col(time) >= last))
+    return rows.where(F.date_trunc("hour", F.col(time)) <= last)
+
+
 def full_extract(
     fact: DataFrame,
     dim_airline: DataFrame,
@@ -48,6 +69,7 @@ def full_extract(
     columns = [*_FACT_COLUMNS, "airline_id", "route_id"]
     rows = fact.select(columns)
     if limit is not None:
+        rows = first_by_time(rows, "dep_scheduled", limit, newest=True)
         rows = rows.orderBy(*newest_first()).limit(limit)
     return denormalize(rows, dim_airline, dim_route, dim_airport).orderBy(*newest_first())
 
@@ -91,6 +113,7 @@ def delta_page(
     rows = window_filter(fact, last, target, last_key)
     if limit is None:
         return rows
+    rows = first_by_time(rows, "ingest_time", limit, newest=False)
     return rows.orderBy("ingest_time", "flight_key").limit(limit)
 
 

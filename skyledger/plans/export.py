@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.export import delta_page, denormalize, full_extract, newest_first
-from skyledger.schemas import EXPORT_ROWS
 from skyledger.sources.connect import write_extract
+from skyledger.sources.files import Folder, VersionedState
 from skyledger.sources.store import Warehouse
 
 
@@ -18,21 +18,47 @@ def _dimensions(house: Warehouse, manifest: dict) -> list[DataFrame]:
     return [house.dimension(n, manifest) for n in ("dim_airline", "dim_route", "dim_airport")]
 
 
+def checked_limit(limit: int | None) -> int | None:
+    if limit is not None and limit < 1:
+        raise ValueError("a limit is at least 1; None takes all rows")
+    return limit
+
+
+def published_extracts(spark: SparkSession, path: str) -> VersionedState:
+    """What ``export_full`` has published below ``path``: ``folder`` and ``rows``."""
+    return VersionedState(Folder(spark, path), "_published")
+
+
 def export_full(
-    spark: SparkSession, root: str, path: str, limit: int | None = EXPORT_ROWS, fmt: str = "csv"
+    spark: SparkSession, root: str, path: str, limit: int | None = None, fmt: str = "csv"
 ) -> int:
-    """Replace the extract at ``path`` by the newest rows; returns their number.
+    """Replace the extract below ``path`` by all rows, or by the newest ``limit`` ones; returns
+    their number.
 
-    An empty warehouse writes nothing.
+    The rows go to ``path/export_id=<n>``, which is published when it is complete; the one
+    before is deleted after that. A run that fails leaves the old extract. An empty warehouse
+    writes nothing.
     """
+    checked_limit(limit)
     house = Warehouse(spark, root)
     manifest = house.manifest()
     if house.fact_rows(manifest) == 0:
         return 0
     rows = house.fact(manifest) if limit is None else house.newest_departures(manifest, limit)
+    states = published_extracts(spark, path)
+    version = (states.latest() or {"version": 0})["version"] + 1
+    folder = f"export_id={version}"
     counted = Observation()
     frame = full_extract(rows, *_dimensions(house, manifest), limit)
-    write_extract(frame.observe(counted, F.count(F.lit(1)).alias("rows")), path, fmt)
+    write_extract(
+        frame.observe(counted, F.count(F.lit(1)).alias("rows")), f"{path}/{folder}", fmt
+    )
+    states.publish({"version": version, "folder": folder, "rows": counted.get["rows"]})
+    states.drop_old(1)
+    files = Folder(spark, path)
+    for old in files.glob("export_id=*"):
+        if int(old.split("=")[1]) < version:
+            files.delete(old)
     return counted.get["rows"]
 
 
@@ -54,15 +80,21 @@ def has_new_data(house: Warehouse, manifest: dict, state: dict | None) -> bool:
     return newest > state["last_ingest"]
 
 
+# States of earlier exports that stay, to look back on.
+KEEP_STATES = 10
+
+
 def export_delta(
-    spark: SparkSession, root: str, path: str, limit: int | None = EXPORT_ROWS, fmt: str = "csv"
+    spark: SparkSession, root: str, path: str, limit: int | None = None, fmt: str = "csv"
 ) -> int:
-    """Write the next rows since the last export to ``path/export_id=<n>``; returns their number.
+    """Write the rows since the last export, or the next ``limit`` of them, to
+    ``path/export_id=<n>``; returns their number.
 
     Rows are taken in the order of ingest time and key, up to the newest time of the manifest
-    read at the start. The state moves on after the files are written: to that newest time when
-    all is out, else to the last row written, from which the next call goes on.
+    read at the start. The state moves on to the last row written after the files are complete:
+    past its time when all is out, else to its key, from which the next call goes on.
     """
+    checked_limit(limit)
     house = Warehouse(spark, root)
     manifest, state = house.manifest(), house.exports.latest()
     if not has_new_data(house, manifest, state):
@@ -72,7 +104,7 @@ def export_delta(
     last_key = state["last_key"] if state else None
     version = state["version"] + 1 if state else 1
 
-    fact = house.fact(manifest, newer_than=last)
+    fact = house.oldest_ingests(manifest, last, target, limit, last_key is not None)
     page = delta_page(fact, _moment(last), _moment(target), limit, last_key)
     page = page.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -87,13 +119,17 @@ def export_delta(
             write_extract(frame, f"{path}/export_id={version}", fmt)
     finally:
         page.unpersist()
+    if not end["rows"] and last_key is None:
+        # only rows that were replaced since had newer times
+        return 0
     full_page = limit is not None and end["rows"] == limit
     house.exports.publish(
         {
             "version": version,
             "manifest": manifest["version"],
-            "last_ingest": end["last"]["at"] if full_page else target,
+            "last_ingest": end["last"]["at"] if end["rows"] else last,
             "last_key": end["last"]["key"] if full_page else None,
         }
     )
+    house.exports.drop_old(KEEP_STATES)
     return end["rows"]

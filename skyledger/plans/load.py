@@ -18,9 +18,8 @@ from skyledger.operators.dims import (
 from skyledger.operators.fact import FACT_INPUTS, enrich, key_day, latest_status
 from skyledger.operators.joins import measured_bytes
 from skyledger.operators.quality import duplicates, orphans
-from skyledger.operators.upsert import upsert_overwrite
 from skyledger.session import materialize, scratch_tables, together
-from skyledger.sources.store import Warehouse, add_to_ranges
+from skyledger.sources.store import Batch, Warehouse, with_consumed
 
 
 class ConstraintViolation(RuntimeError):
@@ -94,19 +93,34 @@ def run_load(
     """
     house = Warehouse(spark, root)
     old = house.manifest()
+    manifest = load_unpublished(spark, root, icao_fallback, newer_only, check)
+    if manifest["version"] > old["version"]:
+        house.manifests.publish(manifest)
+    return manifest
+
+
+def load_unpublished(
+    spark: SparkSession,
+    root: str,
+    icao_fallback: bool = False,
+    newer_only: bool = False,
+    check: bool = True,
+) -> dict:
+    """All of ``run_load`` but its last step: the snapshots are written, readers see the old
+    state. Returns the manifest to publish, the current one if no batch is pending."""
+    house = Warehouse(spark, root)
+    old = house.manifest()
     batches = house.pending_batches(old)
     if not batches:
         return old
     with scratch_tables(spark):
-        manifest = _load_batches(house, old, batches, icao_fallback, newer_only, check)
-    house.manifests.publish(manifest)
-    return manifest
+        return _load_batches(house, old, batches, icao_fallback, newer_only, check)
 
 
 def _load_batches(
     house: Warehouse,
     old: dict,
-    batches: list[int],
+    batches: list[Batch],
     icao_fallback: bool,
     newer_only: bool,
     check: bool,
@@ -120,27 +134,26 @@ def _load_batches(
     seen = materialize(entity_sightings(staging))
     kind = F.col("kind")
 
-    def load_airlines() -> DataFrame:
+    def load_airlines() -> tuple[DataFrame, str]:
         merged = merge_airlines(
             house.dimension("dim_airline", old), seen.where(kind == "airline").drop("kind")
         )
-        return house.write_dimension("dim_airline", merged, load)
+        return house.write_dimension("dim_airline", merged, old, load)
 
-    def load_airports() -> DataFrame:
-        merged, quarantined = merge_airports(
+    def load_airports() -> tuple[DataFrame, str, list[str]]:
+        merged, set_aside = merge_airports(
             house.dimension("dim_airport", old), seen.where(kind == "airport").drop("kind")
         )
-        house.write_dimension("quarantine", quarantined, load)
-        return house.write_dimension("dim_airport", merged, load)
-
-    airline, airport = together(house.spark, load_airlines, load_airports)
-    route = house.write_dimension(
-        "dim_route",
-        merge_routes(
-            house.dimension("dim_route", old), route_pairs(staging, airport, icao_fallback)
-        ),
-        load,
+        quarantined = house.write_quarantine(set_aside, old, load)
+        return *house.write_dimension("dim_airport", merged, old, load), quarantined
+
+    (airline, airline_load), (airport, airport_load, quarantined) = together(
+        house.spark, load_airlines, load_airports
+    )
+    routes = merge_routes(
+        house.dimension("dim_route", old), route_pairs(staging, airport, icao_fallback)
     )
+    route, route_load = house.write_dimension("dim_route", routes, old, load)
 
     latest = latest_status(staging.select(*FACT_INPUTS, "batch_id"))
     incoming = enrich(latest, airline, route, airport, icao_fallback)
@@ -152,11 +165,13 @@ def _load_batches(
         days = [r["day"] for r in touched.collect()]
 
         def store_fact() -> dict:
-            stored = house.fact(old, days=days)
-            merged = upsert_overwrite(
-                stored, incoming, ["flight_key"], "ingest_time" if newer_only else None
-            )
-            return house.write_fact(merged, load)
+            rows = _not_older(house, old, days, incoming) if newer_only else incoming
+            entries = house.write_fact(rows, load)
+            stored = house.fact(old, days, ["flight_key"])
+            again = stored.join(rows.select("flight_key"), "flight_key", "left_semi")
+            counts = again.groupBy(key_day(F.col("flight_key")).alias("day")).count()
+            replaced = {r["day"]: r["count"] for r in counts.collect()}
+            return house.merged_days(old["fact"], entries, replaced)
 
         def check_rules() -> None:
             if check:
@@ -169,9 +184,42 @@ def _load_batches(
 
     return {
         "version": version,
-        "consumed": add_to_ranges(old["consumed"], batches),
+        "consumed": with_consumed(old["consumed"], batches),
         "dims": {
-            name: load for name in ("dim_airline", "dim_airport", "dim_route", "quarantine")
+            "dim_airline": airline_load, "dim_airport": airport_load, "dim_route": route_load
         },
+        "quarantine": quarantined,
         "fact": {**old["fact"], **entries},
     }
+
+
+def _not_older(
+    house: Warehouse, manifest: dict, days: list[str], incoming: DataFrame
+) -> DataFrame:
+    """Incoming rows but those older than the stored row of their key."""
+    stored = house.fact(manifest, days, ["flight_key", "ingest_time"])
+    newer = stored.join(incoming.select("flight_key"), "flight_key", "left_semi").select(
+        "flight_key", F.col("ingest_time").alias("stored_time"))
+    compared = incoming.join(newer, "flight_key", "left")
+    fresh = F.col("stored_time").isNull() | (F.col("ingest_time") >= F.col("stored_time"))
+    return compared.where(fresh).select(incoming.columns)
+
+
+def fold_days(spark: SparkSession, root: str, min_loads: int = 8) -> dict:
+    """Make one folder of each day that ``min_loads`` loads or more have added to.
+
+    Tables and exports stay as they are; the manifest's bounds of the folded days become exact.
+    Run it beside the loads, not at the same time: of two that overlap one fails to publish.
+    """
+    if min_loads < 2:
+        raise ValueError("a day of one load needs no folding")
+    house = Warehouse(spark, root)
+    old = house.manifest()
+    days = [d for d, e in old["fact"].items() if len(e["loads"]) >= min_loads]
+    if not days:
+        return old
+    version = old["version"] + 1
+    entries = house.write_fact(house.fact(old, days), house.new_load(version))
+    manifest = {**old, "version": version, "fact": {**old["fact"], **entries}}
+    house.manifests.publish(manifest)
+    return manifest

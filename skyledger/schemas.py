@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The formats of the feed.
+# The formats of the feed and, below, the names in its pages, messages and tables.
 SCHEDULE_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 SCHEDULE_SHAPE = r"(?i)^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$"
 KEY_TIME_FORMAT_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 LIVE_STATUS = "active"
 FEED_SOURCE = "aviationstack"
-EXPORT_ROWS = 100_000
 JDBC_BATCH_ROWS = 5_000
 
 
@@ -39,7 +38,8 @@ PAGE_RECORD = _struct(
     T.StructField("airline", _AIRLINE),
     T.StructField("flight", _FLIGHT),
 )
-PAGE = _struct(T.StructField("data", T.ArrayType(PAGE_RECORD)))
+# A page is read with its records as text; each record is parsed by itself.
+PAGE = _struct(T.StructField("data", T.ArrayType(T.StringType())))
 
 _ENVELOPE_STOP = _struct(
     _text("airport", "iata", "icao", "gate", "terminal", "schedule", "estimated", "actual"),
@@ -84,6 +84,8 @@ STAGING_EXTRA = _struct(
 STAGED = T.StructType([*STAGING.fields, *STAGING_EXTRA.fields])
 
 REJECTS = _struct(_text("reason", "raw"))
+# Optional field of a message: true where a value of the record did not fit its type.
+PARTIAL = "partial_parse"
 
 DIM_AIRLINE = _struct(
     T.StructField("airline_id", T.LongType()), _text("iata", "icao", "airline_name")

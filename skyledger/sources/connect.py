@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.schemas import JDBC_BATCH_ROWS, PAGE
+from skyledger.operators.normalize import parse_pages
+from skyledger.schemas import JDBC_BATCH_ROWS
 
 MESSAGE = T.StructType([T.StructField("value", T.BinaryType())])
 
@@ -45,8 +47,13 @@ def kafka_writer(
 
 
 def read_pages(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Landed API pages: one page per line, or one per file."""
-    return spark.read.schema(PAGE).option("multiLine", whole_files).json(path)
+    """Landed API pages, one per line or one per file, as ``parse_pages`` gives them.
+
+    A line or file that is no page stays as a row to be rejected: so does every line of a page
+    that was printed over several lines and is read without ``whole_files``. Blank lines go.
+    """
+    text = spark.read.text(path, wholetext=whole_files)
+    return parse_pages(text.where(F.trim("value") != ""))
 
 
 def jdbc_writer(

@@ -77,3 +77,24 @@ class VersionedState:
     def publish(self, state: dict) -> None:
         """Add ``state`` under its ``version``, one above the version it was made from."""
         self._folder.publish_json(f"{self._name}/{state['version']:09d}.json", state)
+
+    def drop_old(self, keep: int) -> list[dict]:
+        """Delete the states but the last ``keep``; returns those that stay."""
+        if keep < 1:
+            raise ValueError("keep at least one state")
+        files = self._folder.glob(f"{self._name}/*.json")
+        kept = [self._folder.read_json(f) for f in files[-keep:]]
+        for file in files[:-keep]:
+            self._folder.delete(file)
+        return kept
+
+
+def named_once(spark: SparkSession, root: str, name: str) -> str:
+    """An identity of a folder: a random name stored in it by the first call, then the same."""
+    folder = Folder(spark, root)
+    try:
+        if not folder.glob(name):
+            folder.publish_json(name, {"id": uuid.uuid4().hex})
+    except PublishConflict:
+        pass  # another caller was first
+    return folder.read_json(name)["id"]

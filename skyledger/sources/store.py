@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,12 @@ from skyledger.schemas import (
     STAGED,
 )
 from skyledger.sources.files import Folder, VersionedState
+from skyledger.streaming.ingest import batch_folder
 
 DIMENSIONS = {"dim_airline": DIM_AIRLINE, "dim_airport": DIM_AIRPORT, "dim_route": DIM_ROUTE}
-EMPTY_MANIFEST = {"version": 0, "consumed": [], "dims": {}, "fact": {}}
+EMPTY_MANIFEST = {"version": 0, "consumed": {}, "dims": {}, "quarantine": [], "fact": {}}
+# A stream's id and the number of a batch in it.
+Batch = tuple[str, int]
 
 
 def add_to_ranges(ranges: list[list[int]], numbers: Iterable[int]) -> list[list[int]]:
@@ -35,17 +39,35 @@ def add_to_ranges(ranges: list[list[int]], numbers: Iterable[int]) -> list[list[
     return merged
 
 
-def in_ranges(ranges: list[list[int]], number: int) -> bool:
-    return any(low <= number <= high for low, high in ranges)
+def consumed_by(manifest: dict, batch: Batch) -> bool:
+    stream, number = batch
+    return any(low <= number <= high for low, high in manifest["consumed"].get(stream, []))
+
+
+def with_consumed(consumed: dict, batches: Iterable[Batch]) -> dict:
+    """Ranges of consumed numbers per stream, with ``batches`` added."""
+    out = dict(consumed)
+    for stream in {s for s, _ in batches}:
+        numbers = [n for s, n in batches if s == stream]
+        out[stream] = add_to_ranges(out.get(stream, []), numbers)
+    return out
+
+
+def _content(df: DataFrame) -> tuple:
+    """Row count and sum of row hashes: alike for tables with the same rows."""
+    return tuple(df.agg(
+        F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first())
 
 
 class Warehouse:
     """All tables of a warehouse below one folder.
 
     A load writes new snapshots and then publishes a manifest; readers see either the old or the
-    new state of all tables. The fact is stored by ``key_day``; the manifest keeps per day the
-    load that wrote it, the row count and the greatest ingest time, so a load replaces only the
-    days it touches, and an export skips the days that hold nothing new.
+    new state of all tables. The fact is stored by ``key_day``. A load adds a folder with its own
+    rows to each day it touches; where several loads hold a key the last one counts, so stored
+    rows are neither read whole nor written again. ``plans.load.fold_days`` makes such days one
+    folder. The manifest keeps per day its loads, the row count and bounds of the times in them,
+    so exports skip days.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -64,28 +86,31 @@ class Warehouse:
     def rejects_path(self) -> str:
         return f"{self.root}/rejects"
 
-    def staged_batches(self) -> list[int]:
+    def batch_path(self, stream: str, number: int) -> str:
+        return f"{self.staging_path}/{batch_folder(stream, number)}"
+
+    def staged_batches(self) -> list[Batch]:
         """Batches that are completely written."""
-        marks = self.folder.glob("staging/batch_id=*/_SUCCESS")
-        return sorted(int(m.split("/")[1].split("=")[1]) for m in marks)
+        marks = self.folder.glob("staging/stream=*/batch_id=*/_SUCCESS")
+        parts = [m.split("/")[1:3] for m in marks]
+        return sorted((s.split("=", 1)[1], int(b.split("=")[1])) for s, b in parts)
 
-    def pending_batches(self, manifest: dict) -> list[int]:
-        return [b for b in self.staged_batches() if not in_ranges(manifest["consumed"], b)]
+    def pending_batches(self, manifest: dict) -> list[Batch]:
+        return [b for b in self.staged_batches() if not consumed_by(manifest, b)]
 
-    def staging(self, batches: list[int]) -> DataFrame:
-        schema = T.StructType([*STAGED.fields, T.StructField("batch_id", T.LongType())])
-        paths = [f"{self.staging_path}/batch_id={b}" for b in batches]
+    def staging(self, batches: list[Batch]) -> DataFrame:
+        ids = [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
         return (
-            self.spark.read.schema(schema)
+            self.spark.read.schema(T.StructType([*STAGED.fields, *ids]))
             .option("basePath", self.staging_path)
-            .parquet(*paths)
+            .parquet(*[self.batch_path(*batch) for batch in batches])
         )
 
-    def purge_staging(self, manifest: dict) -> list[int]:
-        """Drop the staging folders of batches that a published load has consumed."""
-        gone = [b for b in self.staged_batches() if in_ranges(manifest["consumed"], b)]
-        for batch in gone:
-            self.folder.delete(f"staging/batch_id={batch}")
+    def purge_staging(self, manifest: dict) -> list[Batch]:
+        """Drop the staging folders of batches that the manifest names as loaded."""
+        gone = [b for b in self.staged_batches() if consumed_by(manifest, b)]
+        for stream, number in gone:
+            self.folder.delete(f"staging/{batch_folder(stream, number)}")
         return gone
 
     # tables ----------------------------------------------------------------------------------
@@ -98,13 +123,21 @@ class Warehouse:
         """Folder name of one attempt; two attempts never share one."""
         return f"{version:09d}-{uuid.uuid4().hex[:8]}"
 
-    def write_dimension(self, name: str, df: DataFrame, load: str) -> DataFrame:
-        """Store a snapshot and return it as stored, so its ids are read and not recomputed."""
+    def write_dimension(
+        self, name: str, df: DataFrame, manifest: dict, load: str
+    ) -> tuple[DataFrame, str]:
+        """Store a snapshot and return it as stored, so its ids are read and not recomputed, and
+        its load. A dimension equal to the one before is not written: the load before stays."""
+        before = manifest["dims"].get(name)
+        if before:
+            known = self.read_dimension(name, before)
+            if _content(df.select(known.columns)) == _content(known):
+                return known, before
         df.write.parquet(f"{self.root}/{name}/load={load}")
-        return self.read_dimension(name, load)
+        return self.read_dimension(name, load), load
 
     def read_dimension(self, name: str, load: str | None) -> DataFrame:
-        schema = DIMENSIONS.get(name, QUARANTINE)
+        schema = DIMENSIONS[name]
         if load is None:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/load={load}")
@@ -113,8 +146,26 @@ class Warehouse:
         manifest = manifest or self.manifest()
         return self.read_dimension(name, manifest["dims"].get(name))
 
+    def write_quarantine(self, rows: DataFrame, manifest: dict, load: str) -> list[str]:
+        """Store the rows set aside that no load before has; returns all loads with such rows."""
+        new = rows.exceptAll(self.quarantine(manifest)) if manifest["quarantine"] else rows
+        path = f"{self.root}/quarantine/load={load}"
+        new.distinct().write.parquet(path)
+        if self.spark.read.schema(QUARANTINE).parquet(path).isEmpty():
+            self.folder.delete(f"quarantine/load={load}")
+            return manifest["quarantine"]
+        return [*manifest["quarantine"], load]
+
+    def quarantine(self, manifest: dict | None = None) -> DataFrame:
+        """Distinct airports that any load has set aside."""
+        loads = (manifest or self.manifest())["quarantine"]
+        if not loads:
+            return self.spark.createDataFrame([], QUARANTINE)
+        paths = [f"{self.root}/quarantine/load={load}" for load in loads]
+        return self.spark.read.schema(QUARANTINE).parquet(*paths).distinct()
+
     def write_fact(self, rows: DataFrame, load: str) -> dict:
-        """Store whole days and return their manifest entries.
+        """Store rows by day; returns what the manifest keeps of them, per day.
 
         The rebalancing splits a day that holds much of the load over several files and joins
         small days; inside a file rows are sorted by ingest time for the export filter.
@@ -134,69 +185,141 @@ class Warehouse:
         # one row per day of the load
         per_day = stored.groupBy("key_day").agg(
             F.count(F.lit(1)).alias("rows"),
-            F.count("dep_scheduled").alias("departures"),
+            (F.count("dep_scheduled") < F.count(F.lit(1))).alias("unknown"),
+            F.unix_micros(F.min("ingest_time")).alias("min_ingest"),
             F.unix_micros(F.max("ingest_time")).alias("max_ingest"),
             F.unix_micros(F.min("dep_scheduled")).alias("min_departure"),
             F.unix_micros(F.max("dep_scheduled")).alias("max_departure"),
         )
         entries = [r.asDict() for r in per_day.collect()]
-        return {e.pop("key_day"): {**e, "load": load} for e in entries}
+        return {e.pop("key_day"): {**e, "loads": [load]} for e in entries}
+
+    @staticmethod
+    def merged_days(old: dict, new: dict, replaced: dict[str, int]) -> dict:
+        """Manifest entries of the days of ``new`` with the loads before.
+
+        The row count is exact. The bounds also cover rows that were replaced since.
+        """
+
+        def bound(pick, name: str, a: dict, b: dict) -> int | None:
+            known = [e[name] for e in (a, b) if e[name] is not None]
+            return pick(known) if known else None
+
+        out = {}
+        for day, entry in new.items():
+            before = old.get(day)
+            out[day] = entry if before is None else {
+                "loads": before["loads"] + entry["loads"],
+                "rows": before["rows"] + entry["rows"] - replaced.get(day, 0),
+                "unknown": before["unknown"] or entry["unknown"],
+                **{n: bound(min, n, before, entry) for n in ("min_ingest", "min_departure")},
+                **{n: bound(max, n, before, entry) for n in ("max_ingest", "max_departure")},
+            }
+        return out
+
+    def _stored(self, entries: dict[str, list[str]], columns: list[str]) -> DataFrame:
+        """Rows of the named loads of days, with ``load`` and ``key_day``."""
+        schema = T.StructType(
+            [
+                *[FACT[c] for c in columns],
+                T.StructField("load", T.StringType()),
+                T.StructField("key_day", T.StringType()),
+            ]
+        )
+        base = f"{self.root}/fact"
+        paths = [
+            f"{base}/load={load}/key_day={d}" for d, loads in sorted(entries.items()) for load in loads
+        ]
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
     def fact(
         self,
         manifest: dict | None = None,
         days: Iterable[str] | None = None,
-        newer_than: int | None = None,
+        columns: list[str] | None = None,
     ) -> DataFrame:
-        """Current fact rows: of all days, of ``days``, or of the days that hold an ingest time
-        at or after ``newer_than`` (microseconds)."""
+        """Current fact rows, of all days or of ``days``.
+
+        A row of a day with several loads counts if no later load of the day has its key. Only
+        keys of the later loads are compared; days with one load are read as they are.
+        """
         entries = (manifest or self.manifest())["fact"]
+        columns = columns or FACT.fieldNames()
         if days is not None:
             wanted = set(days)
             entries = {d: e for d, e in entries.items() if d in wanted}
-        if newer_than is not None:
-            entries = {d: e for d, e in entries.items() if e["max_ingest"] >= newer_than}
         if not entries:
-            return self.spark.createDataFrame([], FACT)
-        schema = T.StructType(
-            [
-                *FACT.fields,
-                T.StructField("load", T.StringType()),
-                T.StructField("key_day", T.StringType()),
-            ]
-        )
-        base = f"{self.root}/fact"
-        paths = [f"{base}/load={e['load']}/key_day={d}" for d, e in sorted(entries.items())]
-        stored = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-        return stored.select(FACT.fieldNames())
+            return self.spark.createDataFrame([], T.StructType([FACT[c] for c in columns]))
+        loads = {d: e["loads"] for d, e in entries.items()}
+        parts = []
+        if single := {d: names for d, names in loads.items() if len(names) == 1}:
+            parts.append(self._stored(single, columns).select(columns))
+        if several := {d: names for d, names in loads.items() if len(names) > 1}:
+            read = columns if "flight_key" in columns else ["flight_key", *columns]
+            rows = self._stored(several, read)
+            later = self._stored({d: names[1:] for d, names in several.items()}, ["flight_key"])
+            later = later.select("flight_key", F.col("load").alias("later"))
+            # names of loads sort in their order
+            live = rows.join(
+                later,
+                (rows["flight_key"] == later["flight_key"]) & (later["later"] > rows["load"]),
+                "left_anti",
+            )
+            parts.append(live.select(columns))
+        return reduce(DataFrame.unionAll, parts)
 
     def newest_departures(self, manifest: dict, limit: int) -> DataFrame:
         """Fact rows that include the first ``limit`` by departure, unknown departures first.
 
-        The ranges of the days give a departure time that enough rows are not before; days and
-        files before it are not read.
+        Days with ``limit`` rows together whose departures all are at or after some time bound
+        that time; days and files before it are not read.
         """
         entries = manifest["fact"]
-        missing = limit - sum(e["rows"] - e["departures"] for e in entries.values())
-        bound = None
-        known = [e for e in entries.values() if e["departures"]]
+        held, bound = 0, None
+        # days without any known departure come before all
+        known = [e for e in entries.values() if e["min_departure"] is not None]
+        held = sum(e["rows"] for e in entries.values() if e["min_departure"] is None)
         for entry in sorted(known, key=lambda e: e["min_departure"], reverse=True):
-            if missing <= 0:
+            if held >= limit:
                 break
-            missing -= entry["departures"]
+            held += entry["rows"]
             bound = entry["min_departure"]
-        if missing > 0:
+        if held < limit:
             return self.fact(manifest)
         departure = F.col("dep_scheduled")
         wanted = departure.isNull()
         if bound is not None:
             wanted = wanted | (departure >= F.timestamp_micros(F.lit(bound)))
         days = [
-            d
-            for d, e in entries.items()
-            if e["departures"] < e["rows"] or (bound is not None and e["max_departure"] >= bound)
+            d for d, e in entries.items()
+            if e["unknown"]
+            or (bound is not None and e["max_departure"] is not None and e["max_departure"] >= bound)
         ]
-        return self.fact(manifest, days=days).where(wanted)
+        return self.fact(manifest, days).where(wanted)
+
+    def oldest_ingests(self, manifest: dict, after: int | None, target: int, limit: int | None,
+                       at: bool) -> DataFrame:
+        """Fact rows that include the first ``limit`` by ingest time in ``(after, target]``;
+        ``at`` also takes those at ``after``. Only days that can hold them are read."""
+        last = None if after is None else after - 1 if at else after
+        entries = {
+            d: e for d, e in manifest["fact"].items()
+            if (last is None or e["max_ingest"] > last) and e["min_ingest"] <= target
+        }
+        upper, held = target, 0
+        if limit is not None:
+            whole = [e for e in entries.values() if last is None or e["min_ingest"] > last]
+            for entry in sorted(whole, key=lambda e: e["max_ingest"]):
+                held += entry["rows"]
+                if held >= limit:
+                    upper = min(target, entry["max_ingest"])
+                    break
+        days = [d for d, e in entries.items() if e["min_ingest"] <= upper]
+        rows = self.fact(manifest, days)
+        rows = rows.where(F.col("ingest_time") <= F.timestamp_micros(F.lit(upper)))
+        if last is not None:
+            rows = rows.where(F.col("ingest_time") > F.timestamp_micros(F.lit(last)))
+        return rows
 
     @staticmethod
     def fact_rows(manifest: dict) -> int:
@@ -204,7 +327,7 @@ class Warehouse:
 
     @staticmethod
     def max_ingest(manifest: dict) -> int | None:
-        """Greatest stored ingest time in microseconds, from the manifest alone."""
+        """Greatest ingest time ever stored, in microseconds, from the manifest alone."""
         return max((e["max_ingest"] for e in manifest["fact"].values()), default=None)
 
     # retention -------------------------------------------------------------------------------
@@ -214,17 +337,16 @@ class Warehouse:
 
         Snapshots of a load that has not published yet are left alone.
         """
-        files = self.folder.glob("manifest/*.json")
-        kept = [self.folder.read_json(f) for f in files[-keep:]]
+        kept = self.manifests.drop_old(keep)
         if not kept:
             return
         newest = kept[-1]["version"]
         used = {f"{t}/load={load}" for m in kept for t, load in m["dims"].items()}
+        used |= {f"quarantine/load={load}" for m in kept for load in m["quarantine"]}
         used |= {
-            f"fact/load={e['load']}/key_day={day}" for m in kept for day, e in m["fact"].items()
+            f"fact/load={load}/key_day={day}"
+            for m in kept for day, e in m["fact"].items() for load in e["loads"]
         }
-        for file in files[:-keep]:
-            self.folder.delete(file)
         stored = self.folder.glob("fact/load=*/key_day=*")
         for table in (*DIMENSIONS, "quarantine"):
             stored += self.folder.glob(f"{table}/load=*")

@@ -11,25 +11,36 @@ from pyspark.sql.streaming import StreamingQuery
 from skyledger.operators.decode import decode
 from skyledger.operators.quality import split_rejects
 from skyledger.schemas import STAGED
+from skyledger.sources.files import named_once
 
-BatchSink = Callable[[DataFrame, int], None]
+# Takes the rows, the stream's id and the batch number of a micro-batch.
+BatchSink = Callable[[DataFrame, str, int], None]
+# File in a checkpoint folder with the id of its stream.
+STREAM_ID = "stream_id.json"
+
+
+def batch_folder(stream: str, batch_id: int) -> str:
+    """Batch numbers begin at 0 in every checkpoint: only with the stream they name a batch."""
+    return f"stream={stream}/batch_id={batch_id}"
 
 
 def staging_sink(staging: str, rejects: str) -> BatchSink:
-    """Writes good and rejected rows of a batch below its own ``batch_id`` folders.
+    """Writes good and rejected rows of a batch below a folder of its stream and number.
 
-    A replayed batch replaces what its first run wrote.
+    A replayed batch replaces what its first run wrote. A stream under a fresh checkpoint and a
+    second stream write beside what is there.
     """
 
-    def write(rows: DataFrame, batch_id: int) -> None:
+    def write(rows: DataFrame, stream: str, batch_id: int) -> None:
+        folder = batch_folder(stream, batch_id)
         # two writes from one batch: without this it would be read and decoded twice
         rows.persist()
         try:
             good, rejected = split_rejects(rows)
             rejected = rejected.select(F.col("reject_reason").alias("reason"), "raw")
-            rejected.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+            rejected.write.mode("overwrite").parquet(f"{rejects}/{folder}")
             good.select(STAGED.fieldNames()).write.mode("overwrite").parquet(
-                f"{staging}/batch_id={batch_id}"
+                f"{staging}/{folder}"
             )
         finally:
             rows.unpersist()
@@ -47,14 +58,16 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start the query that decodes ``messages`` and hands each micro-batch to ``sink``.
 
-    ``checkpoint`` must outlive the driver. ``trigger`` holds the arguments of the stream's
+    ``checkpoint`` must outlive the driver; it also keeps the id of the stream, which a restart
+    goes on with and a fresh checkpoint gets anew. ``trigger`` holds the arguments of the stream's
     trigger, such as ``{"availableNow": True}``; the default runs batches back to back.
     """
     rows = decode(messages, default_ingest=default_ingest)
+    stream = named_once(messages.sparkSession, checkpoint, STREAM_ID)
     writer = (
         rows.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(sink)
+        .foreachBatch(lambda batch, number: sink(batch, stream, number))
     )
     if trigger:
         writer = writer.trigger(**trigger)

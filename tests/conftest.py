@@ -1,4 +1,3 @@
-import os
 import sys
 from datetime import date, datetime, timezone
 from pathlib import Path
@@ -20,8 +19,9 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.showConsoleProgress": "false",
-            # on tiny tables most of the time would go into compiling generated code
-            "spark.sql.codegen.wholeStage": os.environ.get("TEST_CODEGEN", "false"),
+            # on tiny tables most of the time would go into compiling generated code; the
+            # catalogue test switches it on
+            "spark.sql.codegen.wholeStage": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -30,7 +30,7 @@ def spark():
 
 
 def at(text: str) -> datetime:
-    """Point in time at UTC, as ``2025-08-21 00:05``."""
+    """Point in time at UTC, as ``2025-03-04 13:40``."""
     return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
 
 
@@ -42,7 +42,7 @@ def staged(spark):
         full = []
         for row in rows:
             base = dict.fromkeys(STAGED.fieldNames())
-            base.update(flight_date=date(2025, 8, 21), ingest_time=at("2025-08-21 10:00"))
+            base.update(flight_date=date(2025, 3, 4), ingest_time=at("2025-03-04 10:00"))
             base.update(row)
             full.append(tuple(base[name] for name in STAGED.fieldNames()))
         return spark.createDataFrame(full, STAGED)

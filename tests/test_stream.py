@@ -28,21 +28,21 @@ def message(key, **changes):
 def place(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "house"))
 
-    def ingest():
+    def ingest(progress="progress", topic="topic"):
         source = read_messages(spark, {"maxFilesPerTrigger": "1"}, fmt="parquet",
-                               path=str(tmp_path / "topic"))
+                               path=str(tmp_path / topic))
         query = start_ingest(
             source,
             staging_sink(house.staging_path, house.rejects_path),
-            str(tmp_path / "progress"),
+            str(tmp_path / progress),
             trigger={"availableNow": True},
-            name="ingest",
+            name=progress,
         )
         query.awaitTermination()
 
-    def send(*values):
+    def send(*values, topic="topic"):
         spark.createDataFrame(list(values), "value binary").coalesce(1).write.mode(
-            "append").parquet(str(tmp_path / "topic"))
+            "append").parquet(str(tmp_path / topic))
 
     return house, ingest, send
 
@@ -51,8 +51,10 @@ def test_stream_to_staging_and_rejects(spark, place):
     house, ingest, send = place
     send(message("A_1"), (bytearray(b"{bad"),), message(None))
     ingest()
-    assert house.staged_batches() == [0]
-    assert tuples(house.staging([0]), "flight_key", "batch_id") == [("A_1", 0)]
+    [(stream, number)] = house.staged_batches()
+    assert number == 0
+    assert tuples(house.staging([(stream, 0)]), "flight_key", "stream", "batch_id") == [
+        ("A_1", stream, 0)]
     rejects = spark.read.parquet(house.rejects_path)
     assert tuples(rejects, "reason") == [("flight_key",), ("malformed",)]
     assert ("{bad",) in tuples(rejects, "raw")
@@ -61,9 +63,10 @@ def test_stream_to_staging_and_rejects(spark, place):
     send(message("B_1"))
     send(message("C_1"))
     ingest()
-    assert house.staged_batches() == [0, 1, 2]
-    assert [k for (k,) in tuples(house.staging([0, 1, 2]), "flight_key")] == ["A_1", "B_1", "C_1"]
-    assert run_load(spark, house.root)["consumed"] == [[0, 2]]
+    assert house.staged_batches() == [(stream, n) for n in (0, 1, 2)]
+    staged = house.staging(house.staged_batches())
+    assert [k for (k,) in tuples(staged, "flight_key")] == ["A_1", "B_1", "C_1"]
+    assert run_load(spark, house.root)["consumed"] == {stream: [[0, 2]]}
     assert house.fact().count() == 3
 
 
@@ -71,12 +74,45 @@ def test_a_replayed_batch_is_stored_once(spark, place):
     house, _, _ = place
     rows = decode(spark.createDataFrame([message("A_1"), (None,)], "value binary"))
     write = staging_sink(house.staging_path, house.rejects_path)
-    write(rows, 3)
-    write(rows, 3)
-    assert house.staging([3]).count() == 1
+    write(rows, "s", 3)
+    write(rows, "s", 3)
+    assert house.staging([("s", 3)]).count() == 1
     assert spark.read.parquet(house.rejects_path).count() == 1
 
 
+def test_a_fresh_checkpoint_loses_and_doubles_nothing(spark, place):
+    house, ingest, send = place
+    send(message("A_1"))
+    ingest()
+    run_load(spark, house.root)
+    send(message("A_2"), topic="later")
+    ingest("fresh", "later")
+    manifest = run_load(spark, house.root)
+    assert tuples(house.fact(), "flight_key") == [("A_1",), ("A_2",)]
+    send(message("A_3"), topic="later")
+    ingest("fresh", "later")
+    gone = house.purge_staging(manifest)
+    assert len(gone) == 2 and len({stream for stream, _ in gone}) == 2
+    [waiting] = house.staged_batches()
+    assert waiting[1] == 1 and waiting not in gone
+    run_load(spark, house.root)
+    assert tuples(house.fact(), "flight_key") == [("A_1",), ("A_2",), ("A_3",)]
+
+
+def test_two_streams_into_one_warehouse(spark, place):
+    house, ingest, send = place
+    send(message("A_1"), (bytearray(b"{bad"),))
+    send(message("A_2"), (bytearray(b"{worse"),), topic="other")
+    ingest()
+    ingest("second", "other")
+    assert len(house.staged_batches()) == 2
+    assert tuples(house.staging(house.staged_batches()), "flight_key") == [("A_1",), ("A_2",)]
+    assert spark.read.parquet(house.rejects_path).count() == 2
+    run_load(spark, house.root)
+    run_load(spark, house.root)
+    assert house.fact().count() == 2 and house.pending_batches(house.manifest()) == []
+
+
 def test_staging_rows_need_no_shuffle(spark):
     rows = decode(spark.createDataFrame([message("A_1")], "value binary"))
     plan = rows._jdf.queryExecution().executedPlan().toString()
