@@ -56,13 +56,20 @@ def enrich(
     return with_route.select(FACT.fieldNames())
 
 
-def key_day(key: Column, buckets: int = 64) -> Column:
+# Days outside of this range are no departures: such keys are stored like those without a day,
+# so text in messages makes no more than these days.
+FIRST_DAY, LAST_DAY = "1950-01-01", "2099-12-31"
+KEY_BUCKETS = 64
+
+
+def key_day(key: Column, buckets: int = KEY_BUCKETS) -> Column:
     """Storage partition of a flight key: the departure day it ends with.
 
     It depends on the key alone, so an update always finds the stored row in its own partition,
     also when the flight moves to another date. Keys of another form are spread over buckets.
     """
     day = F.substring(F.substring_index(key, "_", -1), 1, 10)
-    parsed = F.try_to_date(day, "yyyy-MM-dd")
+    parsed = F.try_to_date(day, "yyyy-MM-dd").cast("string")
+    known = F.when(parsed.between(FIRST_DAY, LAST_DAY), parsed)
     bucket = F.concat(F.lit("key-"), F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"))
-    return F.coalesce(parsed.cast("string"), bucket)
+    return F.coalesce(known, bucket)

@@ -160,16 +160,18 @@ def _load_batches(
     # read for the days, the match with stored keys and the result; recomputable from staging
     incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = incoming.select(key_day(F.col("flight_key")).alias("day")).distinct()
+        buckets = house.key_buckets(old)
+        day = key_day(F.col("flight_key"), buckets)
+        touched = incoming.select(day.alias("day")).distinct()
         # bounded by the calendar and the number of key buckets
         days = [r["day"] for r in touched.collect()]
 
         def store_fact() -> dict:
             rows = _not_older(house, old, days, incoming) if newer_only else incoming
-            entries = house.write_fact(rows, load)
+            entries = house.write_fact(rows, old, load)
             stored = house.fact(old, days, ["flight_key"])
             again = stored.join(rows.select("flight_key"), "flight_key", "left_semi")
-            counts = again.groupBy(key_day(F.col("flight_key")).alias("day")).count()
+            counts = again.groupBy(day.alias("day")).count()
             replaced = {r["day"]: r["count"] for r in counts.collect()}
             return house.merged_days(old["fact"], entries, replaced)
 
@@ -190,6 +192,7 @@ def _load_batches(
         },
         "quarantine": quarantined,
         "fact": {**old["fact"], **entries},
+        "key_buckets": buckets,
     }
 
 
@@ -219,7 +222,7 @@ def fold_days(spark: SparkSession, root: str, min_loads: int = 8) -> dict:
     if not days:
         return old
     version = old["version"] + 1
-    entries = house.write_fact(house.fact(old, days), house.new_load(version))
+    entries = house.write_fact(house.fact(old, days), old, house.new_load(version))
     manifest = {**old, "version": version, "fact": {**old["fact"], **entries}}
     house.manifests.publish(manifest)
     return manifest

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
@@ -59,6 +61,7 @@ def shared_dir(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             named = tempfile.mkdtemp(prefix="skyledger-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
         context.setCheckpointDir(named)
         current = context.getCheckpointDir()
     return current
@@ -70,23 +73,45 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+# Tables written outside of any ``scratch_tables`` block.
+_open: list[str] = []
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, fixes values that depend on the physical
-    layout, and gives the planner the true size of what follows.
+    layout, and gives the planner the true size of what follows. The table goes at the end of
+    the ``scratch_tables`` block around the call, else with ``drop_scratch``.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "table")
     written = _written.get()
-    if written is not None:
-        written.append(path)
+    if written is None:
+        if not _open:
+            atexit.register(_drop_at_exit)
+        written = _open
+    written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _drop_at_exit() -> None:
+    with suppress(Exception):  # the cluster may be gone by now
+        drop_scratch()
+
+
+def drop_scratch() -> None:
+    """Drop the tables that ``materialize`` wrote outside of ``scratch_tables``.
+
+    Frames made from them are lost. Runs by itself when the driver ends; call it between the
+    jobs of a long session.
+    """
+    spark = SparkSession.getActiveSession()
+    while _open and spark is not None:
+        Folder(spark, _open.pop()).delete("")
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Drop the tables that ``materialize`` writes inside when the block ends."""

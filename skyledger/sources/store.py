@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.operators.fact import key_day
+from skyledger.operators.fact import KEY_BUCKETS, key_day
 from skyledger.schemas import (
     DIM_AIRLINE,
     DIM_AIRPORT,
@@ -23,7 +23,8 @@ from skyledger.sources.files import Folder, VersionedState
 from skyledger.streaming.ingest import batch_folder
 
 DIMENSIONS = {"dim_airline": DIM_AIRLINE, "dim_airport": DIM_AIRPORT, "dim_route": DIM_ROUTE}
-EMPTY_MANIFEST = {"version": 0, "consumed": {}, "dims": {}, "quarantine": [], "fact": {}}
+EMPTY_MANIFEST = {"version": 0, "consumed": {}, "dims": {}, "quarantine": [], "fact": {},
+                  "key_buckets": None}
 # A stream's id and the number of a batch in it.
 Batch = tuple[str, int]
 
@@ -70,8 +71,9 @@ class Warehouse:
     so exports skip days.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, key_buckets: int = KEY_BUCKETS):
         self.spark, self.root = spark, root.rstrip("/")
+        self._key_buckets = key_buckets
         self.folder = Folder(spark, self.root)
         self.manifests = VersionedState(self.folder, "manifest")
         self.exports = VersionedState(self.folder, "export_state")
@@ -164,14 +166,19 @@ class Warehouse:
         paths = [f"{self.root}/quarantine/load={load}" for load in loads]
         return self.spark.read.schema(QUARANTINE).parquet(*paths).distinct()
 
-    def write_fact(self, rows: DataFrame, load: str) -> dict:
+    def key_buckets(self, manifest: dict) -> int:
+        """Folders for keys without a day: set by the first load, then kept in the manifest."""
+        return manifest["key_buckets"] or self._key_buckets
+
+    def write_fact(self, rows: DataFrame, manifest: dict, load: str) -> dict:
         """Store rows by day; returns what the manifest keeps of them, per day.
 
         The rebalancing splits a day that holds much of the load over several files and joins
         small days; inside a file rows are sorted by ingest time for the export filter.
         """
         path = f"{self.root}/fact/load={load}"
-        placed = rows.select(*FACT.fieldNames(), key_day(F.col("flight_key")).alias("key_day"))
+        day = key_day(F.col("flight_key"), self.key_buckets(manifest))
+        placed = rows.select(*FACT.fieldNames(), day.alias("key_day"))
         (
             placed.hint("rebalance", "key_day")
             .sortWithinPartitions("key_day", "ingest_time")

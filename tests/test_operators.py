@@ -1,5 +1,6 @@
 """Folding, keys, upserts, joins and constraints."""
 
+import os
 import random
 
 import pytest
@@ -8,10 +9,11 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.fact import key_day, latest_status
 from skyledger.operators.fold import latest_non_null, latest_per_key
-from skyledger.operators.joins import lookup_join, measured_bytes
+from skyledger.operators.joins import lookup_join, measured_bytes, salts_for
 from skyledger.operators.keys import assign_ids, highest_id
 from skyledger.operators.quality import duplicates, orphans, split_rejects, with_reject_reason
 from skyledger.operators.upsert import insert_missing, upsert_coalesce, upsert_overwrite
+from skyledger.session import drop_scratch, materialize
 
 
 def test_latest_row_wins(staged):
@@ -127,6 +129,38 @@ def test_a_hot_key_is_divided_by_the_salt(spark):
     assert sum(r["count"] for r in per_task) == 8000
 
 
+def test_salts_follow_the_share_of_the_hottest_key(spark):
+    rows = spark.range(900).select(
+        F.when(F.col("id") < 300, "hot").when(F.col("id") < 600, F.lit(None))
+        .otherwise(F.col("id").cast("string")).alias("k"))
+    # half of the rows with a key, of four tasks
+    assert salts_for(rows, ["k"]) == 2
+    assert salts_for(rows.where("k is null"), ["k"]) == 1
+
+
+def test_null_keys_are_spread_without_copies_of_the_lookup(spark):
+    big = spark.range(8000).select("id", F.lit(None).cast("string").alias("k"))
+    lookup = spark.createDataFrame([("a", 1)], "k string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup_join(big, lookup, ["k"], spread=["id"], max_bytes=0, salts=1)
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(per_task) == 8000 and len(per_task) == 4 and max(per_task) < 3000
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    stored = materialize(spark.range(3))
+    [folder] = {f.rsplit("/", 1)[0] for f in stored.inputFiles()}
+    path = folder.removeprefix("file://").removeprefix("file:")
+    assert os.path.isdir(path)
+    drop_scratch()
+    assert not os.path.isdir(path)
+
+
 def test_measured_size_bounds_the_texts(spark):
     df = spark.createDataFrame([("x" * 1000, 1), (None, 2)], "a string, b int")
     empty = df.where("b > 5")
@@ -150,8 +184,9 @@ def test_constraints(staged, table):
 
 def test_storage_day_depends_on_the_key_alone(spark):
     df = spark.createDataFrame(
-        [("NH849_2025-08-21T00:05:00+00:00",), ("a_b_2024-02-29T00:00:00+00:00",),
-         ("free text",), ("x_2025-02-30T00:00:00+00:00",)], "k string")
+        [("QX512_2025-03-04T13:40:00+00:00",), ("a_b_2024-02-29T00:00:00+00:00",),
+         ("free text",), ("x_2025-02-30T00:00:00+00:00",),
+         ("x_9025-02-03T00:00:00+00:00",)], "k string")
     got = [r[0] for r in df.select(key_day(F.col("k"), 8)).collect()]
-    assert got[:2] == ["2025-08-21", "2024-02-29"]
+    assert got[:2] == ["2025-03-04", "2024-02-29"]
     assert all(g.startswith("key-") for g in got[2:])
