@@ -17,7 +17,9 @@ from skyledger.session import materialize
 WEIGHTS = (3, 1, 2)
 SHARDS = 32
 BLOCKS_PER_SHARD = 64
-# Leading hex digits of the order key: at most 65536 groups share a source, however large it is.
+# Leading hex digits of the order key: a source has 16 ** 4 groups in 16 ** 2 chapters, however
+# large it is, so the windows over groups and over chapters see 256 rows of a source at most.
+CHAPTER_DIGITS = 2
 GROUP_DIGITS = 4
 
 
@@ -215,6 +217,22 @@ def shard_quotas(sources: DataFrame, shards: int, blocks_per_shard: int, seed: i
 # the mix -----------------------------------------------------------------------------------
 
 
+def _group_starts(groups: DataFrame) -> DataFrame:
+    """Where each group begins on its source's line of words."""
+
+    def before(*keys: str, by: str) -> Column:
+        window = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("words").over(window), F.lit(0))
+
+    chapters = groups.groupBy("source", "chapter").agg(F.sum("words").alias("words")).select(
+        F.col("source").alias("of"), F.col("chapter").alias("in_chapter"),
+        before("source", by="chapter").alias("chapter_start"))
+    return groups.withColumn("inner", before("source", "chapter", by="group")).join(
+        chapters, F.col("source").eqNullSafe(F.col("of"))
+        & (F.col("chapter") == F.col("in_chapter")),
+    ).select("source", "group", (F.col("chapter_start") + F.col("inner")).alias("group_start"))
+
+
 def mix(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -252,13 +270,10 @@ def mix(
         .withColumn("group", F.substring("order", 1, GROUP_DIGITS))
     )
     groups = materialize(
-        placed.groupBy("source", "group").agg(F.sum("size").alias("words"))
+        placed.groupBy("source", F.substring("group", 1, CHAPTER_DIGITS).alias("chapter"),
+                       "group").agg(F.sum("size").alias("words"))
     )
-    # A source has at most 16 ** GROUP_DIGITS groups: these windows don't grow with its rows.
-    before = Window.partitionBy("source").orderBy("group").rowsBetween(
-        Window.unboundedPreceding, -1)
-    starts = groups.select("source", "group", F.coalesce(
-        F.sum("words").over(before), F.lit(0)).alias("group_start"))
+    starts = _group_starts(groups)
     sizes = groups.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, share, cap))
     plan = shard_quotas(targets, shards, blocks_per_shard, seed)
