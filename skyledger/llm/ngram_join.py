@@ -23,7 +23,7 @@ from skyledger.session import materialize
 
 WORDS = 5
 SIMILARITY = 0.8
-RECALL = 0.9999
+RECALL = 0.999999
 BAND_ROWS = 5
 # A block of a bucket has about so many texts and bytes of n-grams at most.
 BLOCK_TEXTS = 1000

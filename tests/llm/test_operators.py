@@ -252,8 +252,8 @@ def test_join_equals_all_pairs(spark, texts, block):
 
 
 def test_bands_reach_recall():
-    bands = ngram_join.bands_for(0.8, 0.9999, 5)
-    assert 1 - (1 - 0.8**5) ** bands >= 0.9999 > 1 - (1 - 0.8**5) ** (bands - 1)
+    bands = ngram_join.bands_for(0.8, 0.999999, 5)
+    assert 1 - (1 - 0.8**5) ** bands >= 0.999999 > 1 - (1 - 0.8**5) ** (bands - 1)
 
 
 def test_grams_do_not_depend_on_slices(monkeypatch):
