@@ -132,7 +132,8 @@ def split_keyed(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
 def encode_envelopes(envelopes: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Message ``key`` and JSON ``value`` bytes; null fields stay in the text.
 
-    ``keep`` names columns that stay. Where ``partial_parse`` is true the text says so in a field of that name.
+    ``keep`` names columns that stay. Where ``partial_parse`` is true the text says so in a field
+    of that name.
 
     The key keeps the updates of one flight in order on a topic with several partitions.
     """

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.normalize import encode_envelopes, explode_pages, normalize_records
-from skyledger.schemas import ENVELOPE, LIVE_STATUS, PARTIAL
+from skyledger.schemas import LIVE_STATUS, PARTIAL
 
 
 def normalize_pages(
