@@ -83,7 +83,66 @@ QUERIES = {
     "op10_line_dedup": deduped_lines,
 }
 
+# Smallest node that the links (a, b) of either direction lead to.
+_REACHED = """
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT node, root FROM nodes
+  UNION
+  SELECT both_ways.b, reached.root FROM reached JOIN both_ways ON both_ways.a = reached.node
+),
+counted AS (SELECT a AS node, count(*) AS n_links FROM both_ways GROUP BY a),
+lowest AS (SELECT node, min(root) AS component FROM reached GROUP BY node)
+"""
+
 ORACLE = {
+    "op4_embedding_dedup": f"""
+WITH RECURSIVE able AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM able p JOIN able q
+  ON p.label = q.label AND p.vec_id < q.vec_id AND len(p.v) = len(q.v)
+  WHERE list_cosine_similarity(p.v, q.v) >= 0.93
+),
+nodes AS (SELECT vec_id AS node, vec_id AS root FROM embeddings),
+{_REACHED}
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component AS component_id,
+       vec_id = component AS kept
+FROM embeddings JOIN lowest ON lowest.node = vec_id LEFT JOIN counted ON counted.node = vec_id
+""",
+    "op7_ngram_join": f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+),
+placed AS (
+  SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS i
+  FROM worded WHERE len(words) > 0
+),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS gram FROM placed
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS common
+  FROM grams p JOIN grams q ON p.gram = q.gram AND p.doc_id < q.doc_id GROUP BY 1, 2
+),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 10 * common >= 8 * (x.n + y.n - common)
+),
+nodes AS (SELECT doc_id AS node, doc_id AS root FROM documents),
+{_REACHED}
+SELECT doc_id,
+       CASE WHEN len(words) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY words) END
+         AS copy_id,
+       coalesce(n_links, 0) AS n_links, component AS class_id
+FROM worded JOIN lowest ON lowest.node = doc_id LEFT JOIN counted ON counted.node = doc_id
+""",
     "op6_mixing": """
 WITH sized AS (
   SELECT doc_id, source, md5('7|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|'
