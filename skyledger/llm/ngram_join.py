@@ -26,7 +26,7 @@ SIMILARITY = 0.8
 RECALL = 0.999999
 BAND_ROWS = 5
 # A block of a bucket has about so many texts and bytes of n-grams at most.
-BLOCK_TEXTS = 1000
+BLOCK_TEXTS = 400
 BLOCK_BYTES = 16 << 20
 # Words hashed at a time, so that a very long text needs no more memory than others.
 SLICE = 1 << 16
