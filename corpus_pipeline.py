@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import cutting_stock, line_dedup, mixing, ngram_join, pairwise_quality
-from skyledger.llm.columns import table
+from skyledger.llm.columns import ready, table
 from skyledger.session import materialize
 
 
@@ -28,11 +28,13 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines of five documents or more, but for the last document's."""
+    ready(spark)
     return _as_documents(line_dedup.dedup_lines(docs), docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of every group of near duplicates; rows that share an id stay together."""
+    ready(spark)
     joined = ngram_join.join_ngrams(docs)
     gone = materialize(joined.where("doc_id <> class_id").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -45,6 +47,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the mixed documents in sequences of 1024 tokens."""
+    ready(spark)
     return cutting_stock.pack(docs)
 
 

@@ -14,8 +14,18 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+# Rows that travel to Python at a time: texts are long, so a worker holds a few MB of them.
+BATCH_ROWS = 1000
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """Settings that the operators on texts rely on for bounded memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def words(text: Column) -> Column:
