@@ -1,13 +1,14 @@
 """Main text of web pages by differencing against the page with the nearest URL.
 
-Pages of a host are sorted by URL path; each is paired with the neighbour that shares the longer
-start of the path. The lines of the two are aligned by their longest common subsequence, and the
+Distinct pages of a host are sorted by URL path; each is paired with the neighbour that shares the
+longer start of the path, past copies of itself. The lines of the two are aligned by their longest common subsequence, and the
 shared lines go: they are the site's frame. The page's own markup then has the last word: lines
 inside an article or main element stay, also where two articles share a paragraph; lines inside
 menus, adverts, forms and the like go, also where no other page has them.
 
-Pairs are made of line hashes, not of texts: neighbours come from an equi-join on the rank in
-the sorted order, so a host with a third of all pages is spread like any other.
+Pairs are made of line hashes, not of texts: neighbours come from an equi-join on the number of
+the run of equal pages in the sorted order, so a host with a third of all pages is spread like
+any other. All copies of a page at a URL have the verdict of one.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, StringType
 
 from skyledger.session import materialize
 
@@ -137,14 +139,16 @@ def page_lines(source: str | None) -> list[tuple[str, str]]:
 
 # alignment ---------------------------------------------------------------------------------
 
-# Cells of the bit table of an alignment; beyond it only lines unique in both pages align.
+# Cells of the bit table of an alignment that is held at a time, and columns in a block of it.
 TABLE_BITS = 1 << 31
+COLUMNS = 1 << 14
 
 
 def shared_lines(own: list[int], other: list[int]) -> list[bool]:
     """Which of ``own`` are in a longest common subsequence with ``other``.
 
-    Common ends first; the middle by bit vectors, one word operation for many cells.
+    Common ends first; the middle by bit vectors, one word operation for many cells. A table of
+    more than ``TABLE_BITS`` is made in pieces, with the same result.
     """
     flags = [False] * len(own)
     begin = 0
@@ -157,61 +161,68 @@ def shared_lines(own: list[int], other: list[int]) -> list[bool]:
         flags[len(own) - 1 - end] = True
         end += 1
     a, b = own[begin:len(own) - end], other[begin:len(other) - end]
-    if len(a) * len(b) > TABLE_BITS:
-        a_once, b_once = _once(a), _once(b)
-        a, b = ([x if x in a_once and x in b_once else None for x in side] for side in (a, b))
-        places = [k for k, x in enumerate(a) if x is not None]
-        for k in _rising(places, [b.index(a[k]) for k in places]):
-            flags[begin + k] = True
-        return flags
-    masks: dict[int, int] = {}
-    for j, x in enumerate(b):
-        masks[x] = masks.get(x, 0) | (1 << j)
-    every = (1 << len(b)) - 1
-    row, rows = every, []
-    for x in a:
-        match = row & masks.get(x, 0)
-        row = ((row + match) | (row - match)) & every
-        rows.append(row)
-    # zeros of rows[i] up to j: length of the subsequence of a[:i + 1] and b[:j + 1]
-    i, j = len(a) - 1, len(b) - 1
-    while i >= 0 and j >= 0:
-        if (rows[i] >> j) & 1:
-            j -= 1
-        elif i and not (rows[i - 1] >> j) & 1:
-            i -= 1
-        else:
-            flags[begin + i] = True
-            i, j = i - 1, j - 1
+    common = set(a) & set(b)
+    places = [begin + k for k, x in enumerate(a) if x in common]
+    a, b = [x for x in a if x in common], [x for x in b if x in common]
+    row = [(1 << min(COLUMNS, len(b) - at)) - 1 for at in range(0, len(b), COLUMNS)]
+    found: list[int] = []
+    _trace(a, b, 0, len(a), row, len(b) - 1, found)
+    for k in found:
+        flags[places[k]] = True
     return flags
 
 
-def _once(side: list[int]) -> set[int]:
-    seen, twice = set(), set()
-    for x in side:
-        (twice if x in seen else seen).add(x)
-    return seen - twice
-
-
-def _rising(places: list[int], values: list[int]) -> list[int]:
-    """Places of a longest rising run of values."""
-    from bisect import bisect_left
-
-    tails: list[int] = []
-    at: list[int] = []
-    back: list[int] = []
-    for k, value in enumerate(values):
-        depth = bisect_left(tails, value)
-        tails[depth:depth + 1] = [value]
-        at[depth:depth + 1] = [k]
-        back.append(at[depth - 1] if depth else -1)
-    out, k = [], at[-1] if at else -1
-    while k >= 0:
-        out.append(places[k])
-        k = back[k]
+def _rows(a: list[int], b: list[int], row: list[int], keep: bool) -> list:
+    """Per block of columns of ``b`` the row after the lines ``a``, or all rows from ``row`` on.
+
+    Zeros of a row up to j: length of the subsequence of the lines so far and b[:j + 1].
+    """
+    carries = bytearray(len(a))
+    out: list = []
+    for c, now in enumerate(row):
+        part = b[c * COLUMNS:(c + 1) * COLUMNS]
+        masks: dict[int, int] = {}
+        for j, x in enumerate(part):
+            masks[x] = masks.get(x, 0) | (1 << j)
+        width, every = len(part), (1 << len(part)) - 1
+        rows = [now]
+        for i, x in enumerate(a):
+            mask = masks.get(x, 0)
+            if mask or carries[i]:
+                match = now & mask
+                total = now + match + carries[i]
+                carries[i] = total >> width
+                now = (total & every) | (now - match)
+            if keep:
+                rows.append(now)
+        out.append(rows if keep else now)
     return out
 
 
+def _trace(a: list[int], b: list[int], low: int, high: int, row: list[int], j: int,
+           found: list[int]) -> int:
+    """Adds the lines of a[low:high] in the subsequence that ends at column j; ``row`` is the
+    table's before them. The column where it goes on above."""
+    if j < 0 or low == high:
+        return j
+    if high - low > 1 and (high - low) * (j + 1) > TABLE_BITS:
+        middle = (low + high) // 2
+        j = _trace(a, b, middle, high, _rows(a[low:middle], b, row, False), j, found)
+        return _trace(a, b, low, middle, row[:j // COLUMNS + 1], j, found)
+    table = _rows(a[low:high], b, row, True)
+    i = high - low
+    while i and j >= 0:
+        rows, bit = table[j // COLUMNS], j % COLUMNS
+        if (rows[i] >> bit) & 1:
+            j -= 1
+        elif not (rows[i - 1] >> bit) & 1:
+            i -= 1
+        else:
+            found.append(low + i - 1)
+            i, j = i - 1, j - 1
+    return j
+
+
 # operator ----------------------------------------------------------------------------------
 
 
@@ -235,37 +246,99 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "\n".join(inside) if inside else None,
                 None if inside else [line for state, line in lines if state == OUTSIDE],
                 "".join(state for state, _ in lines),
-                [_hash(line) for _, line in lines],
+                hashes := [_hash(line) for _, line in lines],
+                xxhash.xxh3_128_hexdigest(np.array(hashes, dtype="<i8").tobytes()),
             ))
         yield pd.DataFrame(rows, columns=[
-            "id", "url", "host", "path", "article", "outside", "states", "hashes"])
-
+            "id", "url", "host", "path", "article", "outside", "states", "hashes", "content"])
 
-def _against_nearest(path, own, before_path, before, after_path, after) -> list[bool]:
-    """Shared lines with the neighbour of the longer common path; the prior one at a tie."""
-    own = own.tolist()
-    near = [
-        (-len(commonprefix([path or "", there_path or ""])), turn, there.tolist())
-        for turn, (there_path, there) in enumerate(((before_path, before), (after_path, after)))
-        if there is not None
-    ]
-    # an exact copy of the page shows nothing of its frame
-    near = [other for _, _, other in sorted(near, key=lambda n: n[:2]) if other != own]
-    return shared_lines(own, near[0]) if near else [False] * len(own)
 
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Numbers, in a sorted partition, the runs of pages of a host with equal lines."""
+    run, last = -1, None
+    for batch in batches:
+        runs = []
+        for now in zip(batch["host"], batch["content"], strict=True):
+            run += now != last
+            last = now
+            runs.append(run)
+        yield batch.assign(run=np.array(runs, dtype=np.int64))
+
+
+@F.pandas_udf(StringType())
+def _nearest(
+    path: pd.Series, before_path: pd.Series, before: pd.Series, after_path: pd.Series,
+    after: pd.Series,
+) -> pd.Series:
+    """The content with the longer common path; the prior one at a tie."""
+    out = []
+    for own, prior_path, prior, next_path, later in zip(
+            path, before_path, before, after_path, after, strict=True):
+        near = [
+            (-len(commonprefix([own or "", there or ""])), turn, content)
+            for turn, (there, content) in enumerate(((prior_path, prior), (next_path, later)))
+            if content is not None
+        ]
+        out.append(min(near)[2] if near else None)
+    return pd.Series(out, dtype=object)
+
+
+@F.pandas_udf(ArrayType(BooleanType()))
+def _shared(own: pd.Series, other: pd.Series) -> pd.Series:
+    return pd.Series([shared_lines(a.tolist(), b.tolist())
+                      for a, b in zip(own, other, strict=True)], dtype=object)
+
+
+def _neighbours(parsed: DataFrame) -> DataFrame:
+    """host, path, content and the content ``other`` of the nearest page of the host that is no
+    copy; a row per distinct page that has one.
+
+    Pages with equal lines that follow each other are a run. Around it are the last page of the
+    run before and the first page of the run after, also where a run goes over partitions.
+    """
+    order = ["host", "path", "content"]
+    ordered = materialize(
+        parsed.select(*order).distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("part", F.spark_partition_id())
+        .mapInPandas(_runs, "host string, path string, content string, part int, run long"))
+    pieces = ordered.groupBy("part", "run").agg(
+        F.min("path").alias("first"), F.max("path").alias("last"),
+        F.first("host").alias("host"), F.first("content").alias("content"))
+    # a row per sorted partition; its first run may go on from the one before
+    both = F.struct("host", "content")
+    parts = pieces.groupBy("part").agg(
+        (F.max("run") + 1).alias("n"), F.min_by(both, "run").alias("begins"),
+        F.max_by(both, "run").alias("ends"))
+    whole = Window.orderBy("part")
+    goes_on = F.coalesce((F.lag("ends").over(whole) == F.col("begins")).cast("long"), F.lit(0))
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    until = whole.rowsBetween(Window.unboundedPreceding, 0)
+    starts = parts.select("part", "n", goes_on.alias("goes_on")).select(
+        "part", (F.coalesce(F.sum("n").over(before), F.lit(0))
+                 - F.sum("goes_on").over(until)).alias("start"))
+    number = (F.col("start") + F.col("run")).alias("run")
+    runs = materialize(
+        pieces.join(F.broadcast(starts), "part").select(number, "host", "content", "first", "last")
+        .groupBy("run").agg(F.min("first").alias("first"), F.max("last").alias("last"),
+                            F.first("host").alias("host"), F.first("content").alias("content")))
+    prior = runs.select((F.col("run") + 1).alias("run"), F.struct(
+        "host", F.col("last").alias("path"), "content").alias("prior"))
+    later = runs.select((F.col("run") - 1).alias("run"), F.struct(
+        "host", F.col("first").alias("path"), "content").alias("later"))
 
-def _shared(path, own, before_path, before, after_path, after) -> Column:
-    @F.pandas_udf("array<boolean>")
-    def align(
-        path: pd.Series, own: pd.Series, before_path: pd.Series, before: pd.Series,
-        after_path: pd.Series, after: pd.Series,
-    ) -> pd.Series:
-        return pd.Series([
-            _against_nearest(*row)
-            for row in zip(path, own, before_path, before, after_path, after, strict=True)
-        ], dtype=object)
+    def of(name: str, part: str) -> Column:
+        return F.when(F.col(f"{name}.host") == F.col("host"), F.col(f"{name}.{part}"))
 
-    return align(path, own, before_path, before, after_path, after)
+    around = (
+        runs.select("run", "host").join(prior, "run", "left").join(later, "run", "left")
+        .select("run", *[of(name, part).alias(f"{name}_{part}")
+                         for name in ("prior", "later") for part in ("path", "content")])
+    )
+    other = _nearest("path", "prior_path", "prior_content", "later_path", "later_content")
+    return (
+        ordered.join(F.broadcast(starts), "part").select(*order, number)
+        .join(around, "run").select(*order, other.alias("other")).where("other IS NOT NULL")
+    )
 
 
 def extract_pages(
@@ -277,7 +350,8 @@ def extract_pages(
     article or main element, the text is its lines outside of frames. If not, it is the lines
     in no frame that the neighbour page does not share. Lines are joined by a line feed; without
     any the text is empty. Null html is an empty page; pages without a URL are one host; rows
-    with the same id or URL are pages of their own, and copies of a page show nothing about it.
+    with the same id or URL are pages of their own, and copies of a page show nothing about it:
+    its neighbour is the nearest page of the host with other lines.
     An empty table gives an empty table.
     """
     kind = df.schema[id_col].dataType.simpleString()
@@ -285,37 +359,19 @@ def extract_pages(
                      F.col(html_col).alias("html"))
     parsed = materialize(slim.mapInPandas(
         _parsed, "id string, url string, host string, path string, article string, "
-        "outside array<string>, states string, hashes array<long>",
+        "outside array<string>, states string, hashes array<long>, content string",
     ).withColumn("uid", F.monotonically_increasing_id()))
 
-    order = ["host", "path", "uid"]
-    ordered = materialize(
-        parsed.select(*order, "hashes", F.col("article").isNull().alias("open"), "states")
-        .repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("place", F.monotonically_increasing_id())
-        .withColumn("part", F.shiftright("place", 33))
-        .withColumn("place", F.col("place") % (1 << 33))
-    )
-    # a row per sorted partition
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
-        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    ranked = ordered.join(starts, "part").withColumn("rank", F.col("start") + F.col("place"))
-
-    def neighbour(name: str, step: int) -> DataFrame:
-        return ranked.select((F.col("rank") + step).alias("rank"), F.struct(
-            "host", "path", "hashes").alias(name))
-
-    pairs = (
-        ranked.join(neighbour("prior", 1), "rank", "left").join(neighbour("next", -1), "rank", "left")
+    near = materialize(_neighbours(parsed))
+    # every two contents are aligned once, however many pages have them
+    lines = parsed.join(parsed.groupBy("content").agg(F.min("uid").alias("uid")).select("uid"),
+                        "uid").select("content", "hashes")
+    aligned = (
+        near.select("content", "other").distinct()
+        .join(lines.withColumnRenamed("hashes", "own"), "content")
+        .join(lines.select(F.col("content").alias("other"), F.col("hashes").alias("there")), "other")
+        .select("content", "other", _shared("own", "there").alias("shared"))
     )
-
-    def of(name: str, part: str) -> Column:
-        return F.when(F.col(f"{name}.host") == F.col("host"), F.col(f"{name}.{part}"))
-
-    aligned = pairs.withColumn("shared", _shared(
-        F.col("path"), F.col("hashes"), of("prior", "path"), of("prior", "hashes"),
-        of("next", "path"), of("next", "hashes")))
     # whether a line goes, for the lines outside of frames and articles
     letters = F.split("states", "")
     gone = F.transform(
@@ -323,8 +379,10 @@ def extract_pages(
                  lambda line: line["state"] == OUTSIDE),
         lambda line: line["shared"])
     verdicts = materialize(
-        aligned.select("uid", "open", gone.alias("gone"))
-        .where(F.col("open") & F.exists("gone", lambda g: g)).select("uid", "gone"))
+        parsed.where(F.col("article").isNull())
+        .select("uid", "host", "path", "content", "states")
+        .join(near, ["host", "path", "content"]).join(aligned, ["content", "other"])
+        .select("uid", gone.alias("gone")).where(F.exists("gone", lambda g: g)))
     kept = F.filter("outside", lambda _, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
     text = F.coalesce("article", F.array_join(kept, "\n"), F.lit(""))
     return parsed.join(verdicts, "uid", "left").select(

@@ -424,6 +424,32 @@ def test_shared_lines_without_an_article(spark):
     assert out[9].split("\n") == ["Site name", "All stories", "Alone", "Read more here"]
 
 
+def test_copies_find_the_nearest_other_page(spark):
+    frame = "<div>Site name</div>{}<div>Read more here</div>"
+    same = frame.format("<p>Copied story</p>")
+    pages = [(k, f"http://h/news/{k:02}", same) for k in range(1, 20)]
+    pages += [(30 + k, "http://h/news/10", same) for k in range(5)]
+    pages += [(0, "http://h/news/00", frame.format("<p>First</p>")),
+              (90, "http://h/news/90", frame.format("<p>Last</p>")),
+              # with no other page, copies show nothing
+              (91, "http://i/1", same), (92, "http://i/1", same), (93, "http://i/2", same)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
+    out = {r["page_id"]: r["text"] for r in page_diff.extract_pages(df).collect()}
+    assert out.pop(0) == "First" and out.pop(90) == "Last"
+    assert {out.pop(k) for k in (91, 92, 93)} == {"Site name\nCopied story\nRead more here"}
+    assert len(out) == 24 and set(out.values()) == {"Copied story"}
+
+
+def test_alignment_in_pieces_is_the_same(monkeypatch):
+    rng = random.Random(6)
+    pairs = [[[rng.randrange(9) for _ in range(rng.randrange(40))] for _ in "ab"]
+             for _ in range(200)]
+    whole = [page_diff.shared_lines(a, b) for a, b in pairs]
+    monkeypatch.setattr(page_diff, "TABLE_BITS", 10)
+    monkeypatch.setattr(page_diff, "COLUMNS", 4)
+    assert [page_diff.shared_lines(a, b) for a, b in pairs] == whole
+
+
 def test_frames_by_markup():
     page = """<body><header><h1>Site</h1></header><main><nav>menu</nav><h1>Title</h1>
     <p>One&nbsp;two <b>three</b><p>Four<script>var p = "</p>";</script> five
