@@ -33,11 +33,9 @@ def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of every group of near duplicates; rows that share an id stay together."""
+    """One row of every group of near duplicates, of the smallest id; ids may repeat."""
     ready(spark)
-    joined = ngram_join.join_ngrams(docs)
-    gone = materialize(joined.where("doc_id <> class_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return ngram_join.one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

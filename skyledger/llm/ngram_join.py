@@ -108,7 +108,7 @@ def band_hashes(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _signed(df: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """Per row: id, 128-bit key of its words, band hashes; null where it has no words."""
+    """Per row: uid, id, 128-bit key of its words, band hashes; null where it has no words."""
     rng = np.random.default_rng(21)
     factors = rng.integers(0, 2**32, bands * rows, dtype=np.uint32) | np.uint32(1)
     shifts = rng.integers(0, 2**32, bands * rows, dtype=np.uint32)
@@ -125,10 +125,10 @@ def _signed(df: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 least = signature(grams.of(own), factors, shifts)
                 key = xxhash.xxh3_128_hexdigest(b" ".join(own))
                 out.append((key, band_hashes(least, bands, rows)))
-            yield pd.DataFrame({"id": batch["id"].array, "key": [k for k, _ in out],
-                                "bands": [b for _, b in out]})
+            yield pd.DataFrame({"uid": batch["uid"].array, "id": batch["id"].array,
+                                "key": [k for k, _ in out], "bands": [b for _, b in out]})
 
-    return df.mapInPandas(run, "id long, key string, bands array<long>")
+    return df.mapInPandas(run, "uid long, id long, key string, bands array<long>")
 
 
 # buckets -----------------------------------------------------------------------------------
@@ -144,10 +144,7 @@ def _bucket_rows(candidates: DataFrame, words: int) -> DataFrame:
                 out = []
                 part = batch.iloc[begin:begin + 64]
                 for row in part.itertuples(index=False):
-                    own_words = split(row.text)
-                    if xxhash.xxh3_128_hexdigest(b" ".join(own_words)) != row.key:
-                        continue  # another text under the same id
-                    data = grams.of(own_words).tobytes()
+                    data = grams.of(split(row.text)).tobytes()
                     bands = row.bands.astype("<i8").tobytes()
                     for b in row.buckets:
                         own = xxhash.xxh64_intdigest(int(row.id).to_bytes(8, "little", signed=True),
@@ -251,24 +248,61 @@ def join_ngrams(
     ``recall``, a closer one with more; every pair found is verified on its full sets.
 
     Texts differ only by their words in lower case. A null text or one without words links with
-    nothing; so does a row with a null id, whose results are its own id. Repeated rows are copies
-    of each other; an id stands for one text, and other texts under it may lose links. An empty
-    table gives an empty table.
+    nothing. Repeated rows are copies of each other. Rows link by their texts, never by ids: an
+    id may stand for many texts, and rows with a null id link like others; where all ids are
+    null, ``copy_id`` and ``class_id`` are. An empty table gives an empty table.
     """
+    slim = materialize(df.select(
+        F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("id"),
+        F.col(text_col).alias("text")))
+    joined = _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes)
+    return joined.select(F.col("id").alias("doc_id"), "copy_id", "n_links", "class_id")
+
+
+def one_of_each(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+    band_rows: int = BAND_ROWS,
+    block_texts: int = BLOCK_TEXTS,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Exactly one row of ``df`` for each group of texts that links connect.
+
+    It is a row with the smallest id, null last; of several any one. A row without words is a
+    group of its own. Ids may repeat, also with other texts.
+    """
+    rows = materialize(df.select(
+        F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")))
+    slim = rows.select("uid", F.col("row")[id_col].cast("long").alias("id"),
+                       F.col("row")[text_col].alias("text"))
+    joined = _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid"))
+    kept = materialize(
+        joined.where("class IS NOT NULL").groupBy("class").agg(first.alias("first"))
+        .select("first.uid").unionByName(joined.where("class IS NULL").select("uid")))
+    return rows.join(kept, "uid", "left_semi").select("row.*")
+
+
+def _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes) -> DataFrame:
+    """Per row (uid, id, text) the results and its ``class``: the smallest uid that the links
+    between texts lead to, null without words. A text goes by the smallest uid that has it."""
     bands = bands_for(similarity, recall, band_rows)
-    slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = materialize(_signed(slim, words, bands, band_rows))
     classes = materialize(
-        signed.where(F.col("key").isNotNull() & F.col("id").isNotNull())
-        .groupBy("key").agg(F.min("id").alias("copy_id"), F.count(F.lit(1)).alias("copies"),
-                            F.first("bands").alias("bands"))
+        signed.where(F.col("key").isNotNull())
+        .groupBy("key").agg(F.min("uid").alias("uid"), F.min("id").alias("copy_id"),
+                            F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
     )
     # a bucket per band hash; of buckets with the same texts the first
-    spread = classes.select("copy_id", F.posexplode("bands").alias("band", "hash"))
+    spread = classes.select("uid", F.posexplode("bands").alias("band", "hash"))
     buckets = (
         spread.groupBy("band", "hash").agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.xxhash64("copy_id").cast("decimal(38,0)")).alias("texts"))
+            F.sum(F.xxhash64("uid").cast("decimal(38,0)")).alias("texts"))
         .where("n > 1").groupBy("n", "texts").agg(F.min(F.struct("band", "hash")).alias("own"))
         .select("own.band", "own.hash", "n")
     )
@@ -281,14 +315,14 @@ def _linked(slim, signed, classes, spread, buckets, words, similarity, block_tex
     blocks = F.ceil(F.col("n") / block_texts).cast("int")
     members = (
         spread.join(buckets, ["band", "hash"])
-        .groupBy("copy_id")
+        .groupBy("uid")
         .agg(F.collect_list(F.struct("band", "hash", blocks.alias("blocks"))).alias("buckets"))
     )
     # one text of each class that is in a bucket
-    wanted = classes.join(members, "copy_id").select(
-        F.col("copy_id").alias("id"), "key", "copies", "bands", "buckets")
-    own = slim.join(wanted, "id")
-    rows = _bucket_rows(own.select("id", "text", "key", "copies", "bands", "buckets"), words)
+    wanted = classes.join(members, "uid").select("uid", "copies", "bands", "buckets")
+    own = slim.select("uid", "text").join(wanted, "uid")
+    rows = _bucket_rows(
+        own.select(F.col("uid").alias("id"), "text", "copies", "bands", "buckets"), words)
     group = ["band", "hash", "low", "high"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -303,16 +337,17 @@ def _linked(slim, signed, classes, spread, buckets, words, similarity, block_tex
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     by_text = materialize(
-        classes.select("key", "copy_id", "copies")
-        .join(links.withColumnRenamed("id", "copy_id"), "copy_id", "left")
-        .join(parts.withColumnRenamed("node", "copy_id"), "copy_id", "left")
+        classes.select("key", "uid", "copy_id", "copies")
+        .join(links.withColumnRenamed("id", "uid"), "uid", "left")
+        .join(parts.withColumnRenamed("node", "uid"), "uid", "left")
         .select("key", "copy_id",
                 (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                F.coalesce("component", "copy_id").alias("class_id"))
+                F.coalesce("component", "uid").alias("class"))
     )
-    key = F.when(F.col("id").isNotNull(), F.col("key")).alias("key")
-    return signed.select("id", key).join(by_text, "key", "left").select(
-        F.col("id").alias("doc_id"), F.coalesce("copy_id", "id").alias("copy_id"),
+    lowest = by_text.groupBy("class").agg(F.min("copy_id").alias("class_id"))
+    by_text = by_text.join(lowest, "class")
+    return signed.select("uid", "id", "key").join(by_text, "key", "left").select(
+        "uid", "id", "class", F.coalesce("copy_id", "id").alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("class_id", "id").alias("class_id"),
     )

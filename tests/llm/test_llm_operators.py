@@ -251,6 +251,32 @@ def test_join_equals_all_pairs(spark, texts, block):
     assert sum(n for n, _ in expected.values()) > 300
 
 
+def test_one_row_of_each_group(spark):
+    a, b, c, d = ([f"{name}{k}" for k in range(60)] for name in "abcd")
+    near = [*b[:-1], "other"]
+    rows = [
+        (5, a), (9, a), (2, b), (5, b),  # id 5 stands for two texts
+        (7, c), (7, c), (7, c),  # loaded again
+        (None, d), (None, d), (None, near),  # null ids
+        (20, []), (20, []), (None, []),  # no words, no links
+    ]
+    df = spark.createDataFrame(
+        [(i, " ".join(text), k) for k, (i, text) in enumerate(rows)],
+        "doc_id long, text string, uid long").repartition(3)
+    one = ngram_join.one_of_each(df)
+    assert one.columns == df.columns
+    kept = [(r["doc_id"], r["text"]) for r in one.collect()]
+    assert sorted(kept, key=repr) == sorted(
+        [(i, " ".join(text)) for i, text in (
+            (5, a), (2, b), (7, c), (None, d), (20, []), (20, []), (None, []))], key=repr)
+    out = Counter((r["doc_id"], r["copy_id"], r["n_links"], r["class_id"])
+                  for r in ngram_join.join_ngrams(df).collect())
+    assert out == {
+        (5, 5, 1, 5): 1, (9, 5, 1, 5): 1, (2, 2, 2, 2): 1, (5, 2, 2, 2): 1, (7, 7, 2, 7): 3,
+        (None, None, 1, None): 2, (None, None, 2, 2): 1, (20, 20, 0, 20): 2,
+        (None, None, 0, None): 1}
+
+
 def test_bands_reach_recall():
     bands = ngram_join.bands_for(0.8, 0.999999, 5)
     assert 1 - (1 - 0.8**5) ** bands >= 0.999999 > 1 - (1 - 0.8**5) ** (bands - 1)
