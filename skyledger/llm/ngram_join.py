@@ -3,7 +3,9 @@
 Equal texts are one class. Every class has a signature; bands of it are shuffled by their hashes.
 A bucket of equal band hashes is compared inside a task on the full n-gram sets, large buckets in
 blocks against blocks, and yields link counts and a spanning forest per text: no list of pairs
-is ever made. A pair counts in the first band that its texts share, so it counts once.
+is made. Only a text whose set is larger than a block is cut by ranges of its hashes, and the
+overlaps of its pairs are added. A pair counts in the first band that its texts share, so it
+counts once.
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ BAND_ROWS = 5
 # A block of a bucket has about so many texts and bytes of n-grams at most.
 BLOCK_TEXTS = 400
 BLOCK_BYTES = 16 << 20
+# Bytes of rows with n-grams that a task makes at a time, and n-grams it compares at a time.
+OUT_BYTES = 16 << 20
+AT_ONCE = 1 << 20
 # Words hashed at a time, so that a very long text needs no more memory than others.
 SLICE = 1 << 16
 
@@ -108,7 +113,8 @@ def band_hashes(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _signed(df: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """Per row: uid, id, 128-bit key of its words, band hashes; null where it has no words."""
+    """Per row: uid, id, 128-bit key of its words, bytes of its n-grams, band hashes; null where
+    it has no words."""
     rng = np.random.default_rng(21)
     factors = rng.integers(0, 2**32, bands * rows, dtype=np.uint32) | np.uint32(1)
     shifts = rng.integers(0, 2**32, bands * rows, dtype=np.uint32)
@@ -120,48 +126,83 @@ def _signed(df: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             for text in batch["text"]:
                 own = split(text)
                 if not own:
-                    out.append((None, None))
+                    out.append((None, 0, None))
                     continue
-                least = signature(grams.of(own), factors, shifts)
+                found = grams.of(own)
+                least = signature(found, factors, shifts)
                 key = xxhash.xxh3_128_hexdigest(b" ".join(own))
-                out.append((key, band_hashes(least, bands, rows)))
+                out.append((key, found.nbytes, band_hashes(least, bands, rows)))
             yield pd.DataFrame({"uid": batch["uid"].array, "id": batch["id"].array,
-                                "key": [k for k, _ in out], "bands": [b for _, b in out]})
+                                "key": [k for k, _, _ in out], "bytes": [n for _, n, _ in out],
+                                "bands": [b for _, _, b in out]})
 
-    return df.mapInPandas(run, "uid long, id long, key string, bands array<long>")
+    return df.mapInPandas(run, "uid long, id long, key string, bytes long, bands array<long>")
 
 
 # buckets -----------------------------------------------------------------------------------
 
 
-def _bucket_rows(candidates: DataFrame, words: int) -> DataFrame:
-    """A row per text, bucket and pair of blocks that the text takes part in."""
+def _bucket_rows(candidates: DataFrame, words: int, similarity: float,
+                 block_bytes: int) -> DataFrame:
+    """A row per text, bucket and pair of blocks that the text takes part in.
+
+    ``range`` is 0 where the text is whole. Texts larger than a block, and those of the same
+    bucket that are large enough to link with one, have a row for every range of hashes.
+    """
+    names = ["band", "hash", "low", "high", "range", "id", "copies", "block", "limit", "size",
+             "bands", "grams"]
+
+    def pieces(found: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes]]:
+        if found.nbytes <= block_bytes:
+            yield 0, found.tobytes()
+        if ranges > 1 and found.nbytes >= similarity * block_bytes:
+            for k, part in enumerate(_cut([found], ranges), 1):
+                yield k, part[0].tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams = Grams(words)
+        out, held = [], 0
         for batch in batches:
-            for begin in range(0, len(batch), 64):
-                out = []
-                part = batch.iloc[begin:begin + 64]
-                for row in part.itertuples(index=False):
-                    data = grams.of(split(row.text)).tobytes()
-                    bands = row.bands.astype("<i8").tobytes()
-                    for b in row.buckets:
-                        own = xxhash.xxh64_intdigest(int(row.id).to_bytes(8, "little", signed=True),
-                                                     9) % b["blocks"]
+            for row in batch.itertuples(index=False):
+                found = grams.of(split(row.text))
+                bands = row.bands.astype("<i8").tobytes()
+                for b in row.buckets:
+                    own = xxhash.xxh64_intdigest(int(row.id).to_bytes(8, "little", signed=True),
+                                                 9) % b["blocks"]
+                    for part, data in pieces(found, b["ranges"]):
                         for other in range(b["blocks"]):
                             out.append((b["band"], b["hash"], min(own, other), max(own, other),
-                                        row.id, row.copies, own, bands, data))
-                yield pd.DataFrame(out, columns=["band", "hash", "low", "high", "id", "copies",
-                                                 "block", "bands", "grams"])
+                                        part, row.id, row.copies, own, block_bytes // 8,
+                                        found.size, bands, data))
+                            held += len(bands) + len(data)
+                            if held >= OUT_BYTES:
+                                yield pd.DataFrame(out, columns=names)
+                                out, held = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=names)
 
     return candidates.mapInPandas(
-        run, "band int, hash long, low int, high int, id long, copies long, block int, "
-        "bands binary, grams binary")
+        run, "band int, hash long, low int, high int, range int, id long, copies long, "
+        "block int, limit long, size long, bands binary, grams binary")
+
+
+def _cut(sets: list[np.ndarray], ranges: int) -> Iterator[list[np.ndarray]]:
+    """The parts of sorted sets in equal ranges of hashes."""
+    cuts = np.array([(k << 64) // ranges for k in range(1, ranges)], dtype=np.uint64)
+    places = [[0, *np.searchsorted(s, cuts).tolist(), s.size] for s in sets]
+    for k in range(ranges):
+        yield [s[at[k]:at[k + 1]] for s, at in zip(sets, places, strict=True)]
 
 
 def _overlaps(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Common n-grams of the pairs (first, second) of sets."""
+    """Common n-grams of the pairs (first, second) of sets, some ranges of hashes at a time."""
+    out = np.zeros(first.size, dtype=np.int64)
+    for parts in _cut(sets, max(1, -(-sum(s.size for s in sets) // AT_ONCE))):
+        out += _common(parts, first, second)
+    return out
+
+
+def _common(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
     if first.size <= 64 or len(sets) < 16:
         held: dict[int, set] = {}
         out = np.empty(first.size, dtype=np.int64)
@@ -194,17 +235,21 @@ def _overlaps(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) ->
 
 def _bucket_links(group: pd.DataFrame, similarity: float) -> pd.DataFrame | None:
     """Links inside one bucket, or between two blocks of it: per text the number of linked
-    documents and the smallest text it hangs together with here."""
+    documents and the smallest text it hangs together with here. In a range of hashes: the
+    common n-grams of the pairs with a text larger than a block."""
     group = group.sort_values("id").drop_duplicates("id")
     sets = [np.frombuffer(data, dtype=np.uint64) for data in group["grams"]]
     bands = np.stack([np.frombuffer(data, dtype="<i8") for data in group["bands"]])
     band = int(group["band"].iloc[0])
     low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
     block = group["block"].to_numpy()
-    sizes = np.array([s.size for s in sets])
+    sizes = group["size"].to_numpy()
     first, second = np.triu_indices(len(sets), 1)
     able = np.minimum(sizes[first], sizes[second]) >= similarity * np.maximum(
         sizes[first], sizes[second])
+    part = int(group["range"].iloc[0])
+    if part:
+        able &= np.maximum(sizes[first], sizes[second]) > group["limit"].iloc[0]
     if low != high:
         able &= block[first] != block[second]
     first, second = first[able], second[able]
@@ -216,17 +261,22 @@ def _bucket_links(group: pd.DataFrame, similarity: float) -> pd.DataFrame | None
     if not first.size:
         return None
     common = _overlaps(sets, first, second)
+    copies, ids = group["copies"].to_numpy(), group["id"].to_numpy()
+    if part:
+        return pd.DataFrame({
+            "id": ids[first], "links": copies[first], "root": ids[second], "common": common,
+            "sizes": sizes[first] + sizes[second], "others": copies[second]})
     near = common >= similarity * (sizes[first] + sizes[second] - common) - 1e-9
     first, second = first[near], second[near]
     if not first.size:
         return None
-    copies, ids = group["copies"].to_numpy(), group["id"].to_numpy()
     links = np.bincount(first, copies[second], len(sets)) + np.bincount(
         second, copies[first], len(sets))
     out = links > 0
     roots = roots_of(len(sets), first, second)
     return pd.DataFrame({"id": ids[out], "links": links[out].astype(np.int64),
-                         "root": ids[roots[out]]})
+                         "root": ids[roots[out]], "common": None, "sizes": None,
+                         "others": None})
 
 
 def join_ngrams(
@@ -295,16 +345,21 @@ def _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes
     classes = materialize(
         signed.where(F.col("key").isNotNull())
         .groupBy("key").agg(F.min("uid").alias("uid"), F.min("id").alias("copy_id"),
-                            F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+                            F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes"),
+                            F.first("bands").alias("bands"))
     )
     # a bucket per band hash; of buckets with the same texts the first
-    spread = classes.select("uid", F.posexplode("bands").alias("band", "hash"))
+    spread = classes.select("uid", "bytes", F.posexplode("bands").alias("band", "hash"))
+    # a text larger than a block is cut, so its part counts as one
+    part = F.least("bytes", F.lit(block_bytes))
     buckets = (
         spread.groupBy("band", "hash").agg(
-            F.count(F.lit(1)).alias("n"),
+            F.count(F.lit(1)).alias("n"), F.sum(part).alias("bytes"),
+            F.max("bytes").alias("most"),
             F.sum(F.xxhash64("uid").cast("decimal(38,0)")).alias("texts"))
-        .where("n > 1").groupBy("n", "texts").agg(F.min(F.struct("band", "hash")).alias("own"))
-        .select("own.band", "own.hash", "n")
+        .where("n > 1").groupBy("n", "texts")
+        .agg(F.min(F.struct("band", "hash", "bytes", "most")).alias("own"))
+        .select("own.band", "own.hash", "n", "own.bytes", "own.most")
     )
     return _linked(slim, signed, classes, spread, materialize(buckets), words, similarity,
                    block_texts, block_bytes)
@@ -312,18 +367,21 @@ def _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes
 
 def _linked(slim, signed, classes, spread, buckets, words, similarity, block_texts,
             block_bytes) -> DataFrame:
-    blocks = F.ceil(F.col("n") / block_texts).cast("int")
+    blocks = F.greatest(F.ceil(F.col("n") / block_texts), F.ceil(F.col("bytes") / block_bytes))
+    ranges = F.ceil(F.col("most") / block_bytes)
     members = (
-        spread.join(buckets, ["band", "hash"])
+        spread.drop("bytes").join(buckets, ["band", "hash"])
         .groupBy("uid")
-        .agg(F.collect_list(F.struct("band", "hash", blocks.alias("blocks"))).alias("buckets"))
+        .agg(F.collect_list(F.struct("band", "hash", blocks.cast("int").alias("blocks"),
+                                     ranges.cast("int").alias("ranges"))).alias("buckets"))
     )
     # one text of each class that is in a bucket
     wanted = classes.join(members, "uid").select("uid", "copies", "bands", "buckets")
     own = slim.select("uid", "text").join(wanted, "uid")
     rows = _bucket_rows(
-        own.select(F.col("uid").alias("id"), "text", "copies", "bands", "buckets"), words)
-    group = ["band", "hash", "low", "high"]
+        own.select(F.col("uid").alias("id"), "text", "copies", "bands", "buckets"), words,
+        similarity, block_bytes)
+    group = ["band", "hash", "low", "high", "range"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in sorted_groups(batches, group):
@@ -333,7 +391,19 @@ def _linked(slim, signed, classes, spread, buckets, words, similarity, block_tex
 
     found = materialize(
         rows.repartition(*group).sortWithinPartitions(*group)
-        .mapInPandas(run, "id long, links long, root long"))
+        .mapInPandas(run, "id long, links long, root long, common long, sizes long, "
+                     "others long"))
+    whole = found.where("common IS NULL").select("id", "links", "root")
+    # the pairs of texts larger than a block, their ranges added
+    large = (
+        found.where("common IS NOT NULL").groupBy("id", "root")
+        .agg(F.sum("common").alias("common"), F.first("sizes").alias("sizes"),
+             F.first("links").alias("copies"), F.first("others").alias("others"))
+        .where(F.col("common") >= similarity * (F.col("sizes") - F.col("common")) - 1e-9)
+    )
+    found = whole.unionByName(large.select("id", F.col("others").alias("links"), "root")).unionByName(
+        large.select(F.col("root").alias("id"), F.col("copies").alias("links"),
+                     F.col("id").alias("root")))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     by_text = materialize(

@@ -251,6 +251,38 @@ def test_join_equals_all_pairs(spark, texts, block):
     assert sum(n for n, _ in expected.values()) > 300
 
 
+@pytest.mark.parametrize("block_bytes", [600, 2000])
+def test_join_bounds_the_bytes_of_a_group(spark, texts, monkeypatch, block_bytes):
+    texts = near_copies(dict(list(texts.items())[:100]))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    groups = spark.sparkContext.accumulator(0)
+    plain = ngram_join._bucket_links
+
+    def watched(group, similarity):
+        held = sum(map(len, group["grams"]))
+        # hashes deal texts to blocks, so some blocks are larger than the mean
+        if held > 16 * block_bytes or max(map(len, group["grams"])) > 1.5 * block_bytes + 200:
+            groups.add(1)
+        return plain(group, similarity)
+
+    monkeypatch.setattr(ngram_join, "_bucket_links", watched)
+    found = ngram_join.join_ngrams(df, block_bytes=block_bytes).collect()
+    expected = brute.joined(texts.items())
+    assert {r["doc_id"]: (r["n_links"], r["class_id"]) for r in found} == expected
+    assert groups.value == 0
+
+
+def test_overlaps_of_ranges_add_up(monkeypatch):
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, size)) for size in rng.integers(1, 200, 20)]
+    first, second = np.triu_indices(len(sets), 1)
+    whole = [len(set(sets[a].tolist()) & set(sets[b].tolist()))
+             for a, b in zip(first, second, strict=True)]
+    monkeypatch.setattr(ngram_join, "AT_ONCE", 50)
+    assert ngram_join._overlaps(sets, first, second).tolist() == whole
+
+
 def test_one_row_of_each_group(spark):
     a, b, c, d = ([f"{name}{k}" for k in range(60)] for name in "abcd")
     near = [*b[:-1], "other"]
