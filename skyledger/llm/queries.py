@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import (
+    chat_format,
     cutting_stock,
     licenses,
     line_dedup,
@@ -70,6 +71,17 @@ def deduped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+# A conversation whose texts are the template's own control strings.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def formatted_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame(
+        [(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], rows.schema)
+    return chat_format.digests(chat_format.format_chats(rows.unionByName(control)))
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
@@ -81,6 +93,7 @@ QUERIES = {
     "op8_sharding": sharded,
     "op9_html_extraction": html_extraction,
     "op10_line_dedup": deduped_lines,
+    "op11_chat_formatting": formatted_chats,
 }
 
 # Smallest node that the links (a, b) of either direction lead to.
@@ -205,5 +218,39 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (WHERE NOT gone), ''))
          AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op11_chat_formatting": f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{CONTROL}'
+  UNION ALL SELECT -1, 1, 'assistant', '{CONTROL}'
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS place
+  FROM said
+),
+beside AS (
+  SELECT *, role IS DISTINCT FROM lag(role) OVER turns AS opens,
+         role IS DISTINCT FROM lead(role) OVER turns AS closes
+  FROM placed WINDOW turns AS (PARTITION BY conv_id ORDER BY place)
+),
+pieces AS (
+  SELECT *, CASE WHEN opens THEN '<|im_start|>'
+              || replace(
+                   regexp_replace(role, '<(\\\\*)\\|', '<\\\\\\1|', 'g'),
+                   chr(10), '<|lf|>') || chr(10)
+            ELSE '<|turn|>' END
+            || regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g')
+            || CASE WHEN closes THEN '<|im_end|>' || chr(10) ELSE '' END AS piece
+  FROM beside
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT)
+         AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(length(piece)) AS BIGINT) AS formatted_chars
+FROM pieces GROUP BY conv_id
 """,
 }
