@@ -10,6 +10,7 @@ from skyledger.llm import (
     cutting_stock,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     ngram_join,
     page_diff,
@@ -18,7 +19,7 @@ from skyledger.llm import (
     sharding,
     weak_rules,
 )
-from skyledger.llm.columns import table
+from skyledger.llm.columns import LOWER, UPPER, table
 
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +83,16 @@ def formatted_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_chats(rows.unionByName(control)))
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every third document, by the CRC-32 of its id, A-Z of the text are made lower case."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = merkle.leaf_digest([
+        F.translate("text", UPPER, LOWER) if name == "text" else F.col(name) for name in fields])
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.manifest(docs, "doc_id", "lang", fields, F.when(chosen, changed))
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
@@ -94,6 +105,7 @@ QUERIES = {
     "op9_html_extraction": html_extraction,
     "op10_line_dedup": deduped_lines,
     "op11_chat_formatting": formatted_chats,
+    "op12_merkle_manifest": merkle_manifest,
 }
 
 # Smallest node that the links (a, b) of either direction lead to.
@@ -108,6 +120,23 @@ counted AS (SELECT a AS node, count(*) AS n_links FROM both_ways GROUP BY a),
 lowest AS (SELECT node, min(root) AS component FROM reached GROUP BY node)
 """
 
+# CRC-32 of a decimal number, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                  lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(
+    list_prepend(xor(crc, byte), range(8)),
+    lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)))"""
+
+
+def _encoded(value: str) -> str:
+    return (f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')")
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_encoded, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+
 ORACLE = {
     "op4_embedding_dedup": f"""
 WITH RECURSIVE able AS (
@@ -252,5 +281,67 @@ SELECT conv_id, count(*) AS n_turns,
          AS loss_sha256,
        CAST(sum(length(piece)) AS BIGINT) AS formatted_chars
 FROM pieces GROUP BY conv_id
+""",
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC32} % 3 = 0
+           THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+           ELSE {_leaf("text")} END AS claimed
+  FROM documents
+),
+placed AS (
+  SELECT *, row_number() OVER () AS number, count(*) OVER (PARTITION BY lang) AS n,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM leaves
+),
+nodes AS (
+  SELECT lang, 0 AS level, place, leaf AS digest, n FROM placed
+  UNION ALL
+  SELECT lang, level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (n + 7) // 8
+  FROM nodes WHERE n > 1 GROUP BY lang, level, place // 8, n
+),
+subroots AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place,
+         count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+),
+tops AS (
+  SELECT 0 AS level, place, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (n + 7) // 8
+  FROM tops WHERE n > 1 GROUP BY level, place // 8, n
+),
+ways AS (
+  SELECT number, level AS height, digest, nodes.place AS spot, placed.place >> (3 * level) AS own
+  FROM placed JOIN nodes ON nodes.lang IS NOT DISTINCT FROM placed.lang AND nodes.n > 1
+    AND nodes.place // 8 = placed.place >> (3 * level + 3)
+  UNION ALL
+  SELECT number, 100 + level, digest, tops.place, subroots.place >> (3 * level)
+  FROM placed JOIN subroots ON subroots.lang IS NOT DISTINCT FROM placed.lang
+  JOIN tops ON tops.n > 1 AND tops.place // 8 = subroots.place >> (3 * level + 3)
+),
+steps AS (
+  SELECT number, row_number() OVER (PARTITION BY number ORDER BY height) AS step,
+         coalesce(string_agg(digest, '' ORDER BY spot) FILTER (WHERE spot < own), '') AS lefts,
+         coalesce(string_agg(digest, '' ORDER BY spot) FILTER (WHERE spot > own), '') AS rights
+  FROM ways GROUP BY number, height
+),
+folds AS (
+  SELECT number, 0 AS step, claimed AS digest FROM placed
+  UNION ALL
+  SELECT number, steps.step, sha256(lefts || digest || rights)
+  FROM folds JOIN steps USING (number) WHERE steps.step = folds.step + 1
+),
+proofs AS (
+  SELECT number, sha256(string_agg(lefts || rights, '' ORDER BY step)) AS proof_sha256
+  FROM steps GROUP BY number
+),
+ends AS (SELECT number, arg_max(digest, step) AS folded_root FROM folds GROUP BY number)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM placed JOIN subroots ON subroots.lang IS NOT DISTINCT FROM placed.lang
+CROSS JOIN (SELECT digest AS root FROM tops WHERE n = 1)
+JOIN ends USING (number) LEFT JOIN proofs USING (number)
 """,
 }
