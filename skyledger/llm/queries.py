@@ -17,6 +17,7 @@ from skyledger.llm import (
     pairwise_quality,
     projection_dedup,
     sharding,
+    token_align,
     weak_rules,
 )
 from skyledger.llm.columns import LOWER, UPPER, table
@@ -93,6 +94,14 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, "doc_id", "lang", fields, F.when(chosen, changed))
 
 
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_align.align_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
@@ -106,6 +115,7 @@ QUERIES = {
     "op10_line_dedup": deduped_lines,
     "op11_chat_formatting": formatted_chats,
     "op12_merkle_manifest": merkle_manifest,
+    "op13_token_alignment": token_alignment,
 }
 
 # Smallest node that the links (a, b) of either direction lead to.
