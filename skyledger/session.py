@@ -72,25 +72,26 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 # Tables written outside of any ``scratch_tables`` block.
 _open: list[str] = []
+# Lists that take the paths of new tables, the innermost block's last.
+_written: ContextVar[tuple[list[str], ...]] = ContextVar("written", default=(_open,))
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, outlive: bool = False) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, fixes values that depend on the physical
     layout, and gives the planner the true size of what follows. The table goes at the end of
-    the ``scratch_tables`` block around the call, else with ``drop_scratch``.
+    the ``scratch_tables`` block around the call, else with ``drop_scratch``; with ``outlive`` it
+    belongs to the block around that one.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "table")
-    written = _written.get()
-    if written is None:
-        if not _open:
-            atexit.register(_drop_at_exit)
-        written = _open
+    lists = _written.get()
+    written = lists[-2] if outlive and len(lists) > 1 else lists[-1]
+    if written is _open and not _open:
+        atexit.register(_drop_at_exit)
     written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -101,27 +102,42 @@ def _drop_at_exit() -> None:
         drop_scratch()
 
 
+def _drop(spark: SparkSession | None, tables: list[str], keep: DataFrame | None = None) -> None:
+    read = [] if keep is None or not tables else keep.inputFiles()
+    for path in list(tables):
+        name = path.rsplit("/", 1)[1]
+        if spark is not None and not any(f"/{name}/" in file for file in read):
+            Folder(spark, path).delete("")
+            tables.remove(path)
+
+
 def drop_scratch() -> None:
     """Drop the tables that ``materialize`` wrote outside of ``scratch_tables``.
 
     Frames made from them are lost. Runs by itself when the driver ends; call it between the
     jobs of a long session.
     """
-    spark = SparkSession.getActiveSession()
-    while _open and spark is not None:
-        Folder(spark, _open.pop()).delete("")
+    _drop(SparkSession.getActiveSession(), _open)
 
 
 @contextmanager
-def scratch_tables(spark: SparkSession) -> Iterator[None]:
-    """Drop the tables that ``materialize`` writes inside when the block ends."""
-    token = _written.set([])
+def scratch_tables(
+    spark: SparkSession, tables: list[str] | None = None, before: DataFrame | None = None
+) -> Iterator[None]:
+    """Drop the tables that ``materialize`` writes inside when the block ends.
+
+    With a list for ``tables`` they stay there: those that an earlier block with the list has
+    left are dropped at the start, but for what ``before`` reads.
+    """
+    own = [] if tables is None else tables
+    _drop(spark, own, before)
+    token = _written.set((*_written.get(), own))
     try:
         yield
     finally:
-        for path in _written.get() or []:
-            Folder(spark, path).delete("")
         _written.reset(token)
+        if tables is None:
+            _drop(spark, own)
 
 
 def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
