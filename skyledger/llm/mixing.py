@@ -268,6 +268,9 @@ def mix(
                 F.size(words(F.col(f"row.{text_col}"))).cast("long").alias("size"),
                 order.alias("order"))
         .withColumn("group", F.substring("order", 1, GROUP_DIGITS))
+        # a key without nulls, so that the join below finds the rows where the window left them
+        .withColumns({"has_source": F.col("source").isNotNull(),
+                      "name": F.coalesce(F.col("source").cast("string"), F.lit(""))})
     )
     groups = materialize(
         placed.groupBy("source", F.substring("group", 1, CHAPTER_DIGITS).alias("chapter"),
@@ -281,15 +284,18 @@ def mix(
     starts = materialize(starts.join(
         plan.select(F.col("source").alias("of"), "source_size", "target", "due", "quota", "cuts"),
         F.col("source").eqNullSafe(F.col("of")),
-    ).drop("of", "cuts", "quota"))
-    inner = Window.partitionBy("source", "group").orderBy("order", "size").rowsBetween(
+    ).drop("of", "cuts", "quota").select(
+        F.col("source").isNotNull().alias("has_source"),
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("name"), "group",
+        "group_start", "source_size", "target", "due"))
+    key = ["has_source", "name", "group"]
+    inner = Window.partitionBy(*key).orderBy("order", "size").rowsBetween(
         Window.unboundedPreceding, -1)
     lined = (
         placed.withColumn("inner", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-        .join(starts.withColumnsRenamed({"source": "of", "group": "of_group"}),
-              F.col("source").eqNullSafe(F.col("of")) & (F.col("group") == F.col("of_group")))
+        .join(starts, key)
         .withColumn("at", F.col("group_start") + F.col("inner"))
-        .drop("of", "of_group", "group", "group_start", "inner", "order")
+        .drop(*key, "group_start", "inner", "order")
         .join(plan.select(F.col("source").alias("of"), "quota", "cuts"),
               F.col("source").eqNullSafe(F.col("of")))
         .drop("of")

@@ -536,7 +536,9 @@ def test_alignment_equals_dynamic_program():
 
 
 def test_alignment_of_huge_pages(monkeypatch):
+    """A table made in pieces gives the same subsequence as a whole one."""
+    own, other = [1, 2, 90, 3, 3, 4, 91, 5], [1, 7, 3, 4, 3, 8, 5]
+    whole = page_diff.shared_lines(own, other)
+    assert [x for x, shared in zip(own, whole, strict=True) if shared] in ([1, 3, 4, 5], [1, 3, 3, 5])
     monkeypatch.setattr(page_diff, "TABLE_BITS", 10)
-    own = [1, 2, 90, 3, 3, 4, 91, 5]
-    assert page_diff.shared_lines(own, [1, 7, 3, 4, 3, 8, 5]) == [
-        True, False, False, False, False, True, False, True]
+    assert page_diff.shared_lines(own, other) == whole
