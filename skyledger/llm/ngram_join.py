@@ -16,17 +16,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.graph import components
 from skyledger.llm.groups import roots_of, sorted_groups
-from skyledger.session import materialize
+from skyledger.session import materialize, scratch_tables
 
 WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.999999
 BAND_ROWS = 5
+# Bands that ``one_of_each`` compares first: buckets of the others whose texts hang together by
+# then are settled.
+FIRST_BANDS = 4
 # A block of a bucket has about so many texts and bytes of n-grams at most.
 BLOCK_TEXTS = 400
 BLOCK_BYTES = 16 << 20
@@ -325,22 +328,72 @@ def one_of_each(
     It is a row with the smallest id, null last; of several any one. A row without words is a
     group of its own. Ids may repeat, also with other texts.
     """
+    spark = df.sparkSession
     rows = materialize(df.select(
         F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")))
     slim = rows.select("uid", F.col("row")[id_col].cast("long").alias("id"),
                        F.col("row")[text_col].alias("text"))
-    joined = _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes)
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid"))
-    kept = materialize(
-        joined.where("class IS NOT NULL").groupBy("class").agg(first.alias("first"))
-        .select("first.uid").unionByName(joined.where("class IS NULL").select("uid")))
+    with scratch_tables(spark):
+        grouped = _grouped(slim, words, similarity, recall, band_rows, block_texts, block_bytes)
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid"))
+        kept = materialize(
+            grouped.where("class IS NOT NULL").groupBy("class").agg(first.alias("first"))
+            .select("first.uid").unionByName(grouped.where("class IS NULL").select("uid")),
+            outlive=True)
     return rows.join(kept, "uid", "left_semi").select("row.*")
 
 
+def _grouped(slim, words, similarity, recall, band_rows, block_texts, block_bytes) -> DataFrame:
+    """Per row (uid, id, text) its ``class``: the smallest uid that the links between texts lead
+    to, null without words.
+
+    The first bands are compared as a whole. A bucket of a later band is compared only if its
+    texts do not hang together by then; so every link between two groups is still found.
+    """
+    bands = bands_for(similarity, recall, band_rows)
+    signed, classes = _classes(slim, words, bands, band_rows)
+    spread = classes.select("uid", "bytes", F.posexplode("bands").alias("band", "hash"))
+    first, later = F.col("band") < FIRST_BANDS, F.col("band") >= FIRST_BANDS
+    compared = materialize(_buckets(spread.where(first), block_bytes))
+    near = materialize(_found(slim, classes, spread.where(first), compared, words, similarity,
+                              block_texts, block_bytes))
+    groups = materialize(components(_edges(near, similarity)))
+    known = spread.where(later).join(
+        groups.withColumnRenamed("node", "uid"), "uid", "left").select(
+        "uid", "bytes", "band", "hash", F.coalesce("component", "uid").alias("group"))
+    settled = F.min("group") == F.max("group")
+    # nor is one with the same texts as a bucket of the first bands
+    open_ = materialize(_buckets(known, block_bytes, ~settled).join(
+        compared.select("n", "texts"), ["n", "texts"], "left_anti"))
+    far = _found(slim, classes, spread.where(later), open_, words, similarity, block_texts,
+                 block_bytes)
+    parts = components(
+        groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(
+            _edges(materialize(far), similarity)))
+    by_text = classes.select("key", "uid").join(
+        parts.withColumnRenamed("node", "uid"), "uid", "left").select(
+        "key", F.coalesce("component", "uid").alias("class"))
+    return signed.select("uid", "id", "key").join(by_text, "key", "left").drop("key")
+
+
+def _edges(found: DataFrame, similarity: float) -> DataFrame:
+    return _all_links(found, similarity).select(F.col("id").alias("a"), F.col("root").alias("b"))
+
+
 def _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes) -> DataFrame:
     """Per row (uid, id, text) the results and its ``class``: the smallest uid that the links
     between texts lead to, null without words. A text goes by the smallest uid that has it."""
     bands = bands_for(similarity, recall, band_rows)
+    signed, classes = _classes(slim, words, bands, band_rows)
+    spread = classes.select("uid", "bytes", F.posexplode("bands").alias("band", "hash"))
+    buckets = materialize(_buckets(spread, block_bytes))
+    found = materialize(_found(
+        slim, classes, spread, buckets, words, similarity, block_texts, block_bytes))
+    return _linked(signed, classes, _all_links(found, similarity))
+
+
+def _classes(slim: DataFrame, words: int, bands: int, band_rows: int) -> tuple:
+    """Rows with keys and bands, and a row per text; both written."""
     signed = materialize(_signed(slim, words, bands, band_rows))
     classes = materialize(
         signed.where(F.col("key").isNotNull())
@@ -348,29 +401,35 @@ def _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes
                             F.count(F.lit(1)).alias("copies"), F.first("bytes").alias("bytes"),
                             F.first("bands").alias("bands"))
     )
-    # a bucket per band hash; of buckets with the same texts the first
-    spread = classes.select("uid", "bytes", F.posexplode("bands").alias("band", "hash"))
+    return signed, classes
+
+
+def _buckets(spread: DataFrame, block_bytes: int, wanted: Column | None = None) -> DataFrame:
+    """A bucket per band hash of several texts; of buckets with the same texts the first.
+
+    ``wanted`` is a condition on the texts of a bucket.
+    """
     # a text larger than a block is cut, so its part counts as one
     part = F.least("bytes", F.lit(block_bytes))
-    buckets = (
+    return (
         spread.groupBy("band", "hash").agg(
             F.count(F.lit(1)).alias("n"), F.sum(part).alias("bytes"),
             F.max("bytes").alias("most"),
-            F.sum(F.xxhash64("uid").cast("decimal(38,0)")).alias("texts"))
-        .where("n > 1").groupBy("n", "texts")
+            F.sum(F.xxhash64("uid").cast("decimal(38,0)")).alias("texts"),
+            (F.lit(True) if wanted is None else wanted).alias("wanted"))
+        .where("n > 1 AND wanted").groupBy("n", "texts")
         .agg(F.min(F.struct("band", "hash", "bytes", "most")).alias("own"))
-        .select("own.band", "own.hash", "n", "own.bytes", "own.most")
+        .select("own.band", "own.hash", "n", "texts", "own.bytes", "own.most")
     )
-    return _linked(slim, signed, classes, spread, materialize(buckets), words, similarity,
-                   block_texts, block_bytes)
 
 
-def _linked(slim, signed, classes, spread, buckets, words, similarity, block_texts,
-            block_bytes) -> DataFrame:
+def _found(slim, classes, spread, buckets, words, similarity, block_texts,
+           block_bytes) -> DataFrame:
+    """What ``_bucket_links`` finds in the buckets."""
     blocks = F.greatest(F.ceil(F.col("n") / block_texts), F.ceil(F.col("bytes") / block_bytes))
     ranges = F.ceil(F.col("most") / block_bytes)
     members = (
-        spread.drop("bytes").join(buckets, ["band", "hash"])
+        spread.drop("bytes").join(buckets.drop("texts"), ["band", "hash"])
         .groupBy("uid")
         .agg(F.collect_list(F.struct("band", "hash", blocks.cast("int").alias("blocks"),
                                      ranges.cast("int").alias("ranges"))).alias("buckets"))
@@ -389,10 +448,12 @@ def _linked(slim, signed, classes, spread, buckets, words, similarity, block_tex
             if found is not None:
                 yield found
 
-    found = materialize(
-        rows.repartition(*group).sortWithinPartitions(*group)
-        .mapInPandas(run, "id long, links long, root long, common long, sizes long, "
-                     "others long"))
+    return rows.repartition(*group).sortWithinPartitions(*group).mapInPandas(
+        run, "id long, links long, root long, common long, sizes long, others long")
+
+
+def _all_links(found: DataFrame, similarity: float) -> DataFrame:
+    """Links of texts: (id, links, root), those found in ranges of hashes included."""
     whole = found.where("common IS NULL").select("id", "links", "root")
     # the pairs of texts larger than a block, their ranges added
     large = (
@@ -401,9 +462,14 @@ def _linked(slim, signed, classes, spread, buckets, words, similarity, block_tex
              F.first("links").alias("copies"), F.first("others").alias("others"))
         .where(F.col("common") >= similarity * (F.col("sizes") - F.col("common")) - 1e-9)
     )
-    found = whole.unionByName(large.select("id", F.col("others").alias("links"), "root")).unionByName(
+    return whole.unionByName(
+        large.select("id", F.col("others").alias("links"), "root")).unionByName(
         large.select(F.col("root").alias("id"), F.col("copies").alias("links"),
                      F.col("id").alias("root")))
+
+
+def _linked(signed: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """Per row of ``signed`` its class, number of links and smallest ids."""
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     by_text = materialize(
