@@ -4,13 +4,29 @@ each near-duplicate group, mixed to source weights, packed into sequences."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import cutting_stock, line_dedup, mixing, ngram_join, pairwise_quality
 from skyledger.llm.columns import ready, table
-from skyledger.session import materialize
+from skyledger.session import materialize, scratch_tables
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Intermediate tables of the stage that ran last.
+_LEFT: list[str] = []
+
+
+def stage(function: Stage) -> Stage:
+    """A stage's result is written before the next stage begins: that one drops what it needed."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with scratch_tables(spark, _LEFT, docs):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def _as_documents(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -21,35 +37,40 @@ def _as_documents(df: DataFrame, like: DataFrame) -> DataFrame:
     ])
 
 
+@stage
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labels, predicts to be good."""
     return pairwise_quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+@stage
 def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines of five documents or more, but for the last document's."""
     ready(spark)
     return _as_documents(line_dedup.dedup_lines(docs), docs)
 
 
+@stage
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of near duplicates, of the smallest id; ids may repeat."""
     ready(spark)
     return ngram_join.one_of_each(docs)
 
 
+@stage
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for every time that the mix takes a document."""
     return _as_documents(mixing.mixed_documents(mixing.mix(docs)), docs)
 
 
+@stage
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the mixed documents in sequences of 1024 tokens."""
     ready(spark)
     return cutting_stock.pack(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality", good_documents),
     ("lines", own_lines),
     ("near_duplicates", one_of_each),
@@ -64,6 +85,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each writes its result before the next one reads it."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+    for _, step in STAGES[:-1]:
+        docs = materialize(step(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
