@@ -511,4 +511,36 @@ SELECT
   CASE event_type WHEN 'signup' THEN 'flight_key' WHEN 'error' THEN 'malformed' ELSE 'none' END
     AS reason
 FROM events""",
+    "dq_touched_lines": """
+SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem WHERE l_orderkey IN (
+  SELECT o_orderkey FROM orders WHERE o_orderdate >= DATE '1997-03-01'
+    AND o_orderdate < DATE '1997-04-01')""",
+    "dq_lost_lines": """
+SELECT l_orderkey, l_linenumber FROM lineitem
+WHERE l_shipdate >= DATE '1997-03-01' AND l_shipdate < DATE '1997-04-01' AND NOT EXISTS (
+  SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderpriority <> '5-LOW')""",
+    "job_export_late": _with("""
+SELECT after_load, flight_key, status, ingest_time FROM (
+  SELECT *, CASE WHEN batch_id = 1 AND dep_terminal <> '1-URGENT' THEN 1 ELSE 2 END AS after_load
+  FROM s
+) QUALIFY row_number() OVER (PARTITION BY after_load, flight_key
+  ORDER BY ingest_time DESC, flight_date DESC, status DESC, flight_number DESC) = 1"""),
+    "job_export_empty": _with("""
+SELECT step, kind, CASE WHEN step = 'loaded' OR (step = 'again' AND kind = 'full')
+    THEN (SELECT count(DISTINCT flight_key) FROM s WHERE batch_id = 1) ELSE 0 END AS rows,
+  step <> 'empty' AS written
+FROM (VALUES ('empty'), ('loaded'), ('again')) steps(step),
+     (VALUES ('full'), ('delta')) kinds(kind)"""),
+    "stream_counts": """
+SELECT CAST(day(ts) % 3 AS BIGINT) AS batch_id, count(*) AS total,
+  count(*) FILTER (WHERE event_type NOT IN ('signup', 'error')) AS good,
+  count(*) FILTER (WHERE event_type IN ('signup', 'error')) AS rejected,
+  count(*) FILTER (WHERE event_type = 'click') AS partial
+FROM events GROUP BY 1""",
+    "stream_load": """
+SELECT event_type || '_' || user_id AS flight_key, event_type AS status, max(ts) AS ingest_time,
+  3 AS loads, (SELECT count(*) FROM events WHERE event_type NOT IN ('signup', 'error')) AS staged
+FROM events WHERE event_type NOT IN ('signup', 'error') GROUP BY 1, 2""",
 }
+ORACLE["bucketed_upsert"] = ORACLE["fact_upsert"]
+ORACLE["export_delta_sql"] = ORACLE["export_delta"]

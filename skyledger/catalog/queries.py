@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,14 +37,21 @@ from skyledger.operators.normalize import (
     parse_pages,
     split_keyed,
 )
-from skyledger.operators.quality import duplicates, orphans, split_rejects, with_reject_reason
+from skyledger.operators.quality import (
+    duplicates,
+    orphans,
+    split_rejects,
+    touched_rows,
+    unreferenced,
+    with_reject_reason,
+)
 from skyledger.operators.upsert import upsert_coalesce, upsert_overwrite
 from skyledger.plans.export import export_delta as export_delta_job
 from skyledger.plans.export import export_full as export_full_job
-from skyledger.plans.export import published_extracts
-from skyledger.plans.load import load_unpublished, run_load
+from skyledger.plans.load import prepare_load, run_load
 from skyledger.plans.normalize import messages as messages_of
 from skyledger.plans.normalize import normalize_pages
+from skyledger.plans.sql_extract import DELTA, sql_extract
 from skyledger.schemas import (
     DIM_AIRLINE,
     DIM_AIRPORT,
@@ -51,10 +60,19 @@ from skyledger.schemas import (
     STAGED,
     STAGING,
 )
-from skyledger.session import configure, materialize, scratch_dir, together
+from skyledger.session import (
+    configure,
+    materialize,
+    runtime_filters,
+    scratch_dir,
+    scratch_tables,
+    together,
+)
+from skyledger.sources.bucketed import BucketedTable
 from skyledger.sources.connect import read_messages
-from skyledger.sources.store import Warehouse
-from skyledger.streaming.ingest import staging_sink, start_ingest
+from skyledger.sources.store import Warehouse, replace_partitions
+from skyledger.streaming.ingest import loading_sink, staging_sink, start_ingest
+from skyledger.streaming.metrics import BatchCounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -256,6 +274,37 @@ def dq_orphans(spark, sf_dir):
     )
 
 
+def _as_at_scale(spark: SparkSession) -> SparkSession:
+    """A session of its own where no side is small enough to broadcast, and filters are used."""
+    own = configure(spark.newSession())
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    return runtime_filters(own, scan_bytes="1k")
+
+
+@query
+def dq_touched_lines(spark, sf_dir):
+    """Line items of the orders of one month, by a Bloom filter of their keys in the scan."""
+    spark = _as_at_scale(spark)
+    day = F.col("o_orderdate")
+    month = table(spark, sf_dir, "orders").where(
+        (day >= F.lit("1997-03-01").cast("date")) & (day < F.lit("1997-04-01").cast("date")))
+    lines = table(spark, sf_dir, "lineitem")
+    return touched_rows(lines, month, "l_orderkey", "o_orderkey").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+
+
+@query
+def dq_lost_lines(spark, sf_dir):
+    """Line items of a month whose order is not there: the orders of one priority are left out."""
+    spark = _as_at_scale(spark)
+    day = F.col("l_shipdate")
+    lines = table(spark, sf_dir, "lineitem").where(
+        (day >= F.lit("1997-03-01").cast("date")) & (day < F.lit("1997-04-01").cast("date")))
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") != "5-LOW")
+    return unreferenced(lines, "l_orderkey", orders, "o_orderkey").select(
+        "l_orderkey", "l_linenumber")
+
+
 # folding and keys ------------------------------------------------------------------------
 
 
@@ -464,6 +513,18 @@ def fact_upsert_newer_only(spark, sf_dir):
     return upsert_overwrite(target, source, ["flight_key"], newer_only="ingest_time")
 
 
+@query
+def bucketed_upsert(spark, sf_dir):
+    """As ``fact_upsert``, into a table bucketed by flight key; then its keys are checked."""
+    rows = order_staging(spark, sf_dir).select(*_FACT_LIKE, "batch_id")
+    fact = BucketedTable(spark, f"fact_{uuid.uuid4().hex}", scratch_dir(spark, "bucketed"),
+                         "flight_key", buckets=8)
+    fact.write(latest_status(rows.where("batch_id = 1")).drop("batch_id"), 1)
+    fact.upsert(1, latest_status(rows.where("batch_id = 2")).drop("batch_id"))
+    fact.drop(1)
+    return fact.read(2).join(fact.repeated(2), "flight_key", "left_anti")
+
+
 # export ----------------------------------------------------------------------------------
 
 
@@ -510,12 +571,24 @@ def export_delta(spark, sf_dir):
     return export.denormalize(page, *tables)
 
 
+@query
+def export_delta_sql(spark, sf_dir):
+    """As ``export_delta``, with the extract given as SQL text and bound values."""
+    fact, (airlines, routes, airports) = _fact(spark, sf_dir)
+    tables = {"fact": fact, "dim_airline": airlines, "dim_route": routes, "dim_airport": airports}
+    utc = timezone.utc
+    return sql_extract(
+        DELTA, tables, last=DELTA_LAST.replace(tzinfo=utc), last_key=DELTA_LAST_KEY,
+        target=DELTA_TARGET.replace(tzinfo=utc), limit=PAGE_LIMIT)
+
+
 # jobs ------------------------------------------------------------------------------------
 
 
 def _stage(house: Warehouse, rows: DataFrame, batch: int) -> None:
-    arrived = rows.where(F.col("batch_id") == batch).select(STAGED.fieldNames())
-    arrived.write.parquet(house.batch_path("orders", batch))
+    arrived = rows.where(F.col("batch_id") == batch).select(*STAGED.fieldNames(), "batch_id")
+    replace_partitions(arrived.withColumn("stream", F.lit("orders")), house.staging_path,
+                       "stream", "batch_id")
 
 
 def _staging_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -534,10 +607,9 @@ def _loaded(spark: SparkSession, sf_dir: str, batches: tuple) -> tuple[Warehouse
 
 
 def _frame(house: Warehouse) -> DataFrame:
-    manifest = house.manifest()
-    names = ("dim_airline", "dim_route", "dim_airport")
-    tables = [house.dimension(name, manifest) for name in names]
-    return export.denormalize(house.fact(manifest), *tables)
+    load_id = house.load_id()
+    tables = [house.dimension(n, load_id) for n in ("dim_airline", "dim_route", "dim_airport")]
+    return export.denormalize(house.fact(), *tables)
 
 
 @query
@@ -549,10 +621,11 @@ def warehouse_load(spark, sf_dir):
 
 @query
 def load_failure(spark, sf_dir):
-    """A second load that stops before it publishes leaves the first state; a retry goes on."""
+    """A second load that stops before it stores leaves the first state; a retry goes on."""
     house, rows = _loaded(spark, sf_dir, (1,))
     _stage(house, rows, 2)
-    load_unpublished(spark, house.root)
+    with scratch_tables(spark):
+        prepare_load(house)
     failed = materialize(_frame(house).withColumn("state", F.lit("failed")))
     run_load(spark, house.root)
     return failed.unionByName(_frame(house).withColumn("state", F.lit("retried")))
@@ -575,10 +648,11 @@ def job_export_full(spark, sf_dir):
     _stage(house, rows, 2)
     run_load(spark, house.root)
     count = export_full_job(spark, house.root, out)
-    state = published_extracts(spark, out).latest()
-    if count != state["rows"] or count != house.fact_rows(house.manifest()):
-        raise AssertionError(f"{count} rows returned, {state} published")
-    return spark.read.schema(_EXPORT_SCHEMA).option("header", True).csv(f"{out}/{state['folder']}")
+    last = house.last_export("full")
+    if count != last["rows"] or count != house.fact().count():
+        raise AssertionError(f"{count} rows returned, {last} recorded")
+    return spark.read.schema(_EXPORT_SCHEMA).option("header", True).csv(
+        f"{out}/export_id={last['export_id']}")
 
 
 @query
@@ -589,7 +663,7 @@ def job_export_delta(spark, sf_dir):
     for batch in (1, 2):
         _stage(house, rows, batch)
         run_load(spark, house.root)
-        limit = house.fact_rows(house.manifest()) // 3 + 1
+        limit = house.fact().count() // 3 + 1
         out = f"{house.root}/delta{batch}"
         while export_delta_job(spark, house.root, out, limit, "parquet"):
             pass
@@ -598,6 +672,45 @@ def job_export_delta(spark, sf_dir):
     return pages[0].unionByName(pages[1])
 
 
+@query
+def job_export_late(spark, sf_dir):
+    """Rows of a time before those that are out come with a later load: the changes of each."""
+    house = Warehouse(spark, scratch_dir(spark, "warehouse"))
+    late = F.col("dep_terminal") == "1-URGENT"
+    arrival = F.when((F.col("batch_id") == 1) & ~late, 1).otherwise(2).cast("long")
+    rows = materialize(_staging_rows(spark, sf_dir).withColumn("batch_id", arrival))
+    pages = []
+    for batch in (1, 2):
+        _stage(house, rows, batch)
+        run_load(spark, house.root)
+        out = f"{house.root}/delta{batch}"
+        export_delta_job(spark, house.root, out, fmt="parquet")
+        read = spark.read.schema(_EXPORT_SCHEMA).parquet(f"{out}/export_id=*")
+        pages.append(read.withColumn("after_load", F.lit(batch)))
+    return pages[0].unionByName(pages[1]).select(
+        "after_load", "flight_key", "status", "ingest_time")
+
+
+@query
+def job_export_empty(spark, sf_dir):
+    """Rows that exports write before anything is loaded, after a load, and with nothing new."""
+    house, rows = _loaded(spark, sf_dir, ())
+    counts = []
+
+    def export(step: str) -> None:
+        for kind, job in (("full", export_full_job), ("delta", export_delta_job)):
+            out = f"{house.root}/{kind}"
+            counts.append((step, kind, job(spark, house.root, out),
+                           bool(house.folder.names(f"{kind}/export_id=*"))))
+
+    export("empty")
+    _stage(house, rows, 1)
+    run_load(spark, house.root)
+    export("loaded")
+    export("again")
+    return spark.createDataFrame(counts, "step string, kind string, rows long, written boolean")
+
+
 def _ingest(house: Warehouse, topic: str, checkpoint: str) -> None:
     """Read all messages of a folder as a stream into staging."""
     start_ingest(
@@ -618,7 +731,8 @@ def stream_restart(spark, sf_dir):
     for turn, rows in enumerate((envelopes, again)):
         encode_envelopes(rows).select("value").write.parquet(f"{folder}/messages{turn}")
         _ingest(house, f"{folder}/messages{turn}", f"{folder}/progress{turn}")
-        house.purge_staging(run_load(spark, house.root))
+        run_load(spark, house.root)
+        house.purge_staging()
     return house.fact().select("flight_key", "status", "ingest_time")
 
 
@@ -640,12 +754,10 @@ def stream_ingest(spark, sf_dir):
     messages.write.parquet(f"{folder}/messages")
     house = Warehouse(spark, f"{folder}/warehouse")
     _ingest(house, f"{folder}/messages", f"{folder}/progress")
-    good = house.staging(house.staged_batches()).select(
+    good = house.staged().select(
         "flight_key", "flight_number", "ingest_time", F.lit("none").alias("reason")
     )
-    rejected = spark.read.schema("reason string, raw string").parquet(
-        f"{house.rejects_path}/stream=*/batch_id=*"
-    )
+    rejected = house.rejects()
     missing = F.lit(None).cast("string")
     return good.unionByName(
         rejected.select(
@@ -656,3 +768,81 @@ def stream_ingest(spark, sf_dir):
             "reason",
         )
     )
+
+
+def _send_by_day(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Events as three files of messages, by the day of the month over 3; returns their folder.
+
+    Messages of signups lose their key, messages of errors are no JSON, the values of clicks are
+    text.
+    """
+    envelopes = event_envelopes(spark, sf_dir)
+    envelopes = envelopes.withColumn(
+        "flight_key", F.when(F.col("status") != "signup", F.col("flight_key")))
+    body = F.col("value").cast("string")
+    kind = F.get_json_object(body, "$.status")
+    sent = F.when(kind == "error", F.concat(F.lit("{"), body)).when(
+        kind == "click", F.regexp_replace(body, r'"delay_min":(-?[\d.]+)', '"delay_min":"$1 min"')
+    ).otherwise(body)
+    day = F.get_json_object(body, "$.ingest_time").substr(9, 2).cast("int")
+    messages = materialize(encode_envelopes(envelopes).select(
+        sent.cast("binary").alias("value"), (day % 3).alias("part")))
+    for part in range(3):
+        messages.where(F.col("part") == part).select("value").coalesce(1).write.mode(
+            "append").parquet(f"{folder}/messages")
+    return f"{folder}/messages"
+
+
+@query
+def stream_counts(spark, sf_dir):
+    """What a listener counts of each micro-batch."""
+    folder = scratch_dir(spark, "counts")
+    house = Warehouse(spark, f"{folder}/warehouse")
+    topic = _send_by_day(spark, sf_dir, folder)
+    counts = BatchCounts()
+    spark.streams.addListener(counts)
+    try:
+        running = start_ingest(
+            read_messages(spark, {"maxFilesPerTrigger": "1"}, fmt="parquet", path=topic),
+            staging_sink(house.staging_path, house.rejects_path), f"{folder}/progress",
+            trigger={"availableNow": True})
+        running.awaitTermination()
+        counts.wait_for(running)
+    finally:
+        spark.streams.removeListener(counts)
+    return counts.frame(spark).drop("stream")
+
+
+class _Lost(Exception):
+    """A driver that is lost after it has loaded a batch."""
+
+
+@query
+def stream_load(spark, sf_dir):
+    """Three micro-batches, staged and loaded as they arrive; the driver is lost after the second
+    is loaded and before Spark notes it, so the restart replays it."""
+    folder = scratch_dir(spark, "load")
+    house = Warehouse(spark, f"{folder}/warehouse")
+    topic = _send_by_day(spark, sf_dir, folder)
+    sink = loading_sink(house, newer_only=True)
+    lost = []
+
+    def losing(rows: DataFrame, stream: str, number: int) -> None:
+        sink(rows, stream, number)
+        if number == 1 and not lost:
+            lost.append(number)
+            raise _Lost
+
+    for attempt in ("first", "restart"):
+        running = start_ingest(
+            read_messages(spark, {"maxFilesPerTrigger": "1"}, fmt="parquet", path=topic),
+            losing, f"{folder}/progress", trigger={"availableNow": True})
+        try:
+            running.awaitTermination()
+        except StreamingQueryException:
+            if attempt == "restart" or not lost:
+                raise
+    loads = F.lit(house.load_id()).cast("long").alias("loads")
+    staged = house.staged().count()
+    return house.fact().select(
+        "flight_key", "status", "ingest_time", loads, F.lit(staged).alias("staged"))

@@ -87,7 +87,7 @@ def window_filter(
     """Rows with an ingest time in ``(last, target]``.
 
     ``last_key`` resumes inside ``last``: rows of that time with a greater key are included.
-    A row stored later with an ingest time at or below ``last`` is not seen again.
+    A row stored later with an ingest time at or below ``last`` is not seen: see ``load_page``.
     """
     kind = fact.schema["ingest_time"].dataType
     ingest = F.col("ingest_time")
@@ -117,6 +117,45 @@ def delta_page(
     return rows.orderBy("ingest_time", "flight_key").limit(limit)
 
 
+def load_page(
+    fact: DataFrame,
+    after: tuple[int, datetime | None, str | None] | None,
+    target: int,
+    limit: int | None,
+) -> DataFrame:
+    """Next fact rows up to the load ``target`` in the order of load, ingest time and key.
+
+    ``after`` is the load, time and key of the last row that is out; without a key all rows of
+    its load are. A row stored late has the number of its load, whatever its ingest time: it
+    comes out once. The plain bounds on ``load_id`` are what the file statistics can use.
+    """
+    load = F.col("load_id")
+    rows = fact.where(load <= target)
+    if after is not None:
+        last, time, key = after
+        if key is None:
+            rows = rows.where(load > last)
+        else:
+            kind = fact.schema["ingest_time"].dataType
+            place = F.struct(load, F.col("ingest_time"), F.col("flight_key"))
+            rows = rows.where(load >= last).where(place > F.struct(
+                F.lit(last).cast("long").alias("load_id"),
+                stamp(time, kind).alias("ingest_time"), F.lit(key).alias("flight_key")))
+    if limit is None:
+        return rows
+    # as first_by_time: loads and hours up to the one that completes the limit
+    hour = F.date_trunc("hour", F.col("ingest_time")).alias("hour")
+    counts = rows.groupBy("load_id", hour).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("load_id", "hour").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.select(
+        F.struct("load_id", "hour").alias("at"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+    ).where(F.col("before") < limit)
+    last_needed = needed.agg(F.max("at")).scalar()
+    return rows.where(F.struct("load_id", hour) <= last_needed).orderBy(
+        "load_id", "ingest_time", "flight_key").limit(limit)
+
+
 def max_ingest(fact: DataFrame) -> DataFrame:
     return fact.agg(F.max("ingest_time").alias("max_ingest"))
 

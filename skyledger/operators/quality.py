@@ -53,3 +53,30 @@ def orphans(
     ids = parent.select(F.col(key).alias(foreign_key)).where(F.col(foreign_key).isNotNull())
     referring = child.where(F.col(foreign_key).isNotNull())
     return lookup_join(referring, ids, [foreign_key], how="left_anti", spread=spread, size=size)
+
+
+def touched_rows(
+    stored: DataFrame, incoming: DataFrame, key: str, incoming_key: str | None = None
+) -> DataFrame:
+    """Stored rows whose key is among the incoming ones, each once: what an upsert replaces, and
+    what a uniqueness check has to look at.
+
+    Incoming keys too many to broadcast are shuffled with the stored rows. Where ``incoming`` is
+    filtered and the scan of ``stored`` large, Spark then builds a Bloom filter of the keys and
+    applies it to that scan (``session.runtime_filters``), so only rows that can match move.
+    """
+    keys = incoming.select(F.col(incoming_key or key).alias(key))
+    return stored.join(keys, key, "left_semi")
+
+
+def unreferenced(
+    child: DataFrame, foreign_key: str, parent: DataFrame, key: str
+) -> DataFrame:
+    """Child rows whose parent is missing, for a parent too large for ``orphans``' lookup.
+
+    The child's keys filter the scan of the parent in the same way: an outer join allows that,
+    an anti join does not.
+    """
+    ids = parent.select(F.col(key).alias(foreign_key)).distinct().withColumn("_known", F.lit(True))
+    referring = child.where(F.col(foreign_key).isNotNull())
+    return referring.join(ids, foreign_key, "left").where("_known IS NULL").select(child.columns)

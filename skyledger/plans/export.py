@@ -1,21 +1,19 @@
-"""Extract jobs: the whole warehouse, or what came in since the last export."""
+"""Extract jobs: the whole warehouse, or what loads have changed since the last export."""
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.operators.export import delta_page, denormalize, full_extract, newest_first
+from skyledger.operators.export import denormalize, full_extract, load_page, newest_first
 from skyledger.sources.connect import write_extract
-from skyledger.sources.files import Folder, VersionedState
+from skyledger.sources.files import Folder
 from skyledger.sources.store import Warehouse
 
 
-def _dimensions(house: Warehouse, manifest: dict) -> list[DataFrame]:
-    return [house.dimension(n, manifest) for n in ("dim_airline", "dim_route", "dim_airport")]
+def _dimensions(house: Warehouse, load_id: int) -> list[DataFrame]:
+    return [house.dimension(n, load_id) for n in ("dim_airline", "dim_route", "dim_airport")]
 
 
 def checked_limit(limit: int | None) -> int | None:
@@ -24,112 +22,73 @@ def checked_limit(limit: int | None) -> int | None:
     return limit
 
 
-def published_extracts(spark: SparkSession, path: str) -> VersionedState:
-    """What ``export_full`` has published below ``path``: ``folder`` and ``rows``."""
-    return VersionedState(Folder(spark, path), "_published")
-
-
 def export_full(
     spark: SparkSession, root: str, path: str, limit: int | None = None, fmt: str = "csv"
 ) -> int:
     """Replace the extract below ``path`` by all rows, or by the newest ``limit`` ones; returns
     their number.
 
-    The rows go to ``path/export_id=<n>``, which is published when it is complete; the one
-    before is deleted after that. A run that fails leaves the old extract. An empty warehouse
-    writes nothing.
+    The rows go to ``path/export_id=<n>``, which is recorded when it is complete; the one before
+    is deleted after that. A run that fails leaves the old extract. An empty warehouse writes
+    nothing.
     """
     checked_limit(limit)
     house = Warehouse(spark, root)
-    manifest = house.manifest()
-    if house.fact_rows(manifest) == 0:
+    load_id = house.load_id()
+    fact = house.fact()
+    if fact.isEmpty():
         return 0
-    rows = house.fact(manifest) if limit is None else house.newest_departures(manifest, limit)
-    states = published_extracts(spark, path)
-    version = (states.latest() or {"version": 0})["version"] + 1
-    folder = f"export_id={version}"
+    last = house.last_export("full")
+    number = last["export_id"] + 1 if last else 1
     counted = Observation()
-    frame = full_extract(rows, *_dimensions(house, manifest), limit)
-    write_extract(
-        frame.observe(counted, F.count(F.lit(1)).alias("rows")), f"{path}/{folder}", fmt
-    )
-    states.publish({"version": version, "folder": folder, "rows": counted.get["rows"]})
-    states.drop_old(1)
+    frame = full_extract(fact, *_dimensions(house, load_id), limit)
+    write_extract(frame.observe(counted, F.count(F.lit(1)).alias("rows")),
+                  f"{path}/export_id={number}", fmt)
+    rows = counted.get["rows"]
+    house.record_export("full", {
+        "path": path, "rows": rows, "load_id": load_id, "ingest_time": None, "flight_key": None,
+        "export_id": number})
     files = Folder(spark, path)
-    for old in files.glob("export_id=*"):
-        if int(old.split("=")[1]) < version:
+    for old in files.names("export_id=*"):
+        if int(old.split("=")[1]) < number:
             files.delete(old)
-    return counted.get["rows"]
-
-
-def _moment(micros: int | None) -> datetime | None:
-    if micros is None:
-        return None
-    seconds, rest = divmod(micros, 1_000_000)
-    return datetime.fromtimestamp(seconds, timezone.utc).replace(microsecond=rest)
-
-
-def has_new_data(house: Warehouse, manifest: dict, state: dict | None) -> bool:
-    """True on the first export of any rows, then if rows newer than the state exist, or if the
-    last page ended inside its window."""
-    newest = house.max_ingest(manifest)
-    if newest is None:
-        return False
-    if state is None or state["last_key"] is not None:
-        return True
-    return newest > state["last_ingest"]
-
-
-# States of earlier exports that stay, to look back on.
-KEEP_STATES = 10
+    return rows
 
 
 def export_delta(
     spark: SparkSession, root: str, path: str, limit: int | None = None, fmt: str = "csv"
 ) -> int:
-    """Write the rows since the last export, or the next ``limit`` of them, to
-    ``path/export_id=<n>``; returns their number.
-
-    Rows are taken in the order of ingest time and key, up to the newest time of the manifest
-    read at the start. The state moves on to the last row written after the files are complete:
-    past its time when all is out, else to its key, from which the next call goes on.
+    """Write the rows that loads have changed since the last export, or the next ``limit`` of
+    them, to ``path/export_id=<n>``; returns their number.
+
+    Rows are taken in the order of load, ingest time and key, up to the last load at the start.
+    So a row that is loaded late, with a time before others that are out, is exported with its
+    load; each state of a row comes out once at most. The record moves on after the files are
+    complete: past the last load when all is out, else to the last row, from which the next call
+    goes on.
     """
     checked_limit(limit)
     house = Warehouse(spark, root)
-    manifest, state = house.manifest(), house.exports.latest()
-    if not has_new_data(house, manifest, state):
+    target, last = house.load_id(), house.last_export("delta")
+    if target == 0 or (last and last["flight_key"] is None and last["load_id"] >= target):
         return 0
-    target = house.max_ingest(manifest)
-    last = state["last_ingest"] if state else None
-    last_key = state["last_key"] if state else None
-    version = state["version"] + 1 if state else 1
-
-    fact = house.oldest_ingests(manifest, last, target, limit, last_key is not None)
-    page = delta_page(fact, _moment(last), _moment(target), limit, last_key)
-    page = page.persist(StorageLevel.MEMORY_AND_DISK)
+    after = last and (last["load_id"], last["ingest_time"], last["flight_key"])
+    number = last["export_id"] + 1 if last else 1
+    page = load_page(house.fact(), after, target, limit).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         end = page.agg(
             F.count(F.lit(1)).alias("rows"),
-            F.max(
-                F.struct(F.unix_micros("ingest_time").alias("at"), F.col("flight_key").alias("key"))
-            ).alias("last"),
+            F.max(F.struct("load_id", "ingest_time", "flight_key")).alias("last"),
         ).first()
         if end["rows"]:
-            frame = denormalize(page, *_dimensions(house, manifest)).orderBy(*newest_first())
-            write_extract(frame, f"{path}/export_id={version}", fmt)
+            frame = denormalize(page, *_dimensions(house, target)).orderBy(*newest_first())
+            write_extract(frame, f"{path}/export_id={number}", fmt)
     finally:
         page.unpersist()
-    if not end["rows"] and last_key is None:
-        # only rows that were replaced since had newer times
-        return 0
-    full_page = limit is not None and end["rows"] == limit
-    house.exports.publish(
-        {
-            "version": version,
-            "manifest": manifest["version"],
-            "last_ingest": end["last"]["at"] if end["rows"] else last,
-            "last_key": end["last"]["key"] if full_page else None,
-        }
-    )
-    house.exports.drop_old(KEEP_STATES)
+    if limit is not None and end["rows"] == limit:
+        place = end["last"].asDict()
+    else:
+        place = {"load_id": target, "ingest_time": None, "flight_key": None}
+    house.record_export("delta", {
+        "path": path, "rows": end["rows"], **place, "export_id": number})
     return end["rows"]

@@ -1,10 +1,10 @@
-"""Warehouse load: staging batches to dimensions and fact, published together."""
+"""Warehouse load: staging batches to dimensions and fact."""
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
+from functools import partial, reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,15 +15,15 @@ from skyledger.operators.dims import (
     merge_routes,
     route_pairs,
 )
-from skyledger.operators.fact import FACT_INPUTS, enrich, key_day, latest_status
+from skyledger.operators.fact import FACT_INPUTS, enrich, latest_status
 from skyledger.operators.joins import measured_bytes
 from skyledger.operators.quality import duplicates, orphans
 from skyledger.session import materialize, scratch_tables, together
-from skyledger.sources.store import Batch, Warehouse, with_consumed
+from skyledger.sources.store import Batch, Warehouse
 
 
 class ConstraintViolation(RuntimeError):
-    """New tables break a uniqueness or reference rule; nothing was published."""
+    """New tables break a uniqueness or reference rule; nothing was stored."""
 
 
 def _violations(df: DataFrame, rule: str) -> DataFrame:
@@ -77,152 +77,106 @@ def require_none(violations: DataFrame) -> None:
         raise ConstraintViolation(f"{row['rule']}: {row['row']}")
 
 
-def run_load(
-    spark: SparkSession,
-    root: str,
-    icao_fallback: bool = False,
-    newer_only: bool = False,
-    check: bool = True,
-) -> dict:
-    """Load all complete staging batches that no load has consumed, and return the manifest.
+@dataclass
+class Prepared:
+    """A load that is computed and checked, but not stored."""
 
-    Batches that arrive meanwhile wait for the next load. A load that fails leaves the current
-    manifest as it is. Run one load at a time; of two that overlap, the later one to publish
-    fails. ``newer_only`` keeps stored facts that are newer than the incoming ones. ``check``
-    verifies keys and references of dimensions and incoming facts before publishing.
-    """
-    house = Warehouse(spark, root)
-    old = house.manifest()
-    manifest = load_unpublished(spark, root, icao_fallback, newer_only, check)
-    if manifest["version"] > old["version"]:
-        house.manifests.publish(manifest)
-    return manifest
+    load_id: int
+    batches: list[Batch]
+    dimensions: dict[str, DataFrame]
+    quarantined: DataFrame
+    rows: DataFrame
 
 
-def load_unpublished(
+def run_load(
     spark: SparkSession,
     root: str,
     icao_fallback: bool = False,
     newer_only: bool = False,
     check: bool = True,
-) -> dict:
-    """All of ``run_load`` but its last step: the snapshots are written, readers see the old
-    state. Returns the manifest to publish, the current one if no batch is pending."""
+    batches: list[Batch] | None = None,
+) -> int:
+    """Load all staged batches that no load has consumed, or those of ``batches``; returns the
+    number of the last load.
+
+    Batches that arrive meanwhile wait for the next load. A load that fails before it stores
+    anything leaves all tables; one that fails while storing leaves some days of the fact
+    upserted and is not recorded: the next load takes the same batches and more, and replaces
+    what it wrote. Run one load at a time. ``newer_only`` keeps stored facts that are newer than
+    the incoming ones. ``check`` verifies keys and references of dimensions and incoming facts
+    before anything is stored.
+    """
     house = Warehouse(spark, root)
-    old = house.manifest()
-    batches = house.pending_batches(old)
-    if not batches:
-        return old
     with scratch_tables(spark):
-        return _load_batches(house, old, batches, icao_fallback, newer_only, check)
+        prepared = prepare_load(house, icao_fallback, newer_only, check, batches)
+        if prepared is not None:
+            store_load(house, prepared)
+    return house.load_id()
 
 
-def _load_batches(
+def prepare_load(
     house: Warehouse,
-    old: dict,
-    batches: list[Batch],
-    icao_fallback: bool,
-    newer_only: bool,
-    check: bool,
-) -> dict:
-    """Write the new snapshots; returns the manifest that names them."""
-    version = old["version"] + 1
-    load = house.new_load(version)
-    staging = house.staging(batches)
+    icao_fallback: bool = False,
+    newer_only: bool = False,
+    check: bool = True,
+    batches: list[Batch] | None = None,
+) -> Prepared | None:
+    """All of ``run_load`` but storing; None if no batch is pending."""
+    pending = house.pending_batches()
+    if batches is not None:
+        pending = [b for b in pending if b in set(batches)]
+    if not pending:
+        return None
+    last = house.load_id()
+    staging = house.staging(pending)
 
     # staging is columnar and read with few columns each time, which is cheaper than caching it
     seen = materialize(entity_sightings(staging))
     kind = F.col("kind")
 
-    def load_airlines() -> tuple[DataFrame, str]:
-        merged = merge_airlines(
-            house.dimension("dim_airline", old), seen.where(kind == "airline").drop("kind")
-        )
-        return house.write_dimension("dim_airline", merged, old, load)
+    def merged_airlines() -> DataFrame:
+        known = house.dimension("dim_airline", last)
+        return materialize(merge_airlines(known, seen.where(kind == "airline").drop("kind")))
 
-    def load_airports() -> tuple[DataFrame, str, list[str]]:
+    def merged_airports() -> tuple[DataFrame, DataFrame]:
         merged, set_aside = merge_airports(
-            house.dimension("dim_airport", old), seen.where(kind == "airport").drop("kind")
-        )
-        quarantined = house.write_quarantine(set_aside, old, load)
-        return *house.write_dimension("dim_airport", merged, old, load), quarantined
-
-    (airline, airline_load), (airport, airport_load, quarantined) = together(
-        house.spark, load_airlines, load_airports
-    )
-    routes = merge_routes(
-        house.dimension("dim_route", old), route_pairs(staging, airport, icao_fallback)
-    )
-    route, route_load = house.write_dimension("dim_route", routes, old, load)
+            house.dimension("dim_airport", last), seen.where(kind == "airport").drop("kind"))
+        new = set_aside.distinct().exceptAll(house.quarantine(last))
+        return materialize(merged), materialize(new)
 
+    airline, (airport, quarantined) = together(house.spark, merged_airlines, merged_airports)
+    route = materialize(merge_routes(
+        house.dimension("dim_route", last), route_pairs(staging, airport, icao_fallback)))
     latest = latest_status(staging.select(*FACT_INPUTS, "batch_id"))
-    incoming = enrich(latest, airline, route, airport, icao_fallback)
-    # read for the days, the match with stored keys and the result; recomputable from staging
-    incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        buckets = house.key_buckets(old)
-        day = key_day(F.col("flight_key"), buckets)
-        touched = incoming.select(day.alias("day")).distinct()
-        # bounded by the calendar and the number of key buckets
-        days = [r["day"] for r in touched.collect()]
-
-        def store_fact() -> dict:
-            rows = _not_older(house, old, days, incoming) if newer_only else incoming
-            entries = house.write_fact(rows, old, load)
-            stored = house.fact(old, days, ["flight_key"])
-            again = stored.join(rows.select("flight_key"), "flight_key", "left_semi")
-            counts = again.groupBy(day.alias("day")).count()
-            replaced = {r["day"]: r["count"] for r in counts.collect()}
-            return house.merged_days(old["fact"], entries, replaced)
-
-        def check_rules() -> None:
-            if check:
-                dimensions = dimension_violations(airline, airport, route)
-                require_none(dimensions.unionAll(fact_violations(incoming, airline, route)))
-
-        entries, _ = together(house.spark, store_fact, check_rules)
-    finally:
-        incoming.unpersist()
-
-    return {
-        "version": version,
-        "consumed": with_consumed(old["consumed"], batches),
-        "dims": {
-            "dim_airline": airline_load, "dim_airport": airport_load, "dim_route": route_load
-        },
-        "quarantine": quarantined,
-        "fact": {**old["fact"], **entries},
-        "key_buckets": buckets,
-    }
-
-
-def _not_older(
-    house: Warehouse, manifest: dict, days: list[str], incoming: DataFrame
-) -> DataFrame:
+    rows = materialize(enrich(latest, airline, route, airport, icao_fallback))
+    if newer_only:
+        rows = materialize(_not_older(house, rows))
+    if check:
+        dimensions = dimension_violations(airline, airport, route)
+        require_none(dimensions.unionAll(fact_violations(rows, airline, route)))
+    tables = {"dim_airline": airline, "dim_airport": airport, "dim_route": route}
+    return Prepared(last + 1, pending, tables, quarantined, rows)
+
+
+def store_load(house: Warehouse, prepared: Prepared) -> None:
+    """Dimensions first, so that no fact row refers to one that is not there; the record of the
+    load last."""
+    load_id = prepared.load_id
+    snapshots = {**prepared.dimensions, "quarantine": prepared.quarantined}
+    together(house.spark, *[
+        partial(house.write_snapshot, name, rows, load_id) for name, rows in snapshots.items()])
+    house.upsert_fact(prepared.rows, load_id)
+    house.record_load(load_id, prepared.batches)
+
+
+def _not_older(house: Warehouse, incoming: DataFrame) -> DataFrame:
     """Incoming rows but those older than the stored row of their key."""
-    stored = house.fact(manifest, days, ["flight_key", "ingest_time"])
-    newer = stored.join(incoming.select("flight_key"), "flight_key", "left_semi").select(
-        "flight_key", F.col("ingest_time").alias("stored_time"))
-    compared = incoming.join(newer, "flight_key", "left")
+    day = house.day_of(F.col("flight_key"))
+    # bounded by the calendar and the number of key buckets
+    days = [r[0] for r in incoming.select(day).distinct().collect()]
+    stored = house.fact(days).select("flight_key", F.col("ingest_time").alias("stored_time"))
+    compared = incoming.join(
+        stored.join(incoming.select("flight_key"), "flight_key", "left_semi"), "flight_key",
+        "left")
     fresh = F.col("stored_time").isNull() | (F.col("ingest_time") >= F.col("stored_time"))
     return compared.where(fresh).select(incoming.columns)
-
-
-def fold_days(spark: SparkSession, root: str, min_loads: int = 8) -> dict:
-    """Make one folder of each day that ``min_loads`` loads or more have added to.
-
-    Tables and exports stay as they are; the manifest's bounds of the folded days become exact.
-    Run it beside the loads, not at the same time: of two that overlap one fails to publish.
-    """
-    if min_loads < 2:
-        raise ValueError("a day of one load needs no folding")
-    house = Warehouse(spark, root)
-    old = house.manifest()
-    days = [d for d, e in old["fact"].items() if len(e["loads"]) >= min_loads]
-    if not days:
-        return old
-    version = old["version"] + 1
-    entries = house.write_fact(house.fact(old, days), old, house.new_load(version))
-    manifest = {**old, "version": version, "fact": {**old["fact"], **entries}}
-    house.manifests.publish(manifest)
-    return manifest

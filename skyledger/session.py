@@ -34,6 +34,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def runtime_filters(
+    spark: SparkSession, scan_bytes: str = "1g", keys: int = 10_000_000, build_bytes: str = "1g"
+) -> SparkSession:
+    """Let Spark filter scans of ``scan_bytes`` and more by the keys of a join's other side.
+
+    The filter takes 8 bits for each of ``keys``; sides larger than ``build_bytes`` make none.
+    """
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    for name, value in {
+        "enabled": "true", "applicationSideScanSizeThreshold": scan_bytes,
+        "creationSideThreshold": build_bytes, "expectedNumItems": keys,
+        "maxNumItems": keys, "numBits": 8 * keys, "maxNumBits": 8 * keys,
+    }.items():
+        spark.conf.set(f"{prefix}.{name}", str(value))
+    return spark
+
+
 # Fixed when a session starts: no Python call site is recorded for every column expression.
 STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 

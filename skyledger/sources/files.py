@@ -1,100 +1,29 @@
-"""Small file operations on the folder that holds a warehouse, on any Hadoop file system."""
+"""Existence and removal of folders, on any Hadoop file system."""
 
 from __future__ import annotations
 
-import json
-import uuid
-
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
-class PublishConflict(RuntimeError):
-    """Another run published the same version first."""
-
-
 class Folder:
-    """Listing, deleting and publishing below one folder."""
+    """Names below one folder."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._gateway = spark.sparkContext._gateway
+        self._path_type = spark._jvm.org.apache.hadoop.fs.Path
         self.root = root.rstrip("/")
-        self._fs = self._path("").getFileSystem(self._conf)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._path("").getFileSystem(conf)
 
     def _path(self, name: str):
-        full = f"{self.root}/{name}" if name else self.root
-        return self._jvm.org.apache.hadoop.fs.Path(full)
+        return self._path_type(f"{self.root}/{name}" if name else self.root)
+
+    def has(self, name: str) -> bool:
+        return self._fs.exists(self._path(name))
 
-    def glob(self, pattern: str) -> list[str]:
-        """Paths below the folder that match, relative to it."""
-        base = self._fs.makeQualified(self._path("")).toUri().getPath().rstrip("/")
+    def names(self, pattern: str) -> list[str]:
+        """Last parts of the paths that match, sorted."""
         found = self._fs.globStatus(self._path(pattern)) or []
-        return sorted(s.getPath().toUri().getPath()[len(base) + 1 :] for s in found)
+        return sorted(s.getPath().getName() for s in found)
 
     def delete(self, name: str) -> None:
         self._fs.delete(self._path(name), True)
-
-    def read_json(self, name: str) -> dict:
-        stream = self._fs.open(self._path(name))
-        try:
-            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def publish_json(self, name: str, content: dict) -> None:
-        """Make a complete file appear at once; fails if the name is taken."""
-        final = self._fs.makeQualified(self._path(name))
-        draft = self._fs.makeQualified(self._path(f"{name}.{uuid.uuid4().hex}.draft"))
-        stream = self._fs.create(draft, True)
-        try:
-            stream.write(bytearray(json.dumps(content, sort_keys=True).encode("utf-8")))
-        finally:
-            stream.close()
-        fs_package = self._jvm.org.apache.hadoop.fs
-        no_overwrite = self._gateway.new_array(getattr(fs_package, "Options$Rename"), 0)
-        context = fs_package.FileContext.getFileContext(final.toUri(), self._conf)
-        try:
-            context.rename(draft, final, no_overwrite)
-        except Py4JJavaError as error:
-            self._fs.delete(draft, False)
-            if "FileAlreadyExists" in error.java_exception.getClass().getName():
-                raise PublishConflict(f"{name} was published by another run") from error
-            raise
-
-
-class VersionedState:
-    """Numbered JSON files; the highest number is the current state."""
-
-    def __init__(self, folder: Folder, name: str):
-        self._folder, self._name = folder, name
-
-    def latest(self) -> dict | None:
-        files = self._folder.glob(f"{self._name}/*.json")
-        return self._folder.read_json(files[-1]) if files else None
-
-    def publish(self, state: dict) -> None:
-        """Add ``state`` under its ``version``, one above the version it was made from."""
-        self._folder.publish_json(f"{self._name}/{state['version']:09d}.json", state)
-
-    def drop_old(self, keep: int) -> list[dict]:
-        """Delete the states but the last ``keep``; returns those that stay."""
-        if keep < 1:
-            raise ValueError("keep at least one state")
-        files = self._folder.glob(f"{self._name}/*.json")
-        kept = [self._folder.read_json(f) for f in files[-keep:]]
-        for file in files[:-keep]:
-            self._folder.delete(file)
-        return kept
-
-
-def named_once(spark: SparkSession, root: str, name: str) -> str:
-    """An identity of a folder: a random name stored in it by the first call, then the same."""
-    folder = Folder(spark, root)
-    try:
-        if not folder.glob(name):
-            folder.publish_json(name, {"id": uuid.uuid4().hex})
-    except PublishConflict:
-        pass  # another caller was first
-    return folder.read_json(name)["id"]

@@ -1,12 +1,10 @@
-"""Warehouse tables: Parquet snapshots and the manifest that names the current ones."""
+"""Warehouse tables: Parquet folders, partitioned by what loads and readers select."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,347 +15,191 @@ from skyledger.schemas import (
     DIM_ROUTE,
     FACT,
     QUARANTINE,
+    REJECTS,
     STAGED,
 )
-from skyledger.sources.files import Folder, VersionedState
-from skyledger.streaming.ingest import batch_folder
+from skyledger.sources.files import Folder
 
 DIMENSIONS = {"dim_airline": DIM_AIRLINE, "dim_airport": DIM_AIRPORT, "dim_route": DIM_ROUTE}
-EMPTY_MANIFEST = {"version": 0, "consumed": {}, "dims": {}, "quarantine": [], "fact": {},
-                  "key_buckets": None}
+BATCH = T.StructType(
+    [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
+)
+LOAD = T.StructField("load_id", T.LongType())
+DAY = T.StructField("key_day", T.StringType())
+EXPORTED = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        # the last change that is out; without a key all changes of its load are
+        LOAD,
+        T.StructField("ingest_time", T.TimestampType()),
+        T.StructField("flight_key", T.StringType()),
+        T.StructField("export_id", T.LongType()),
+    ]
+)
 # A stream's id and the number of a batch in it.
 Batch = tuple[str, int]
 
 
-def add_to_ranges(ranges: list[list[int]], numbers: Iterable[int]) -> list[list[int]]:
-    """Closed ranges that cover the old ranges and the numbers, neighbours joined."""
-    merged: list[list[int]] = []
-    for low, high in sorted([*map(list, ranges), *([n, n] for n in numbers)]):
-        if merged and low <= merged[-1][1] + 1:
-            merged[-1][1] = max(merged[-1][1], high)
-        else:
-            merged.append([low, high])
-    return merged
-
-
-def consumed_by(manifest: dict, batch: Batch) -> bool:
-    stream, number = batch
-    return any(low <= number <= high for low, high in manifest["consumed"].get(stream, []))
-
-
-def with_consumed(consumed: dict, batches: Iterable[Batch]) -> dict:
-    """Ranges of consumed numbers per stream, with ``batches`` added."""
-    out = dict(consumed)
-    for stream in {s for s, _ in batches}:
-        numbers = [n for s, n in batches if s == stream]
-        out[stream] = add_to_ranges(out.get(stream, []), numbers)
-    return out
-
-
-def _content(df: DataFrame) -> tuple:
-    """Row count and sum of row hashes: alike for tables with the same rows."""
-    return tuple(df.agg(
-        F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first())
+def replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
+    """Write ``df``; partitions that it has rows of are replaced, the others stay."""
+    (
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns).parquet(path)
+    )
 
 
 class Warehouse:
     """All tables of a warehouse below one folder.
 
-    A load writes new snapshots and then publishes a manifest; readers see either the old or the
-    new state of all tables. The fact is stored by ``key_day``. A load adds a folder with its own
-    rows to each day it touches; where several loads hold a key the last one counts, so stored
-    rows are neither read whole nor written again. ``plans.load.fold_days`` makes such days one
-    folder. The manifest keeps per day its loads, the row count and bounds of the times in them,
-    so exports skip days.
+    - ``staging`` and ``rejects``, partitioned by stream and batch;
+    - ``loads``, the batches that each load has consumed, partitioned by ``load_id``: a load
+      counts from when its partition is there;
+    - the dimensions and ``quarantine``, a partition per load: the last load's is the current;
+    - ``fact``, partitioned by ``key_day``, a function of the key alone: an upsert replaces the
+      days that it touches. A row has the ``load_id`` that changed it last.
+    - ``exports_full`` and ``exports_delta``, what was written by each export.
     """
 
     def __init__(self, spark: SparkSession, root: str, key_buckets: int = KEY_BUCKETS):
         self.spark, self.root = spark, root.rstrip("/")
-        self._key_buckets = key_buckets
+        self.key_buckets = key_buckets
         self.folder = Folder(spark, self.root)
-        self.manifests = VersionedState(self.folder, "manifest")
-        self.exports = VersionedState(self.folder, "export_state")
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def table(self, name: str, *parts: T.StructType | T.StructField) -> DataFrame:
+        """A table as stored, empty if nothing was written yet."""
+        fields = [f for p in parts for f in (p.fields if isinstance(p, T.StructType) else [p])]
+        schema = T.StructType(fields)
+        if not self.folder.has(name):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
     # staging ---------------------------------------------------------------------------------
 
     @property
     def staging_path(self) -> str:
-        return f"{self.root}/staging"
+        return self.path("staging")
 
     @property
     def rejects_path(self) -> str:
-        return f"{self.root}/rejects"
+        return self.path("rejects")
+
+    def staged(self) -> DataFrame:
+        return self.table("staging", STAGED, BATCH)
+
+    def rejects(self) -> DataFrame:
+        return self.table("rejects", REJECTS, BATCH)
 
-    def batch_path(self, stream: str, number: int) -> str:
-        return f"{self.staging_path}/{batch_folder(stream, number)}"
+    def loads(self) -> DataFrame:
+        return self.table("loads", BATCH, LOAD)
+
+    def _batches(self, rows: DataFrame) -> list[Batch]:
+        """Bounded by the batches that were staged since the last purge."""
+        return [tuple(r) for r in rows.select("stream", "batch_id").distinct().sort(
+            "stream", "batch_id").collect()]
 
     def staged_batches(self) -> list[Batch]:
-        """Batches that are completely written."""
-        marks = self.folder.glob("staging/stream=*/batch_id=*/_SUCCESS")
-        parts = [m.split("/")[1:3] for m in marks]
-        return sorted((s.split("=", 1)[1], int(b.split("=")[1])) for s, b in parts)
+        return self._batches(self.staged())
 
-    def pending_batches(self, manifest: dict) -> list[Batch]:
-        return [b for b in self.staged_batches() if not consumed_by(manifest, b)]
+    def pending_batches(self) -> list[Batch]:
+        """Staged batches that no load has consumed."""
+        staged = self.staged().select("stream", "batch_id").distinct()
+        return self._batches(staged.join(self.loads(), ["stream", "batch_id"], "left_anti"))
 
     def staging(self, batches: list[Batch]) -> DataFrame:
-        ids = [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
-        return (
-            self.spark.read.schema(T.StructType([*STAGED.fields, *ids]))
-            .option("basePath", self.staging_path)
-            .parquet(*[self.batch_path(*batch) for batch in batches])
-        )
-
-    def purge_staging(self, manifest: dict) -> list[Batch]:
-        """Drop the staging folders of batches that the manifest names as loaded."""
-        gone = [b for b in self.staged_batches() if consumed_by(manifest, b)]
+        """Rows of the batches; other partitions are not read."""
+
+        def of(stream: str) -> Column:
+            numbers = [n for s, n in batches if s == stream]
+            return (F.col("stream") == stream) & F.col("batch_id").isin(numbers)
+
+        wanted = reduce(Column.__or__, map(of, sorted({s for s, _ in batches})), F.lit(False))
+        return self.staged().where(wanted)
+
+    def purge_staging(self) -> list[Batch]:
+        """Drop the staging partitions of batches that a load has consumed."""
+        staged = self.staged().select("stream", "batch_id").distinct()
+        gone = self._batches(staged.join(self.loads(), ["stream", "batch_id"], "left_semi"))
         for stream, number in gone:
-            self.folder.delete(f"staging/{batch_folder(stream, number)}")
+            self.folder.delete(f"staging/stream={stream}/batch_id={number}")
         return gone
 
     # tables ----------------------------------------------------------------------------------
 
-    def manifest(self) -> dict:
-        return self.manifests.latest() or EMPTY_MANIFEST
-
-    @staticmethod
-    def new_load(version: int) -> str:
-        """Folder name of one attempt; two attempts never share one."""
-        return f"{version:09d}-{uuid.uuid4().hex[:8]}"
-
-    def write_dimension(
-        self, name: str, df: DataFrame, manifest: dict, load: str
-    ) -> tuple[DataFrame, str]:
-        """Store a snapshot and return it as stored, so its ids are read and not recomputed, and
-        its load. A dimension equal to the one before is not written: the load before stays."""
-        before = manifest["dims"].get(name)
-        if before:
-            known = self.read_dimension(name, before)
-            if _content(df.select(known.columns)) == _content(known):
-                return known, before
-        df.write.parquet(f"{self.root}/{name}/load={load}")
-        return self.read_dimension(name, load), load
-
-    def read_dimension(self, name: str, load: str | None) -> DataFrame:
-        schema = DIMENSIONS[name]
-        if load is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/load={load}")
-
-    def dimension(self, name: str, manifest: dict | None = None) -> DataFrame:
-        manifest = manifest or self.manifest()
-        return self.read_dimension(name, manifest["dims"].get(name))
-
-    def write_quarantine(self, rows: DataFrame, manifest: dict, load: str) -> list[str]:
-        """Store the rows set aside that no load before has; returns all loads with such rows."""
-        new = rows.exceptAll(self.quarantine(manifest)) if manifest["quarantine"] else rows
-        path = f"{self.root}/quarantine/load={load}"
-        new.distinct().write.parquet(path)
-        if self.spark.read.schema(QUARANTINE).parquet(path).isEmpty():
-            self.folder.delete(f"quarantine/load={load}")
-            return manifest["quarantine"]
-        return [*manifest["quarantine"], load]
-
-    def quarantine(self, manifest: dict | None = None) -> DataFrame:
+    def load_id(self) -> int:
+        """Number of the last load, 0 before the first."""
+        return self.loads().agg(F.max("load_id")).first()[0] or 0
+
+    def dimension(self, name: str, load_id: int | None = None) -> DataFrame:
+        load_id = self.load_id() if load_id is None else load_id
+        rows = self.table(name, DIMENSIONS[name], LOAD)
+        return rows.where(F.col("load_id") == load_id).drop("load_id")
+
+    def quarantine(self, load_id: int | None = None) -> DataFrame:
         """Distinct airports that any load has set aside."""
-        loads = (manifest or self.manifest())["quarantine"]
-        if not loads:
-            return self.spark.createDataFrame([], QUARANTINE)
-        paths = [f"{self.root}/quarantine/load={load}" for load in loads]
-        return self.spark.read.schema(QUARANTINE).parquet(*paths).distinct()
+        load_id = self.load_id() if load_id is None else load_id
+        rows = self.table("quarantine", QUARANTINE, LOAD)
+        return rows.where(F.col("load_id") <= load_id).drop("load_id").distinct()
 
-    def key_buckets(self, manifest: dict) -> int:
-        """Folders for keys without a day: set by the first load, then kept in the manifest."""
-        return manifest["key_buckets"] or self._key_buckets
+    def write_snapshot(self, name: str, rows: DataFrame, load_id: int) -> None:
+        """The rows of one load; a load that is tried again replaces what it wrote before."""
+        rows.write.mode("overwrite").parquet(self.path(f"{name}/load_id={load_id}"))
 
-    def write_fact(self, rows: DataFrame, manifest: dict, load: str) -> dict:
-        """Store rows by day; returns what the manifest keeps of them, per day.
+    def fact(self, days: list[str] | None = None) -> DataFrame:
+        """Fact rows with ``load_id`` and ``key_day``, of all days or of ``days``."""
+        rows = self.table("fact", FACT, LOAD, DAY)
+        return rows if days is None else rows.where(F.col("key_day").isin(days))
 
-        The rebalancing splits a day that holds much of the load over several files and joins
-        small days; inside a file rows are sorted by ingest time for the export filter.
-        """
-        path = f"{self.root}/fact/load={load}"
-        day = key_day(F.col("flight_key"), self.key_buckets(manifest))
-        placed = rows.select(*FACT.fieldNames(), day.alias("key_day"))
-        (
-            placed.hint("rebalance", "key_day")
-            .sortWithinPartitions("key_day", "ingest_time")
-            .write.partitionBy("key_day")
-            .parquet(path)
-        )
-        schema = T.StructType(
-            [FACT["ingest_time"], FACT["dep_scheduled"], T.StructField("key_day", T.StringType())]
-        )
-        stored = self.spark.read.schema(schema).parquet(path)
-        # one row per day of the load
-        per_day = stored.groupBy("key_day").agg(
-            F.count(F.lit(1)).alias("rows"),
-            (F.count("dep_scheduled") < F.count(F.lit(1))).alias("unknown"),
-            F.unix_micros(F.min("ingest_time")).alias("min_ingest"),
-            F.unix_micros(F.max("ingest_time")).alias("max_ingest"),
-            F.unix_micros(F.min("dep_scheduled")).alias("min_departure"),
-            F.unix_micros(F.max("dep_scheduled")).alias("max_departure"),
-        )
-        entries = [r.asDict() for r in per_day.collect()]
-        return {e.pop("key_day"): {**e, "loads": [load]} for e in entries}
-
-    @staticmethod
-    def merged_days(old: dict, new: dict, replaced: dict[str, int]) -> dict:
-        """Manifest entries of the days of ``new`` with the loads before.
-
-        The row count is exact. The bounds also cover rows that were replaced since.
-        """
+    def day_of(self, key: Column) -> Column:
+        return key_day(key, self.key_buckets)
 
-        def bound(pick, name: str, a: dict, b: dict) -> int | None:
-            known = [e[name] for e in (a, b) if e[name] is not None]
-            return pick(known) if known else None
-
-        out = {}
-        for day, entry in new.items():
-            before = old.get(day)
-            out[day] = entry if before is None else {
-                "loads": before["loads"] + entry["loads"],
-                "rows": before["rows"] + entry["rows"] - replaced.get(day, 0),
-                "unknown": before["unknown"] or entry["unknown"],
-                **{n: bound(min, n, before, entry) for n in ("min_ingest", "min_departure")},
-                **{n: bound(max, n, before, entry) for n in ("max_ingest", "max_departure")},
-            }
-        return out
-
-    def _stored(self, entries: dict[str, list[str]], columns: list[str]) -> DataFrame:
-        """Rows of the named loads of days, with ``load`` and ``key_day``."""
-        schema = T.StructType(
-            [
-                *[FACT[c] for c in columns],
-                T.StructField("load", T.StringType()),
-                T.StructField("key_day", T.StringType()),
-            ]
-        )
-        base = f"{self.root}/fact"
-        paths = [
-            f"{base}/load={load}/key_day={d}" for d, loads in sorted(entries.items()) for load in loads
-        ]
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-
-    def fact(
-        self,
-        manifest: dict | None = None,
-        days: Iterable[str] | None = None,
-        columns: list[str] | None = None,
-    ) -> DataFrame:
-        """Current fact rows, of all days or of ``days``.
-
-        A row of a day with several loads counts if no later load of the day has its key. Only
-        keys of the later loads are compared; days with one load are read as they are.
-        """
-        entries = (manifest or self.manifest())["fact"]
-        columns = columns or FACT.fieldNames()
-        if days is not None:
-            wanted = set(days)
-            entries = {d: e for d, e in entries.items() if d in wanted}
-        if not entries:
-            return self.spark.createDataFrame([], T.StructType([FACT[c] for c in columns]))
-        loads = {d: e["loads"] for d, e in entries.items()}
-        parts = []
-        if single := {d: names for d, names in loads.items() if len(names) == 1}:
-            parts.append(self._stored(single, columns).select(columns))
-        if several := {d: names for d, names in loads.items() if len(names) > 1}:
-            read = columns if "flight_key" in columns else ["flight_key", *columns]
-            rows = self._stored(several, read)
-            later = self._stored({d: names[1:] for d, names in several.items()}, ["flight_key"])
-            later = later.select("flight_key", F.col("load").alias("later"))
-            # names of loads sort in their order
-            live = rows.join(
-                later,
-                (rows["flight_key"] == later["flight_key"]) & (later["later"] > rows["load"]),
-                "left_anti",
-            )
-            parts.append(live.select(columns))
-        return reduce(DataFrame.unionAll, parts)
-
-    def newest_departures(self, manifest: dict, limit: int) -> DataFrame:
-        """Fact rows that include the first ``limit`` by departure, unknown departures first.
-
-        Days with ``limit`` rows together whose departures all are at or after some time bound
-        that time; days and files before it are not read.
+    def upsert_fact(self, rows: DataFrame, load_id: int) -> None:
+        """Replace the days of ``rows``: stored rows whose key is not among them stay.
+
+        The rows are written beside the old ones and moved when all are there. Rebalancing
+        splits a day that holds much over several files and joins small days.
         """
-        entries = manifest["fact"]
-        held, bound = 0, None
-        # days without any known departure come before all
-        known = [e for e in entries.values() if e["min_departure"] is not None]
-        held = sum(e["rows"] for e in entries.values() if e["min_departure"] is None)
-        for entry in sorted(known, key=lambda e: e["min_departure"], reverse=True):
-            if held >= limit:
-                break
-            held += entry["rows"]
-            bound = entry["min_departure"]
-        if held < limit:
-            return self.fact(manifest)
-        departure = F.col("dep_scheduled")
-        wanted = departure.isNull()
-        if bound is not None:
-            wanted = wanted | (departure >= F.timestamp_micros(F.lit(bound)))
-        days = [
-            d for d, e in entries.items()
-            if e["unknown"]
-            or (bound is not None and e["max_departure"] is not None and e["max_departure"] >= bound)
-        ]
-        return self.fact(manifest, days).where(wanted)
-
-    def oldest_ingests(self, manifest: dict, after: int | None, target: int, limit: int | None,
-                       at: bool) -> DataFrame:
-        """Fact rows that include the first ``limit`` by ingest time in ``(after, target]``;
-        ``at`` also takes those at ``after``. Only days that can hold them are read."""
-        last = None if after is None else after - 1 if at else after
-        entries = {
-            d: e for d, e in manifest["fact"].items()
-            if (last is None or e["max_ingest"] > last) and e["min_ingest"] <= target
-        }
-        upper, held = target, 0
-        if limit is not None:
-            whole = [e for e in entries.values() if last is None or e["min_ingest"] > last]
-            for entry in sorted(whole, key=lambda e: e["max_ingest"]):
-                held += entry["rows"]
-                if held >= limit:
-                    upper = min(target, entry["max_ingest"])
-                    break
-        days = [d for d, e in entries.items() if e["min_ingest"] <= upper]
-        rows = self.fact(manifest, days)
-        rows = rows.where(F.col("ingest_time") <= F.timestamp_micros(F.lit(upper)))
-        if last is not None:
-            rows = rows.where(F.col("ingest_time") > F.timestamp_micros(F.lit(last)))
-        return rows
-
-    @staticmethod
-    def fact_rows(manifest: dict) -> int:
-        return sum(e["rows"] for e in manifest["fact"].values())
-
-    @staticmethod
-    def max_ingest(manifest: dict) -> int | None:
-        """Greatest ingest time ever stored, in microseconds, from the manifest alone."""
-        return max((e["max_ingest"] for e in manifest["fact"].values()), default=None)
+        incoming = rows.select(
+            *FACT.fieldNames(), F.lit(load_id).cast("long").alias("load_id"),
+            self.day_of(F.col("flight_key")).alias("key_day"))
+        # bounded by the calendar and the number of key buckets
+        days = [r[0] for r in incoming.select("key_day").distinct().collect()]
+        kept = self.fact(days).join(
+            incoming.select("key_day", "flight_key"), ["key_day", "flight_key"], "left_anti")
+        placed = incoming.unionByName(kept).hint("rebalance", "key_day")
+        replace_partitions(
+            placed.sortWithinPartitions("key_day", "load_id", "ingest_time"), self.path("fact"),
+            "key_day")
+
+    def record_load(self, load_id: int, batches: list[Batch]) -> None:
+        """The last step of a load: from here on its tables are the current ones."""
+        rows = self.spark.createDataFrame(batches, BATCH).coalesce(1)
+        replace_partitions(
+            rows.withColumn("load_id", F.lit(load_id).cast("long")), self.path("loads"), "load_id")
+
+    # exports ---------------------------------------------------------------------------------
+
+    def last_export(self, kind: str) -> dict | None:
+        """What the last export of the kind ``full`` or ``delta`` wrote."""
+        rows = self.table(f"exports_{kind}", EXPORTED)
+        last = rows.orderBy(F.desc("export_id")).first()
+        return last.asDict() if last else None
+
+    def record_export(self, kind: str, export: dict) -> None:
+        rows = self.spark.createDataFrame([export], EXPORTED).coalesce(1)
+        replace_partitions(rows, self.path(f"exports_{kind}"), "export_id")
 
     # retention -------------------------------------------------------------------------------
 
     def drop_old_snapshots(self, keep: int = 10) -> None:
-        """Delete manifests but the last ``keep``, and snapshots that no kept manifest names.
-
-        Snapshots of a load that has not published yet are left alone.
-        """
-        kept = self.manifests.drop_old(keep)
-        if not kept:
-            return
-        newest = kept[-1]["version"]
-        used = {f"{t}/load={load}" for m in kept for t, load in m["dims"].items()}
-        used |= {f"quarantine/load={load}" for m in kept for load in m["quarantine"]}
-        used |= {
-            f"fact/load={load}/key_day={day}"
-            for m in kept for day, e in m["fact"].items() for load in e["loads"]
-        }
-        stored = self.folder.glob("fact/load=*/key_day=*")
-        for table in (*DIMENSIONS, "quarantine"):
-            stored += self.folder.glob(f"{table}/load=*")
-        for path in stored:
-            version = int(path.split("load=")[1].split("-")[0])
-            if path not in used and version <= newest:
-                self.folder.delete(path)
+        """Delete the dimensions' partitions of loads but the last ``keep``."""
+        if keep < 1:
+            raise ValueError("keep at least one state")
+        last = self.load_id()
+        for name in DIMENSIONS:
+            for part in self.folder.names(f"{name}/load_id=*"):
+                if int(part.split("=")[1]) <= last - keep:
+                    self.folder.delete(f"{name}/{part}")

@@ -1,4 +1,4 @@
-"""Continuous ingest: message stream to staging."""
+"""Continuous ingest: message stream to staging, and on to the warehouse."""
 
 from __future__ import annotations
 
@@ -10,44 +10,53 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators.decode import decode
 from skyledger.operators.quality import split_rejects
+from skyledger.plans.load import run_load
 from skyledger.schemas import STAGED
-from skyledger.sources.files import named_once
+from skyledger.sources.store import Warehouse, replace_partitions
+from skyledger.streaming.metrics import observed
 
 # Takes the rows, the stream's id and the batch number of a micro-batch.
 BatchSink = Callable[[DataFrame, str, int], None]
-# File in a checkpoint folder with the id of its stream.
-STREAM_ID = "stream_id.json"
-
-
-def batch_folder(stream: str, batch_id: int) -> str:
-    """Batch numbers begin at 0 in every checkpoint: only with the stream they name a batch."""
-    return f"stream={stream}/batch_id={batch_id}"
 
 
 def staging_sink(staging: str, rejects: str) -> BatchSink:
-    """Writes good and rejected rows of a batch below a folder of its stream and number.
+    """Writes good and rejected rows of a batch as partitions of its stream and number.
 
     A replayed batch replaces what its first run wrote. A stream under a fresh checkpoint and a
-    second stream write beside what is there.
+    second stream write beside what is there: batch numbers begin at 0 in every checkpoint, so
+    only with the stream they name a batch.
     """
 
     def write(rows: DataFrame, stream: str, batch_id: int) -> None:
-        folder = batch_folder(stream, batch_id)
+        of_batch = {"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("long")}
         # two writes from one batch: without this it would be read and decoded twice
         rows.persist()
         try:
             good, rejected = split_rejects(rows)
             rejected = rejected.select(F.col("reject_reason").alias("reason"), "raw")
-            rejected.write.mode("overwrite").parquet(f"{rejects}/{folder}")
-            good.select(STAGED.fieldNames()).write.mode("overwrite").parquet(
-                f"{staging}/{folder}"
-            )
+            for part, path in ((rejected, rejects), (good.select(STAGED.fieldNames()), staging)):
+                replace_partitions(part.withColumns(of_batch), path, *of_batch)
         finally:
             rows.unpersist()
 
     return write
 
 
+def loading_sink(house: Warehouse, **options: bool) -> BatchSink:
+    """Stages a batch and loads it in the same step; ``options`` are those of ``run_load``.
+
+    The batch is known by its stream and number: one that is replayed after its load is staged
+    again, with the same rows, but not loaded again.
+    """
+    stage = staging_sink(house.staging_path, house.rejects_path)
+
+    def write(rows: DataFrame, stream: str, batch_id: int) -> None:
+        stage(rows, stream, batch_id)
+        run_load(house.spark, house.root, batches=[(stream, batch_id)], **options)
+
+    return write
+
+
 def start_ingest(
     messages: DataFrame,
     sink: BatchSink,
@@ -56,18 +65,23 @@ def start_ingest(
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Start the query that decodes ``messages`` and hands each micro-batch to ``sink``.
+    """Start the query that decodes ``messages`` and hands each micro-batch to ``sink``; a
+    ``BatchCounts`` listener gets the counts of its rows.
 
-    ``checkpoint`` must outlive the driver; it also keeps the id of the stream, which a restart
-    goes on with and a fresh checkpoint gets anew. ``trigger`` holds the arguments of the stream's
+    ``checkpoint`` must outlive the driver; Spark also keeps there the id of the stream, which a
+    restart goes on with and a fresh checkpoint gets anew. ``trigger`` holds the arguments of the stream's
     trigger, such as ``{"availableNow": True}``; the default runs batches back to back.
     """
-    rows = decode(messages, default_ingest=default_ingest)
-    stream = named_once(messages.sparkSession, checkpoint, STREAM_ID)
+    rows = observed(decode(messages, default_ingest=default_ingest))
+
+    def hand_over(batch: DataFrame, number: int) -> None:
+        context = batch.sparkSession.sparkContext
+        sink(batch, context.getLocalProperty("sql.streaming.queryId"), number)
+
     writer = (
         rows.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, number: sink(batch, stream, number))
+        .foreachBatch(hand_over)
     )
     if trigger:
         writer = writer.trigger(**trigger)

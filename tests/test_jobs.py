@@ -6,12 +6,12 @@ from datetime import date
 import pytest
 from conftest import at, tuples
 
-from skyledger.operators.export import newest_first
 from skyledger.plans import load as load_plan
-from skyledger.plans.export import export_delta, export_full, published_extracts
+from pyspark.sql import functions as F
+
+from skyledger.plans.export import export_delta, export_full
 from skyledger.plans.load import ConstraintViolation, run_load
-from skyledger.sources.files import PublishConflict, VersionedState
-from skyledger.sources.store import Warehouse, add_to_ranges
+from skyledger.sources.store import Warehouse, replace_partitions
 
 KEY = "QX512_2025-03-04T13:40:00+00:00"
 SAMPLE = {
@@ -29,14 +29,14 @@ def house(spark, tmp_path):
     return Warehouse(spark, str(tmp_path / "house"))
 
 
+def put(house, rows, batch):
+    named = rows.withColumns({"stream": F.lit("s"), "batch_id": F.lit(batch)})
+    replace_partitions(named.coalesce(1), house.staging_path, "stream", "batch_id")
+
+
 @pytest.fixture
 def stage(house, staged):
-    def write(batch: int, *rows: dict):
-        staged(*rows).coalesce(1).write.mode("overwrite").parquet(
-            house.batch_path("s", batch)
-        )
-
-    return write
+    return lambda batch, *rows: put(house, staged(*rows), batch)
 
 
 def facts(house, *columns):
@@ -45,8 +45,8 @@ def facts(house, *columns):
 
 def test_sample_record(spark, house, stage, tmp_path):
     stage(0, SAMPLE)
-    manifest = run_load(spark, house.root)
-    assert manifest["version"] == 1 and manifest["consumed"] == {"s": [[0, 0]]}
+    assert run_load(spark, house.root) == 1
+    assert tuples(house.loads()) == [("s", 0, 1)]
     assert tuples(house.dimension("dim_airline")) == [(1, "QX", "QXA", "Quill Air")]
     assert tuples(house.dimension("dim_airport"), "airport_id", "iata") == [(1, "LIS"), (2, "OSL")]
     assert tuples(house.dimension("dim_route")) == [(1, 2, 1)]
@@ -82,9 +82,8 @@ def test_ids_stay_and_new_rows_follow(spark, house, stage):
 
 def test_no_new_batches_change_nothing(spark, house, stage):
     stage(0, SAMPLE)
-    first = run_load(spark, house.root)
-    assert run_load(spark, house.root) == first
-    assert Warehouse(spark, house.root).manifest() == first
+    assert run_load(spark, house.root) == run_load(spark, house.root) == 1
+    assert tuples(house.fact(), "load_id") == [(1,)]
 
 
 def test_fact_is_overwritten_with_nulls_and_by_older_rows(spark, house, stage):
@@ -109,58 +108,31 @@ def test_a_flight_that_moves_to_another_date_stays_one_row(spark, house, stage):
         (KEY, "moved", date(2025, 3, 5)), ("no time in this key", "moved", date(2025, 3, 5))]
 
 
-def written_rows(spark, house, load):
-    return spark.read.parquet(f"{house.root}/fact/load={load}").count()
+def day_files(house, day):
+    return sorted(f for f in house.fact().inputFiles() if f"key_day={day}" in f)
 
 
-def test_a_load_writes_only_its_own_rows(spark, house, stage):
+def test_a_load_replaces_only_the_days_it_touches(spark, house, stage):
     other = {**SAMPLE, "flight_key": "X1_2025-03-05T00:00:00+00:00"}
     beside = {**SAMPLE, "flight_key": "X2_2025-03-05T00:00:00+00:00"}
     stage(0, SAMPLE, other, beside)
-    first = run_load(spark, house.root)
-    stage(1, {**other, "status": "landed"})
-    second = run_load(spark, house.root)
-    assert second["fact"]["2025-03-04"] == first["fact"]["2025-03-04"]
-    day = second["fact"]["2025-03-05"]
-    assert day["loads"][:1] == first["fact"]["2025-03-05"]["loads"] and len(day["loads"]) == 2
-    assert day["rows"] == 2 and written_rows(spark, house, day["loads"][1]) == 1
-    rows = [(KEY, "active"), (other["flight_key"], "landed"), (beside["flight_key"], "active")]
-    assert facts(house) == rows
-    # dimensions without a change are not written again
-    assert second["dims"] == first["dims"]
-
-
-def test_stored_days_are_read_by_key_alone(spark, house, stage):
-    stage(0, SAMPLE)
     run_load(spark, house.root)
-    stage(1, SAMPLE)
+    before = {day: day_files(house, day) for day in ("2025-03-04", "2025-03-05")}
+    stage(1, {**other, "status": "landed"})
     run_load(spark, house.root)
-    keys = house.fact(columns=["flight_key"])
-    plan = keys._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<flight_key:string>" in plan and "dep_scheduled" not in plan
-
-
-def test_folding_changes_no_result(spark, house, stage, tmp_path):
-    for batch in range(3):
-        stage(batch, *[
-            {**SAMPLE, "flight_key": f"F{i}_2025-03-0{i % 2 + 4}T00:00:00+00:00",
-             "status": f"s{batch}", "ingest_time": at(f"2025-03-04 1{batch}:0{i}")}
-            for i in range(batch, 5)
-        ])
-        run_load(spark, house.root)
-    before, old = facts(house, "flight_key", "status", "ingest_time"), house.manifest()
-    assert house.fact_rows(old) == len(before) == 5
-    assert load_plan.fold_days(spark, house.root, 4) == old
-    folded = load_plan.fold_days(spark, house.root, 3)
-    assert all(len(e["loads"]) == 1 for e in folded["fact"].values())
-    assert facts(house, "flight_key", "status", "ingest_time") == before
-    assert house.fact_rows(folded) == 5
-    house.drop_old_snapshots(keep=1)
-    assert facts(house, "flight_key", "status", "ingest_time") == before
-    assert export_delta(spark, house.root, str(tmp_path / "delta")) == 5
-    stage(3, {**SAMPLE, "flight_key": "F0_2025-03-04T00:00:00+00:00", "status": "last"})
+    assert day_files(house, "2025-03-04") == before["2025-03-04"]
+    assert not set(day_files(house, "2025-03-05")) & set(before["2025-03-05"])
+    assert facts(house, "flight_key", "status", "load_id") == [
+        (KEY, "active", 1), (other["flight_key"], "landed", 2), (beside["flight_key"], "active", 1)]
+
+
+def test_days_are_pruned(spark, house, stage):
+    stage(0, *[{**SAMPLE, "flight_key": f"F_2025-03-0{d}T00:00:00+00:00"} for d in range(1, 6)])
     run_load(spark, house.root)
-    assert facts(house)[0][1] == "last" and house.fact().count() == 5
+    plan = house.fact(["2025-03-02"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(key_day" in plan
+    read = house.fact(["2025-03-02"]).select(F.input_file_name()).distinct()
+    assert read.count() == 1
 
 
 def test_quarantine_is_kept_over_loads(spark, house, stage):
@@ -190,41 +162,46 @@ def test_routes_by_icao_are_opt_in(spark, house, stage):
     assert facts(house, "route_id") == [(1,)]
 
 
-def test_unfinished_and_later_batches_wait(spark, house, stage, tmp_path):
+def test_a_batch_that_is_being_written_is_not_seen(spark, house, stage, tmp_path):
+    """Spark moves a partition to its place when all its files are there."""
     stage(0, SAMPLE)
-    stage(1, {**SAMPLE, "status": "landed"})
-    mark = tmp_path / "house" / "staging" / "stream=s" / "batch_id=1" / "_SUCCESS"
-    mark.unlink()
-    manifest = run_load(spark, house.root)
-    assert manifest["consumed"] == {"s": [[0, 0]]} and facts(house) == [(KEY, "active")]
-    mark.touch()
-    assert run_load(spark, house.root)["consumed"] == {"s": [[0, 1]]}
-    assert facts(house) == [(KEY, "landed")]
+    draft = tmp_path / "house" / "staging" / ".spark-staging-x" / "stream=s" / "batch_id=1"
+    draft.mkdir(parents=True)
+    (draft / "part-0.parquet").write_bytes(b"half")
+    assert house.staged_batches() == [("s", 0)]
+    run_load(spark, house.root)
+    assert facts(house) == [(KEY, "active")]
 
 
-def test_a_failed_load_leaves_the_old_state(spark, house, stage, monkeypatch):
+@pytest.mark.parametrize("step", ["write_snapshot", "upsert_fact", "record_load"])
+def test_a_load_that_fails_is_made_up_for(spark, house, stage, monkeypatch, step):
     stage(0, SAMPLE)
-    first = run_load(spark, house.root)
-    stage(1, {**SAMPLE, "status": "landed"})
+    run_load(spark, house.root)
+    stage(1, {**SAMPLE, "status": "landed", "airline_iata": "NW", "airline_name": "New"})
+    real = getattr(Warehouse, step)
 
-    def fail(self, state):
+    def fail(self, *args):
+        real(self, *args)
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(VersionedState, "publish", fail)
+        patch.setattr(Warehouse, step, fail)
         with pytest.raises(OSError):
             run_load(spark, house.root)
-    assert house.manifest() == first and facts(house) == [(KEY, "active")]
+    if step == "record_load":
+        assert house.load_id() == 2 and house.pending_batches() == []
+    else:
+        # a dimension is read as of the last recorded load
+        assert house.load_id() == 1 and house.pending_batches() == [("s", 1)]
+        assert tuples(house.dimension("dim_airline"), "iata") == [("QX",)]
+    if step == "write_snapshot":
+        assert facts(house) == [(KEY, "active")]
+    stage(2, {**SAMPLE, "flight_key": "late", "airline_iata": "ZZ"})
     run_load(spark, house.root)
-    assert facts(house) == [(KEY, "landed")]
-
-
-def test_of_two_overlapping_loads_one_publishes(spark, house, stage):
-    stage(0, SAMPLE)
-    manifest = run_load(spark, house.root)
-    with pytest.raises(PublishConflict):
-        house.manifests.publish({**manifest, "fact": {}})
-    assert house.manifest() == manifest
+    names = house.fact().join(house.dimension("dim_airline"), "airline_id")
+    assert tuples(names, "flight_key", "status", "iata") == [
+        (KEY, "landed", "NW"), ("late", "active", "ZZ")]
+    assert house.fact().count() == 2 and house.pending_batches() == []
 
 
 def test_broken_rules_stop_the_load(spark, house, stage, monkeypatch):
@@ -235,7 +212,7 @@ def test_broken_rules_stop_the_load(spark, house, stage, monkeypatch):
     )
     with pytest.raises(ConstraintViolation):
         run_load(spark, house.root)
-    assert house.manifest()["version"] == 0
+    assert house.load_id() == 0 and house.fact().isEmpty()
 
 
 def test_any_split_into_loads_gives_the_same_fact(spark, tmp_path, staged):
@@ -254,8 +231,7 @@ def test_any_split_into_loads_gives_the_same_fact(spark, tmp_path, staged):
         house = Warehouse(spark, str(tmp_path / f"cut{len(cuts)}"))
         start = 0
         for batch, end in enumerate(cuts):
-            staged(*rows[start:end]).coalesce(1).write.parquet(
-                house.batch_path("s", batch))
+            put(house, staged(*rows[start:end]), batch)
             run_load(spark, house.root)
             start = end
         assert export_full(spark, house.root, f"{house.root}/out", fmt="parquet") > 0
@@ -268,26 +244,18 @@ def test_consumed_staging_and_old_snapshots_can_be_dropped(spark, house, stage,
     run_load(spark, house.root)
     for batch in (1, 2):
         stage(batch, {**SAMPLE, "status": f"s{batch}"})
-        manifest = run_load(spark, house.root)
+        run_load(spark, house.root)
     stage(3, SAMPLE)
-    assert house.purge_staging(manifest) == [("s", n) for n in (0, 1, 2)]
+    assert house.purge_staging() == [("s", n) for n in (0, 1, 2)]
     assert house.staged_batches() == [("s", 3)]
     before = facts(house)
     house.drop_old_snapshots(keep=1)
     assert facts(house) == before
-    root = tmp_path / "house"
-    assert len(list((root / "manifest").glob("*.json"))) == 1
     with pytest.raises(ValueError):
         house.drop_old_snapshots(keep=0)
-    loads = [load for e in house.manifest()["fact"].values() for load in e["loads"]]
-    assert len(list(root.glob("fact/load=*/key_day=*"))) == len(loads) == 4
-    assert len(list(root.glob("dim_airport/load=*"))) == 1
-    assert run_load(spark, house.root)["version"] == 4
-
-
-def test_ranges():
-    assert add_to_ranges([], [3, 1, 2, 7]) == [[1, 3], [7, 7]]
-    assert add_to_ranges([[1, 3], [7, 7]], [4, 5, 6]) == [[1, 7]]
+    assert len(list((tmp_path / "house").glob("dim_airport/load_id=*"))) == 1
+    assert tuples(house.dimension("dim_airline"), "iata") == [("QX",)]
+    assert run_load(spark, house.root) == 4
 
 
 # export ----------------------------------------------------------------------------------
@@ -336,71 +304,29 @@ def test_a_full_extract_that_fails_leaves_the_old_one(spark, house, stage, tmp_p
     out = str(tmp_path / "full")
     export_full(spark, house.root, out)
     with monkeypatch.context() as patch:
-        patch.setattr(VersionedState, "publish", lambda self, state: 1 / 0)
+        patch.setattr(Warehouse, "record_export", lambda self, kind, export: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             export_full(spark, house.root, out)
-    state = published_extracts(spark, out).latest()
-    assert state == {"version": 1, "folder": "export_id=1", "rows": 1}
-    assert spark.read.option("header", True).csv(f"{out}/{state['folder']}").count() == 1
-
-
-def test_a_page_reads_only_days_that_can_hold_it(spark, house, stage):
-    stage(0, *[
-        {**SAMPLE, "flight_key": f"F{i}_2025-03-1{d}T00:00:00+00:00",
-         "ingest_time": at(f"2025-03-1{d} 10:0{i}")} for d in range(6) for i in range(4)])
-    manifest = run_load(spark, house.root)
-    ends = {d: at(f"2025-03-1{d} 10:03").timestamp() * 1_000_000 for d in range(6)}
-
-    def days(after, limit):
-        rows = house.oldest_ingests(manifest, after and int(after), int(ends[5]), limit, False)
-        return sorted({f.split("key_day=")[1][:10] for f in rows.inputFiles()})
-
-    assert days(None, 3) == ["2025-03-10"]
-    assert days(ends[1], 5) == ["2025-03-12", "2025-03-13"]
-    assert days(ends[3], None) == ["2025-03-14", "2025-03-15"]
+    last = house.last_export("full")
+    assert (last["export_id"], last["rows"]) == (1, 1)
+    assert spark.read.option("header", True).csv(f"{out}/export_id=1").count() == 1
+    assert export_full(spark, house.root, out) == 1
+    assert house.folder.has("exports_full/export_id=2")
 
 
 def test_limits_do_not_sort_the_whole_fact(spark, house, stage):
-    from skyledger.operators.export import delta_page, full_extract
+    from skyledger.operators.export import delta_page, full_extract, load_page
 
     stage(0, *flights(*range(9)))
     run_load(spark, house.root)
     dims = [house.dimension(n) for n in ("dim_airline", "dim_route", "dim_airport")]
     for rows in (full_extract(house.fact(), *dims, limit=3),
-                 delta_page(house.fact(), None, at("2025-03-05 00:00"), 3)):
+                 delta_page(house.fact(), None, at("2025-03-05 00:00"), 3),
+                 load_page(house.fact(), None, 1, 3)):
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         below = plan[plan.index("GlobalLimit"):] if "GlobalLimit" in plan else plan
         assert "scalar-subquery" in below
 
-def test_limited_extract_reads_the_newest_days_only(spark, house, stage):
-    rows = [
-        {**SAMPLE, "flight_key": f"F{d}{i}_2025-08-{d}T00:00:00+00:00",
-         "dep_scheduled": at(f"2025-08-{d} 0{i}:00")}
-        for d in range(10, 16) for i in range(4)
-    ]
-    late = {**SAMPLE, "flight_key": "L_2025-08-10T00:00:00+00:00",
-            "dep_scheduled": at("2025-08-20 00:00")}
-    stage(0, *rows, late)
-    manifest = run_load(spark, house.root)
-
-    def top(limit):
-        picked = house.newest_departures(manifest, limit)
-        keys = [r[0] for r in picked.orderBy(*newest_first()).limit(limit).select(
-            "flight_key").collect()]
-        return keys, picked.count()
-
-    ordered = [r[0] for r in house.fact(manifest).orderBy(*newest_first()).select(
-        "flight_key").collect()]
-    for limit in (1, 2, 5, 6, 24, 25, 99):
-        keys, read = top(limit)
-        assert keys == ordered[:limit]
-        assert read < 25 or limit >= 20
-    stage(1, {**rows[0], "dep_scheduled": None})
-    manifest = run_load(spark, house.root)
-    assert top(1)[0] == [rows[0]["flight_key"]]
-    assert top(2)[0] == [rows[0]["flight_key"], late["flight_key"]]
-
-
 def test_empty_warehouse_writes_nothing(spark, house, tmp_path):
     assert export_full(spark, house.root, str(tmp_path / "full")) == 0
     assert export_delta(spark, house.root, str(tmp_path / "delta")) == 0
@@ -440,11 +366,32 @@ def test_delta_moves_on_with_the_warehouse(spark, house, stage, tmp_path):
     run_load(spark, house.root)
     assert export_delta(spark, house.root, out) == 1
     assert delta_keys(spark, out, 3) == ["G2_2025-08-25T00:00:00+00:00"]
-    # stored later with a time at the watermark: only the full extract has it
-    stage(3, {**flights(2)[0], "flight_key": "G3_2025-08-25T00:00:00+00:00"})
+    # loaded late with times at and before those that are out
+    stage(3, {**flights(2)[0], "flight_key": "G3_2025-08-25T00:00:00+00:00"},
+          {**flights(0)[0], "flight_key": "G4_2025-08-25T00:00:00+00:00"})
     run_load(spark, house.root)
+    assert export_delta(spark, house.root, out) == 2
+    assert delta_keys(spark, out, 4) == [
+        "G3_2025-08-25T00:00:00+00:00", "G4_2025-08-25T00:00:00+00:00"]
     assert export_delta(spark, house.root, out) == 0
-    assert export_full(spark, house.root, str(tmp_path / "full")) == 4
+    assert export_full(spark, house.root, str(tmp_path / "full")) == 5
+
+
+def test_pages_go_on_while_loads_come_in(spark, house, stage, tmp_path):
+    out, seen, number = str(tmp_path / "delta"), [], 0
+    stage(0, *flights(3, 2, 1, 0))
+    run_load(spark, house.root)
+    for batch in range(1, 4):
+        number += 1
+        assert export_delta(spark, house.root, out, 2) == 2
+        seen += delta_keys(spark, out, number)
+        stage(batch, {**flights(0)[0], "flight_key": f"L{batch}_2025-03-04T00:00:00+00:00"})
+        run_load(spark, house.root)
+    while export_delta(spark, house.root, out, 2):
+        number += 1
+        seen += delta_keys(spark, out, number)
+    assert sorted(seen) == sorted(r[0] for r in facts(house, "flight_key"))
+    assert len(seen) == 7
 
 
 def test_a_delta_that_fails_is_written_again(spark, house, stage, tmp_path, monkeypatch):
@@ -452,7 +399,7 @@ def test_a_delta_that_fails_is_written_again(spark, house, stage, tmp_path, monk
     stage(0, *flights(0, 1))
     run_load(spark, house.root)
     with monkeypatch.context() as patch:
-        patch.setattr(VersionedState, "publish", lambda self, state: 1 / 0)
+        patch.setattr(Warehouse, "record_export", lambda self, kind, export: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             export_delta(spark, house.root, out)
     assert export_delta(spark, house.root, out) == 2

@@ -15,7 +15,7 @@ from skyledger.sources.connect import (
     read_messages,
 )
 from skyledger.sources.store import Warehouse
-from skyledger.streaming.ingest import staging_sink, start_ingest
+from skyledger.streaming.ingest import loading_sink, staging_sink, start_ingest
 
 
 def message(key, **changes):
@@ -55,7 +55,7 @@ def test_stream_to_staging_and_rejects(spark, place):
     assert number == 0
     assert tuples(house.staging([(stream, 0)]), "flight_key", "stream", "batch_id") == [
         ("A_1", stream, 0)]
-    rejects = spark.read.parquet(house.rejects_path)
+    rejects = house.rejects()
     assert tuples(rejects, "reason") == [("flight_key",), ("malformed",)]
     assert ("{bad",) in tuples(rejects, "raw")
 
@@ -64,9 +64,10 @@ def test_stream_to_staging_and_rejects(spark, place):
     send(message("C_1"))
     ingest()
     assert house.staged_batches() == [(stream, n) for n in (0, 1, 2)]
-    staged = house.staging(house.staged_batches())
+    staged = house.staged()
     assert [k for (k,) in tuples(staged, "flight_key")] == ["A_1", "B_1", "C_1"]
-    assert run_load(spark, house.root)["consumed"] == {stream: [[0, 2]]}
+    assert run_load(spark, house.root) == 1
+    assert tuples(house.loads()) == [(stream, n, 1) for n in (0, 1, 2)]
     assert house.fact().count() == 3
 
 
@@ -77,7 +78,7 @@ def test_a_replayed_batch_is_stored_once(spark, place):
     write(rows, "s", 3)
     write(rows, "s", 3)
     assert house.staging([("s", 3)]).count() == 1
-    assert spark.read.parquet(house.rejects_path).count() == 1
+    assert house.rejects().count() == 1
 
 
 def test_a_fresh_checkpoint_loses_and_doubles_nothing(spark, place):
@@ -87,11 +88,11 @@ def test_a_fresh_checkpoint_loses_and_doubles_nothing(spark, place):
     run_load(spark, house.root)
     send(message("A_2"), topic="later")
     ingest("fresh", "later")
-    manifest = run_load(spark, house.root)
+    run_load(spark, house.root)
     assert tuples(house.fact(), "flight_key") == [("A_1",), ("A_2",)]
     send(message("A_3"), topic="later")
     ingest("fresh", "later")
-    gone = house.purge_staging(manifest)
+    gone = house.purge_staging()
     assert len(gone) == 2 and len({stream for stream, _ in gone}) == 2
     [waiting] = house.staged_batches()
     assert waiting[1] == 1 and waiting not in gone
@@ -106,11 +107,33 @@ def test_two_streams_into_one_warehouse(spark, place):
     ingest()
     ingest("second", "other")
     assert len(house.staged_batches()) == 2
-    assert tuples(house.staging(house.staged_batches()), "flight_key") == [("A_1",), ("A_2",)]
-    assert spark.read.parquet(house.rejects_path).count() == 2
+    assert tuples(house.staged(), "flight_key") == [("A_1",), ("A_2",)]
+    assert house.rejects().count() == 2
     run_load(spark, house.root)
     run_load(spark, house.root)
-    assert house.fact().count() == 2 and house.pending_batches(house.manifest()) == []
+    assert house.fact().count() == 2 and house.pending_batches() == []
+
+
+def test_each_batch_is_loaded_as_it_arrives(spark, place, tmp_path):
+    house, _, send = place
+    for status in ("first", "second"):
+        send(message("A_1", status=status), message(f"B_{status}"))
+    source = read_messages(spark, {"maxFilesPerTrigger": "1"}, fmt="parquet",
+                           path=str(tmp_path / "topic"))
+    start_ingest(source, loading_sink(house), str(tmp_path / "p"),
+                 trigger={"availableNow": True}).awaitTermination()
+    assert house.load_id() == 2 and house.pending_batches() == []
+    assert [k for (k,) in tuples(house.fact(), "flight_key")] == ["A_1", "B_first", "B_second"]
+
+
+def test_a_batch_that_is_replayed_after_its_load_is_not_loaded_again(spark, place):
+    house, _, _ = place
+    rows = decode(spark.createDataFrame([message("A_1")], "value binary"))
+    write = loading_sink(house)
+    for number in (0, 1, 1, 0):
+        write(rows, "s", number)
+    assert house.load_id() == 2 and house.staged().count() == 2
+    assert tuples(house.fact(), "flight_key", "load_id") == [("A_1", 2)]
 
 
 def test_staging_rows_need_no_shuffle(spark):
