@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,12 +79,11 @@ def require_none(violations: DataFrame) -> None:
 
 @dataclass
 class Prepared:
-    """A load that is computed and checked, but not stored."""
+    """A load that is computed and checked: its dimensions are written, but count only when the
+    load is recorded; its fact rows are not stored yet."""
 
     load_id: int
     batches: list[Batch]
-    dimensions: dict[str, DataFrame]
-    quarantined: DataFrame
     rows: DataFrame
 
 
@@ -121,52 +120,57 @@ def prepare_load(
     check: bool = True,
     batches: list[Batch] | None = None,
 ) -> Prepared | None:
-    """All of ``run_load`` but storing; None if no batch is pending."""
+    """All of ``run_load`` that readers do not see; None if no batch is pending."""
     pending = house.pending_batches()
     if batches is not None:
         pending = [b for b in pending if b in set(batches)]
     if not pending:
         return None
     last = house.load_id()
+    load_id = last + 1
     staging = house.staging(pending)
 
     # staging is columnar and read with few columns each time, which is cheaper than caching it
     seen = materialize(entity_sightings(staging))
     kind = F.col("kind")
 
-    def merged_airlines() -> DataFrame:
+    def write_airlines() -> DataFrame:
         known = house.dimension("dim_airline", last)
-        return materialize(merge_airlines(known, seen.where(kind == "airline").drop("kind")))
+        merged = merge_airlines(known, seen.where(kind == "airline").drop("kind"))
+        return house.write_snapshot("dim_airline", merged, load_id)
 
-    def merged_airports() -> tuple[DataFrame, DataFrame]:
+    def write_airports() -> DataFrame:
         merged, set_aside = merge_airports(
             house.dimension("dim_airport", last), seen.where(kind == "airport").drop("kind"))
         new = set_aside.distinct().exceptAll(house.quarantine(last))
-        return materialize(merged), materialize(new)
-
-    airline, (airport, quarantined) = together(house.spark, merged_airlines, merged_airports)
-    route = materialize(merge_routes(
-        house.dimension("dim_route", last), route_pairs(staging, airport, icao_fallback)))
-    latest = latest_status(staging.select(*FACT_INPUTS, "batch_id"))
-    rows = materialize(enrich(latest, airline, route, airport, icao_fallback))
-    if newer_only:
-        rows = materialize(_not_older(house, rows))
-    if check:
-        dimensions = dimension_violations(airline, airport, route)
-        require_none(dimensions.unionAll(fact_violations(rows, airline, route)))
-    tables = {"dim_airline": airline, "dim_airport": airport, "dim_route": route}
-    return Prepared(last + 1, pending, tables, quarantined, rows)
+        house.write_snapshot("quarantine", new, load_id)
+        return house.write_snapshot("dim_airport", merged, load_id)
+
+    airline, airport = together(house.spark, write_airlines, write_airports)
+    routes = merge_routes(
+        house.dimension("dim_route", last), route_pairs(staging, airport, icao_fallback))
+    route = house.write_snapshot("dim_route", routes, load_id)
+
+    def write_rows() -> DataFrame:
+        latest = latest_status(staging.select(*FACT_INPUTS, "batch_id"))
+        rows = materialize(enrich(latest, airline, route, airport, icao_fallback))
+        rows = materialize(_not_older(house, rows)) if newer_only else rows
+        if check:
+            require_none(fact_violations(rows, airline, route))
+        return rows
+
+    def check_dimensions() -> None:
+        if check:
+            require_none(dimension_violations(airline, airport, route))
+
+    rows, _ = together(house.spark, write_rows, check_dimensions)
+    return Prepared(load_id, pending, rows)
 
 
 def store_load(house: Warehouse, prepared: Prepared) -> None:
-    """Dimensions first, so that no fact row refers to one that is not there; the record of the
-    load last."""
-    load_id = prepared.load_id
-    snapshots = {**prepared.dimensions, "quarantine": prepared.quarantined}
-    together(house.spark, *[
-        partial(house.write_snapshot, name, rows, load_id) for name, rows in snapshots.items()])
-    house.upsert_fact(prepared.rows, load_id)
-    house.record_load(load_id, prepared.batches)
+    """The fact rows, whose dimensions are there by now; the record of the load last."""
+    house.upsert_fact(prepared.rows, prepared.load_id)
+    house.record_load(prepared.load_id, prepared.batches)
 
 
 def _not_older(house: Warehouse, incoming: DataFrame) -> DataFrame:

@@ -144,9 +144,12 @@ class Warehouse:
         rows = self.table("quarantine", QUARANTINE, LOAD)
         return rows.where(F.col("load_id") <= load_id).drop("load_id").distinct()
 
-    def write_snapshot(self, name: str, rows: DataFrame, load_id: int) -> None:
-        """The rows of one load; a load that is tried again replaces what it wrote before."""
-        rows.write.mode("overwrite").parquet(self.path(f"{name}/load_id={load_id}"))
+    def write_snapshot(self, name: str, rows: DataFrame, load_id: int) -> DataFrame:
+        """Store the rows of one load and return them as stored, so ids are read and not computed
+        again. A load that is tried again replaces what it wrote before."""
+        path = self.path(f"{name}/load_id={load_id}")
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def fact(self, days: list[str] | None = None) -> DataFrame:
         """Fact rows with ``load_id`` and ``key_day``, of all days or of ``days``."""
