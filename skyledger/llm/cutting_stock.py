@@ -29,8 +29,6 @@ END_ID = 0
 # The program stops within this share of its lower bound; a pattern may waste this share.
 GAP = 0.002
 WASTE = 0.008
-# Pricing rounds at most; what they leave undone is cut, not lost.
-ROUNDS = 40
 
 
 # tokens ------------------------------------------------------------------------------------
@@ -140,13 +138,12 @@ def _unfold(last: np.ndarray, room: int) -> dict[int, int]:
     return pattern
 
 
-def _first_columns(demand: dict[int, int], length: int, whole: bool) -> list[tuple]:
-    """Patterns that meet the demand, each around the longest rest still there.
+def _first_columns(demand: dict[int, int], length: int) -> list[tuple[dict, int, float]]:
+    """Patterns that meet the demand, each around the longest rest still there, with the length
+    that it uses up for good and its number; so, in this order, they are a triangular basis.
 
-    The knapsack fills the room beside it, exactly if it can, with lengths of which many are
-    left; the pattern is used until one of its lengths runs out. With ``whole`` it comes with its
-    integer number. Without it every pattern uses up a length for good and comes with it, so
-    the patterns, in this order, are a triangular basis of the program.
+    The knapsack fills the room beside the rest, exactly if it can, with lengths of which many
+    are left.
     """
     left = np.zeros(length + 1)
     left[list(demand)] = list(demand.values())
@@ -172,73 +169,97 @@ def _first_columns(demand: dict[int, int], length: int, whole: bool) -> list[tup
         keys = list(pattern)
         amounts = np.array([pattern[k] for k in keys])
         share = left[keys] / amounts
-        times = np.floor(share.min()) if whole else share.min()
-        times = max(times, 1.0) if whole else times
-        left[keys] -= times * amounts
+        left[keys] -= share.min() * amounts
         spent = keys[int(share.argmin())]
-        if not whole:
-            left[spent] = 0
-        out.append((pattern, float(times) if whole else spent))
+        left[spent] = 0
+        out.append((pattern, spent, float(share.min())))
 
 
-def solve(demand: dict[int, int], length: int, gap: float = GAP) -> list[tuple[dict, float]]:
-    """Patterns and their numbers that cover ``demand`` with nearly the fewest sequences.
+# Patterns that a pricing round brings in at most, and pivots after which the inverse is made anew.
+ENTERING = 64
+REFACTOR = 100
+# The rounds also end when so many of them gain less than this share.
+STALL_ROUNDS = 100
+STALL_GAIN = 0.0005
 
-    Duals in proportion to the length are feasible, so the tokens over the sequence length bound
-    the program: first columns within ``gap`` of it are optimal enough. Otherwise they are the
-    basis that the simplex begins with. A pricing round solves one knapsack at the current
-    duals and brings in the pattern of every first length that still improves. It stops within
-    ``gap`` of the bound that the duals give, scaled by the dearest pattern.
+
+def solve(
+    demand: dict[int, int], length: int, gap: float = GAP, price: bool = True
+) -> list[tuple[dict, float]]:
+    """Patterns and their numbers that cover ``demand`` with few sequences.
+
+    Column generation by a revised simplex. It begins with patterns that each use up a length. A
+    pricing round solves one knapsack at the current duals and brings in the best pattern around
+    each of the lengths that gain most, while it still improves. The duals over the value of the
+    best pattern are feasible, as are lengths over the sequence length; the better of both bounds
+    ends the rounds within ``gap`` of the optimum, a long stall ends them above. A length that
+    ran out beside another one begins with a small demand of its own, so that no row of the basis
+    is at zero and pivots move: the cover is larger by up to a part in 1000.
+
+    ``price`` off leaves the patterns of the beginning, for comparison.
     """
-    tokens = sum(own * n for own, n in demand.items())
-    columns = _first_columns(demand, length, whole=True)
-    if sum(x for _, x in columns) <= max((1 + gap) * tokens / length, tokens // length + 1):
-        return columns
-    columns = _first_columns(demand, length, whole=False)
+    if not demand:
+        return []
     lengths = sorted(demand)
     row = {own: k for k, own in enumerate(lengths)}
     m = len(lengths)
-    # the column of a length is the pattern that used it up, or, if it ran out beside another,
-    # the length by itself, unused
-    patterns = [{own: 1} for own in lengths]
-    basis = np.eye(m)
-    for pattern, spent in columns:
-        patterns[row[spent]] = pattern
-        basis[:, row[spent]] = 0
+    due = np.array([demand[own] for own in lengths], dtype=np.float64)
+    own_times = length // np.array(lengths, dtype=np.int64)
+    patterns = [{own: int(n)} for own, n in zip(lengths, own_times, strict=True)]
+    basis = np.diag(own_times.astype(np.float64))
+    number = 1e-3 * (0.5 + 0.5 * np.random.default_rng(3).random(m)) * due / own_times
+    for pattern, spent, times in _first_columns(demand, length):
+        k = row[spent]
+        patterns[k], number[k] = pattern, max(times, number[k])
+        basis[:, k] = 0
         for own, n in pattern.items():
-            basis[row[own], row[spent]] = n
+            basis[row[own], k] = n
+    need = basis @ number
     inverse = np.linalg.inv(basis)
-    number = np.maximum(inverse @ np.array([demand[own] for own in lengths], dtype=np.float64), 0)
-    duals = inverse.sum(axis=0)
-    for _ in range(ROUNDS):
+    duals, bound, pivots, values_at = inverse.sum(axis=0), float(need @ lengths) / length, 0, []
+    while price:
         values = np.zeros(length + 1)
         values[lengths] = np.maximum(duals, 0)
         best, last = _knapsack(values, length)
-        if best[length] <= 1 + gap:
+        bound = max(bound, float(need @ values[lengths]) / max(best[length], 1.0))
+        values_at.append(number.sum())
+        if number.sum() <= (1 + gap) * bound:
+            break
+        if (len(values_at) > STALL_ROUNDS
+                and values_at[-1] > (1 - STALL_GAIN) * values_at[-1 - STALL_ROUNDS]):
             break
         moved = False
-        for first in sorted(lengths, key=lambda own: -(values[own] + best[length - own]))[:64]:
+        for first in sorted(lengths, key=lambda own: -(values[own] + best[length - own]))[:ENTERING]:
             pattern = _unfold(last, length - first)
             pattern[first] = pattern.get(first, 0) + 1
             places = [row[own] for own in pattern]
             amounts = np.array(list(pattern.values()), dtype=np.float64)
             excess = amounts @ duals[places] - 1
-            if excess <= gap / 2:
+            if excess <= 1e-9:
                 continue
             step = inverse[:, places] @ amounts
-            able = step > 1e-9
-            ratio = np.full(m, np.inf)
-            ratio[able] = number[able] / step[able]
-            leave = int(ratio.argmin())
-            pivot = inverse[leave] / step[leave]
-            number -= ratio[leave] * step
-            number[leave] = ratio[leave]
+            able = np.flatnonzero(step > 1e-9)
+            ratio = number[able] / step[able]
+            # of nearly equal ratios the largest pivot
+            near = able[ratio <= ratio.min() * (1 + 1e-9) + 1e-12]
+            leave = int(near[step[near].argmax()])
+            times = number[leave] / step[leave]
+            number -= times * step
+            number[leave] = times
             np.maximum(number, 0, out=number)
-            step[leave] = 0
-            inverse -= np.outer(step, pivot)
-            inverse[leave] = pivot
-            duals -= excess * pivot
             patterns[leave] = pattern
+            basis[:, leave] = 0
+            basis[places, leave] = amounts
+            pivots += 1
+            if pivots % REFACTOR:
+                pivot = inverse[leave] / step[leave]
+                step[leave] = 0
+                inverse -= np.multiply.outer(step, pivot)
+                inverse[leave] = pivot
+                duals = duals - excess * pivot
+            else:
+                inverse = np.linalg.inv(basis)
+                number, duals = np.maximum(inverse @ need, 0), inverse.sum(axis=0)
             moved = True
         if not moved:
             break
