@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from skyledger.session import materialize
 
 BUCKET_BYTES = 16 << 20
+# Bytes of buckets that a task shuffles, one bucket at a time.
+TASK_BYTES = 64 << 20
 
 
 def record_bytes(df: DataFrame, text_col: str) -> int:
@@ -36,7 +38,9 @@ def shuffle_shards(
     with their number in the scan, so any number of copies spreads over all buckets. Fewer rows
     than shards leave shards empty; an empty table stays empty.
     """
-    buckets = max(shards, -(-record_bytes(df, text_col) // bucket_bytes))
+    size = record_bytes(df, text_col)
+    buckets = max(shards, -(-size // bucket_bytes))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     place = F.monotonically_increasing_id()
     scattered = df.select(
@@ -47,7 +51,7 @@ def shuffle_shards(
     ordered = F.array_sort(F.collect_list("r"), lambda a, b: F.when(
         a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0))
     written = materialize(
-        scattered.groupBy("bucket").agg(ordered.alias("rows"))
+        scattered.repartition(tasks, "bucket").groupBy("bucket").agg(ordered.alias("rows"))
         .select("bucket", F.posexplode(F.shuffle("rows", F.lit(seed))).alias("pos", "r"))
         .select("bucket", F.col("pos").cast("long").alias("pos"), "r.row")
     )
