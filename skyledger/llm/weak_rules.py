@@ -47,6 +47,19 @@ def _repeated(grams: Column) -> Column:
     )
 
 
+# Words among which the distinct ones are counted: a share of them falls with the length.
+DISTINCT_IN = 2000
+
+
+def _distinct(words: Column) -> Column:
+    """Distinct words of each run of ``DISTINCT_IN`` words, added up over the whole text."""
+    begins = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / DISTINCT_IN).cast("int"))
+    counts = F.transform(begins, lambda k: F.size(F.array_distinct(
+        F.slice(words, k * DISTINCT_IN + 1, F.lit(DISTINCT_IN)))))
+    return F.when(F.size(words) > 0, F.aggregate(
+        counts, F.lit(0), lambda total, n: total + n)).otherwise(0).cast("long")
+
+
 def counters(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per document: the counts that the rules look at. Windows of words are compared by their
     64-bit hashes, sorted inside the row: n log n, no shuffle."""
@@ -69,7 +82,7 @@ def counters(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         (F.char_length(text) - F.char_length(F.regexp_replace(text, r"\p{Lu}+", "")))
         .cast("long").alias("n_capitals"),
         count_chars(text, "!?").cast("long").alias("n_marks"),
-        F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
+        _distinct(F.col("words")).alias("n_distinct"),
     )
     return counted.select(
         "doc_id", "n_words", "word_chars", "n_symbols",
@@ -91,7 +104,7 @@ def measures() -> dict[str, Column]:
         "capitals_share": F.col("n_capitals") / chars,
         "marks_per_word": F.col("n_marks") / n,
         "word_length_off": F.abs(chars / n - 5.5),
-        "same_words": F.when(n <= 2000, 1 - F.col("n_distinct") / n),
+        "same_words": 1 - F.col("n_distinct") / n,
     }
 
 
