@@ -80,21 +80,51 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_rows(measured: DataFrame, labels: DataFrame, sample: int) -> tuple[pd.DataFrame, float]:
-    """About ``sample`` labelled rows of either class at most, by a hash of the id, and the
-    share of bad ones among all that may be learned from."""
+def known_rows(measured: DataFrame, labels: DataFrame) -> DataFrame:
+    """The measures of all labelled rows that are not held out, with their ``quality``; written."""
     known = labels.select("doc_id", "quality").where(
         F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     ).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = measured.join(known, "doc_id")
-    count = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    return materialize(measured.join(known, "doc_id"))
+
+
+def sampled(rows: DataFrame, count: dict[int, int], sample: int) -> pd.DataFrame:
+    """About ``sample`` rows of either class at most, by a hash of the id."""
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id"), 11) / F.lit(float(2**53))
     chance = F.lit(0.0)
     for label, n in count.items():
         chance = F.when(F.col("quality") == label, min(1.0, sample / n)).otherwise(chance)
-    chosen = rows.where(unit < chance).orderBy("doc_id").toPandas()
-    total = sum(count.values())
-    return chosen, (count.get(0, 0) / total if total else 0.0)
+    return rows.where(unit < chance).orderBy("doc_id").toPandas()
+
+
+# Bins of a round of the search for a rank, and values that are looked at one by one.
+RANK_BINS = 1000
+RANK_VALUES = 10_000
+
+
+def value_at(rows: DataFrame, value: Column, rank: int) -> float:
+    """The value of rank ``rank``, from 0, among all rows, exactly.
+
+    Rounds of counts per bin of a narrowing range; at last the few values of a bin are sorted.
+    """
+    values = rows.select(value.alias("v"))
+    low, high = values.agg(F.min("v"), F.max("v")).first()
+    inside = F.lit(True)
+    while low < high:
+        width = (high - low) / RANK_BINS
+        at = F.least(F.floor((F.col("v") - low) / width), F.lit(RANK_BINS - 1)).alias("bin")
+        bins = values.where(inside).groupBy(at).agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        ).orderBy("bin").collect()
+        for found in bins:
+            if rank < found["n"]:
+                break
+            rank -= found["n"]
+        inside = (F.col("v") >= found["low"]) & (F.col("v") <= found["high"])
+        low, high = found["low"], found["high"]
+        if found["n"] <= RANK_VALUES:
+            return sorted(r[0] for r in values.where(inside).collect())[rank]
+    return low
 
 
 def _bins(values: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
@@ -104,8 +134,8 @@ def _bins(values: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     ).astype(np.float64)
 
 
-def learn(rows: pd.DataFrame, bad_share: float, pairs: int, bins: int) -> dict:
-    """Edges, weights and threshold from a bounded sample.
+def learn(rows: pd.DataFrame, pairs: int, bins: int) -> dict:
+    """Edges and weights from a bounded sample.
 
     The loss is the logistic loss of the differences in features of (good, bad) pairs, with a
     ridge, by Newton's method. Without both labels all documents score alike and are kept.
@@ -114,7 +144,7 @@ def learn(rows: pd.DataFrame, bad_share: float, pairs: int, bins: int) -> dict:
     good = np.flatnonzero(rows["quality"].to_numpy() == 1)
     bad = np.flatnonzero(rows["quality"].to_numpy() == 0)
     if not len(good) or not len(bad):
-        return {"edges": [np.empty(0)] * len(MEASURES), "weights": np.empty(0), "cut": -2.0}
+        return {"edges": [np.empty(0)] * len(MEASURES), "weights": np.empty(0)}
     # quantiles of both classes by themselves: a rare kind of bad document gets edges too
     at = np.linspace(0, 1, bins + 1)[1:-1]
     edges = [
@@ -131,14 +161,16 @@ def learn(rows: pd.DataFrame, bad_share: float, pairs: int, bins: int) -> dict:
         grad = diff.T @ (1 - p) - ridge * w
         curve = (diff * (p * (1 - p))[:, None]).T @ diff + ridge * np.eye(len(w))
         w += np.linalg.solve(curve, grad)
-    worth = x @ w
-    # the classes are sampled at different rates: weigh them back for the quantile
-    share = np.where(rows["quality"].to_numpy() == 1, (1 - bad_share) / len(good),
-                     bad_share / len(bad))
-    order = np.argsort(worth, kind="stable")
-    place = int(np.searchsorted(np.cumsum(share[order]), bad_share - 1e-9))
-    upper = worth[order[min(place + 1, len(order) - 1)]]
-    return {"edges": edges, "weights": w, "cut": float((worth[order[place]] + upper) / 2)}
+    return {"edges": edges, "weights": w}
+
+
+def cut_of(rows: DataFrame, model: dict, count: dict[int, int]) -> float:
+    """Between the worths of the last bad and the first good of all labelled rows, if they were
+    ranked by worth: the quantile at the share of bad ones. -2 without labels of both classes."""
+    bad, good = count.get(0, 0), count.get(1, 0)
+    if not bad or not good:
+        return -2.0
+    return (value_at(rows, worth(model), bad - 1) + value_at(rows, worth(model), bad)) / 2
 
 
 def worth(model: dict) -> Column:
@@ -163,9 +195,10 @@ def score_quality(
     """Quality of every document, learned from the rows of ``labels`` that are not held out.
 
     Returns doc_id, held_out, score and predicted. The score is the logistic function of the
-    worth, shifted so that the quantile of the worth at the labelled share of bad documents has
-    the score ``threshold``; predicted is 1 from there on. At most about ``sample`` labelled
-    documents of either class and ``pairs`` pairs are learned from; every document is scored.
+    worth, shifted so that the quantile of the worth at the share of bad ones, among all
+    labelled documents that are not held out, has the score ``threshold``; predicted is 1 from
+    there on. The weights are learned from about ``sample`` labelled documents of either class
+    and ``pairs`` pairs at most; every document is scored.
 
     Null and empty texts have all measures 0 and a score like any other. A null id is not held
     out and has no label; repeated rows are scored one by one; of several labels of an id the
@@ -180,9 +213,10 @@ def score_quality(
 def _fitted(df, labels, id_col, text_col, threshold, sample, pairs, bins):
     """The measures of all rows, written, and the score over their columns."""
     measured = materialize(measures(df, id_col, text_col))
-    rows, bad_share = training_rows(measured, labels, sample)
-    model = learn(rows, bad_share, pairs, bins)
-    shift = float(np.log(threshold / (1 - threshold)) - model["cut"])
+    rows = known_rows(measured, labels)
+    count = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    model = learn(sampled(rows, count, sample), pairs, bins)
+    shift = float(np.log(threshold / (1 - threshold)) - cut_of(rows, model, count))
     return measured, 1 / (1 + F.exp(-(worth(model) + shift)))
 
 
