@@ -53,6 +53,10 @@ def calibrate(similarity: float, recall: float, projections: int, window: float)
 
 def _units(vectors: pd.Series) -> np.ndarray:
     x = np.stack([np.frombuffer(v, dtype="<f8") for v in vectors])
+    # the squares of very large and very small components would not fit a double; a subnormal
+    # is scaled in two steps, as its inverse does not fit either
+    x = x * 2.0 ** -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1].clip(-1000, 1000)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -81,7 +85,7 @@ def _block_links(group: pd.DataFrame, similarity: float, half: float, need: int,
                  projections: int, seed: int) -> pd.DataFrame | None:
     """Links of two blocks of a label, or inside one: per vector the number of linked vectors and
     the smallest one it hangs together with here."""
-    group = group.sort_values("vec_id")
+    group = group.sort_values("uid")
     x = _units(group["vector"])
     low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
     block = group["block"].to_numpy()
@@ -97,12 +101,12 @@ def _block_links(group: pd.DataFrame, similarity: float, half: float, need: int,
     first, second = first[near], second[near]
     if not first.size:
         return None
-    ids, copies = group["vec_id"].to_numpy(), group["copies"].to_numpy()
+    ids, copies = group["uid"].to_numpy(), group["copies"].to_numpy()
     links = np.bincount(first, copies[second], len(x)) + np.bincount(
         second, copies[first], len(x))
     out = links > 0
     roots = roots_of(len(x), first, second)
-    return pd.DataFrame({"vec_id": ids[out], "links": links[out].astype(np.int64),
+    return pd.DataFrame({"uid": ids[out], "links": links[out].astype(np.int64),
                          "root": ids[roots[out]]})
 
 
@@ -125,8 +129,9 @@ def dedup_vectors(
 
     A null label or id, or a vector that is null, empty, zero or holds null or non-finite
     numbers, links with nothing; a null id has a null component and is kept. Vectors of another
-    length are no neighbours. Repeated rows are links of each other. An empty table gives an
-    empty table.
+    length are no neighbours. Repeated rows are links of each other. Vectors link by themselves,
+    never by ids: an id may stand for several vectors, each row with the links of its own.
+    Components of any finite size are compared. An empty table gives an empty table.
     """
     half, need = calibrate(similarity, recall, projections, window)
     rows = df.select(
@@ -148,22 +153,22 @@ def dedup_vectors(
             F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"),
             F.first(F.struct("label", "vector")).alias("of"))
         .select("key", "vec_id", "copies", "of.label", "of.vector",
-                F.size("of.vector").alias("dim"))
+                F.size("of.vector").alias("dim"), F.monotonically_increasing_id().alias("uid"))
     )
     sizes = classes.groupBy("label", "dim").agg(
         F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 0")
-    own = F.pmod(F.xxhash64(F.lit(seed), "vec_id", "key"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64(F.lit(seed), "key"), F.col("blocks")).cast("int")
     group = ["label", "dim", "low", "high"]
     dealt = (
         classes.join(sizes, ["label", "dim"]).withColumn("block", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("label", "dim", F.least("block", "other").alias("low"),
-                F.greatest("block", "other").alias("high"), "block", "vec_id", "copies",
+                F.greatest("block", "other").alias("high"), "block", "uid", "copies",
                 "vector")
         .withColumn("group", F.xxhash64(*group))
     )
     packed = dealt.mapInPandas(_packed, "group long, label string, dim int, low int, high int, "
-                               "block int, vec_id long, copies long, vector binary")
+                               "block int, uid long, copies long, vector binary")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in sorted_groups(batches, ["group", *group]):
@@ -173,16 +178,19 @@ def dedup_vectors(
 
     found = materialize(
         packed.repartition("group").sortWithinPartitions("group", *group)
-        .mapInPandas(run, "vec_id long, links long, root long"))
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    parts = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
+        .mapInPandas(run, "uid long, links long, root long"))
+    links = found.groupBy("uid").agg(F.sum("links").alias("links"))
+    parts = components(found.select(F.col("uid").alias("a"), F.col("root").alias("b")))
     by_class = materialize(
-        classes.select("key", "vec_id", "copies")
-        .join(links, "vec_id", "left")
-        .join(parts.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-        .select("key", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                F.coalesce("component", "vec_id").alias("component_id"))
+        classes.select("key", "vec_id", "uid", "copies")
+        .join(links, "uid", "left")
+        .join(parts.withColumnRenamed("node", "uid"), "uid", "left")
+        .select("key", "vec_id",
+                (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+                F.coalesce("component", "uid").alias("component"))
     )
+    lowest = by_class.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    by_class = by_class.drop("vec_id").join(lowest, "component").drop("component")
     out = keyed.select("vec_id", "key").join(by_class, "key", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select(
@@ -198,6 +206,6 @@ def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({
             "group": batch["group"], "label": batch["label"].astype(str), "dim": batch["dim"],
             "low": batch["low"], "high": batch["high"], "block": batch["block"],
-            "vec_id": batch["vec_id"], "copies": batch["copies"],
+            "uid": batch["uid"], "copies": batch["copies"],
             "vector": [np.asarray(v, dtype="<f8").tobytes() for v in batch["vector"]],
         })
