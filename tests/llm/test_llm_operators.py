@@ -157,12 +157,51 @@ def test_classifier_prefers_good():
     values = rng.normal(size=(400, len(pairwise_quality.MEASURES)))
     data = pd.DataFrame(values, columns=pairwise_quality.MEASURES)
     data["quality"] = (values[:, 0] + values[:, 3] > -1).astype(int)
-    model = pairwise_quality.learn(data, float((data["quality"] == 0).mean()), 4000, 10)
+    model = pairwise_quality.learn(data, 4000, 10)
     worth = pairwise_quality._bins(values, model["edges"]) @ model["weights"]
     good, bad = worth[data["quality"] == 1], worth[data["quality"] == 0]
     assert (good[:, None] > bad[None, :]).mean() > 0.97
-    # the threshold is the quantile of the share of bad documents
-    assert abs((worth < model["cut"]).mean() - (data["quality"] == 0).mean()) < 0.02
+
+
+def test_classifier_cut_is_that_of_all_labelled_rows(spark):
+    """However few rows are learned from, the cut is the exact quantile over all of them."""
+    sf = f"{ROOT}/sf0.01"
+    labels = table(spark, sf, "labels")
+    scored = pairwise_quality.score_quality(table(spark, sf, "documents"), labels, sample=60)
+    known = scored.join(labels, "doc_id").where("not held_out").collect()
+    bad = sum(r["quality"] == 0 for r in known)
+    assert 0 < bad < len(known)
+    assert sum(r["predicted"] == 0 for r in known) in (bad - 1, bad, bad + 1)
+
+
+@pytest.mark.parametrize("values", [
+    [1.0], [2.0] * 50, [float(i % 7) for i in range(3000)], [i ** 0.5 for i in range(2500)],
+    [1e-9 * i for i in range(500)] + [1e9]])
+def test_value_of_a_rank(spark, monkeypatch, values):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(pairwise_quality, "RANK_VALUES", 10)
+    monkeypatch.setattr(pairwise_quality, "RANK_BINS", 8)
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for rank in {0, len(values) // 3, len(values) - 1}:
+        assert pairwise_quality.value_at(df, F.col("x"), rank) == sorted(values)[rank]
+
+
+def test_scores_equal_plain(spark):
+    """Measures and the score column against Python over the same learned model."""
+    sf = f"{ROOT}/sf0.001"
+    docs = table(spark, sf, "documents")
+    measured = pairwise_quality.measures(docs, "doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    model = pairwise_quality.learn(
+        pairwise_quality.known_rows(measured, table(spark, sf, "labels")).toPandas(), 2000, 5)
+    found = measured.select("*", pairwise_quality.worth(model).alias("w")).collect()
+    for r in found:
+        own = pairwise_quality.measure(texts[r["doc_id"]])
+        assert [r[name] for name in pairwise_quality.MEASURES] == own
+        steps = [(v > e) for v, edges in zip(own, model["edges"], strict=True) for e in edges]
+        assert r["w"] == pytest.approx(sum(w for w, s in zip(
+            model["weights"], steps, strict=True) if s))
 
 
 # packing -----------------------------------------------------------------------------------
@@ -222,6 +261,22 @@ def test_program_meets_demand_near_its_bound():
     for rest, n in demand.items():
         assert sum(x * p.get(rest, 0) for p, x in columns) >= n - 1e-6
     assert all(sum(k * n for k, n in p.items()) <= 1024 for p, _ in columns)
+    # 290 + 330 + 400 and 610 + 290 + 120 fill a sequence; the optimum is near the tokens' bound
+    assert sum(x for _, x in columns) <= 1.05 * sum(k * n for k, n in demand.items()) / 1024
+
+
+def test_pricing_lowers_the_number_of_sequences():
+    rng = random.Random(9)
+    for tries in range(5):
+        demand = {rng.randrange(200, 600): rng.randrange(1, 60) for _ in range(150)}
+        columns = cutting_stock.solve(demand, 1024)
+        start = cutting_stock.solve(demand, 1024, price=False)
+        assert sum(x for _, x in columns) < 0.998 * sum(x for _, x in start), tries
+        for found in (columns, start):
+            for rest, n in demand.items():
+                assert sum(x * p.get(rest, 0) for p, x in found) >= n - 1e-6
+    assert cutting_stock.solve({}, 1024) == []
+    assert cutting_stock.solve({512: 7}, 1024)[0][0] == {512: 2}
 
 
 # joins -------------------------------------------------------------------------------------
@@ -542,3 +597,57 @@ def test_alignment_of_huge_pages(monkeypatch):
     assert [x for x, shared in zip(own, whole, strict=True) if shared] in ([1, 3, 4, 5], [1, 3, 3, 5])
     monkeypatch.setattr(page_diff, "TABLE_BITS", 10)
     assert page_diff.shared_lines(own, other) == whole
+
+
+# limits and switches -----------------------------------------------------------------------
+
+
+def test_few_words_are_seen_at_every_length(spark):
+    """Random order of few words: bad by the share of distinct words, on both sides of a run."""
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(40)]
+    rows = [(n, " ".join(rng.choices(words, k=n))) for n in (1999, 2000, 2001, 2600, 9000)]
+    rows += [(-n, " ".join(f"x{rng.randrange(10 ** 9)}" for _ in range(n))) for n in (2001, 9000)]
+    out = weak_rules.score_rules(spark.createDataFrame(rows, "doc_id long, text string"))
+    place = list(weak_rules.RULES).index("same_words")
+    for r in out.collect():
+        assert r["votes"][place] == (-1 if r["doc_id"] > 0 else 1)
+
+
+def test_vectors_link_by_themselves(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, a, 0), (1, b, 0), (2, [1.0, 0.05, 0.0], 0), (3, [0.05, 1.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = projection_dedup.dedup_vectors(df).select(
+        "vec_id", "n_links", "component_id", "kept").collect()
+    assert sorted(map(tuple, out)) == [
+        (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+
+
+@pytest.mark.parametrize("size", [1e-310, 1e-200, 1.0, 1e200, 1.7e308])
+def test_vectors_of_any_size(spark, size):
+    rows = [(1, [size, 0.0], 0), (2, [size, size * 0.1], 0), (3, [0.0, size], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = projection_dedup.dedup_vectors(df).collect()
+    assert {r["vec_id"]: r["component_id"] for r in out} == {1: 1, 2: 1, 3: 3}
+
+
+def test_many_places_in_a_long_text_take_linear_time():
+    import time
+
+    scanner = licenses.Scanner(licenses.build_rules())
+    text = "under the mit license and cc by nc of some more words here \n" * 20_000
+    begin = time.perf_counter()
+    found = scanner.scan(text)
+    assert time.perf_counter() - begin < 20
+    assert found["n_base"] == 40_000 and found["first_word"] == 0
+    assert found["n_words"] == 13 * 20_000 and found["last_word"] == 13 * 19_999 + 5
+
+
+def test_buckets_are_shuffled_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "TASK_BYTES", 1000)
+    df = spark.createDataFrame([(i, "x" * 90) for i in range(200)], "doc_id long, text string")
+    out = sharding.shuffle_shards(df, shards=7, bucket_bytes=500).collect()
+    counts = Counter(r["shard"] for r in out)
+    assert sorted(counts) == list(range(7)) and max(counts.values()) - min(counts.values()) <= 1
+    assert sorted(r["doc_id"] for r in out) == list(range(200))
