@@ -54,10 +54,12 @@ FRAME_WORDS = frozenset(
     "complementary contentinfo skip".split()
 )
 HEAD_WORDS = frozenset(["header", "head"])
+# A class such as with-sidebar or no-comments says what is beside an element's content.
+BESIDE_WORDS = frozenset("with has no without".split())
 # Elements whose content is no text of the page.
 _RAW = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|math|textarea|object|head)\b"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    r"|<(script|style|noscript|template|iframe|svg|math|textarea|object|title)\b"
     r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)",
     re.S | re.I,
 )
@@ -76,7 +78,11 @@ def _is_frame(tag: str, attributes: str, inside: bool) -> bool:
         return False
     found: set[str] = set()
     for match in _HINT.finditer(attributes):
-        found.update(_HINT_WORD.findall("".join(filter(None, match.groups())).lower()))
+        for name in "".join(filter(None, match.groups())).lower().split():
+            parts = _HINT_WORD.findall(name)
+            if parts and parts[0] not in BESIDE_WORDS:
+                # an article or main element that has a frame beside it is not the frame
+                found.update(parts[:1] if tag in CONTENT_ELEMENTS else parts)
     return not FRAME_WORDS.isdisjoint(found) or (
         not inside and tag not in CONTENT_ELEMENTS and not HEAD_WORDS.isdisjoint(found))
 
@@ -93,12 +99,14 @@ def page_lines(source: str | None) -> list[tuple[str, str]]:
     parts: list[str] = []
     # (element, state of what is in it)
     stack: list[tuple[str, str]] = [("", OUTSIDE)]
+    # whether the open paragraph is a frame by its class; any block ends it
+    framed = False
 
     def flush() -> None:
         if parts:
             line = " ".join(html.unescape("".join(parts)).split())
             if line:
-                out.append((stack[-1][1], line))
+                out.append((FRAME if framed else stack[-1][1], line))
             parts.clear()
 
     at = 0
@@ -109,8 +117,11 @@ def page_lines(source: str | None) -> list[tuple[str, str]]:
         closing, tag, attributes = match.group(1), (match.group(2) or "").lower(), match.group(3)
         if tag in BLOCKS:
             flush()
+            framed = False
         elif tag in SPACES:
             parts.append(" ")
+        if tag == "p" and not closing:
+            framed = _is_frame(tag, attributes, stack[-1][1] == INSIDE)
         if not tag or tag in VOID or tag == "p":
             continue
         if closing:
