@@ -651,3 +651,21 @@ def test_buckets_are_shuffled_by_bytes(spark, monkeypatch):
     counts = Counter(r["shard"] for r in out)
     assert sorted(counts) == list(range(7)) and max(counts.values()) - min(counts.values()) <= 1
     assert sorted(r["doc_id"] for r in out) == list(range(200))
+
+
+@pytest.mark.parametrize("source,text", [
+    ("<head><meta charset=utf-8><title>T</title><body><article><p>One</p></article>", "One"),
+    ("<html><head><title>T</title></head><p>Two</html>", "Two"),
+    ('<main class="content with-sidebar"><nav>m</nav><article><p>Three</article></main>', "Three"),
+    ('<div class="page has-sidebar"><main class="site-main no-comments">Four</main></div>', "Four"),
+    ('<article><p>Five<p class="advert">Buy<p>Six<p id="comments">You<div>Seven</div></article>',
+     "Five\nSix\nSeven"),
+    ("<!--><article>Eight</article><!---><p>x</p><!-- y --!><p>z</p>", "Eight"),
+    ('<div class="comments"><article>no</article></div><main><article class="comment">no</article>'
+     "<p>Nine</main>", "Nine"),
+    ('<article><p class="notice"><b>Cookies</b> here</p>Ten <!--<p>no</p>--> more</article>',
+     "Ten more"),
+])
+def test_content_is_not_lost(spark, source, text):
+    df = spark.createDataFrame([(1, "http://a.b/c", source)], "page_id long, url string, html string")
+    assert page_diff.extract_pages(df).first()["text"] == text
