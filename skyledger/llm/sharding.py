@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from skyledger.session import materialize
 
 BUCKET_BYTES = 16 << 20
-# Bytes of buckets that a task shuffles, one bucket at a time.
-TASK_BYTES = 64 << 20
+# Bytes of buckets that a task shuffles, one bucket at a time in memory.
+TASK_BYTES = 32 << 20
 
 
 def record_bytes(df: DataFrame, text_col: str) -> int:
@@ -40,18 +40,19 @@ def shuffle_shards(
     """
     size = record_bytes(df, text_col)
     buckets = max(shards, -(-size // bucket_bytes))
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    tasks = max(1, min(buckets, -(-size // TASK_BYTES)))
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     place = F.monotonically_increasing_id()
     scattered = df.select(
         F.pmod(F.xxhash64(F.lit(seed), place), F.lit(buckets)).alias("bucket"),
         F.struct(place.alias("place"), row.alias("row")).alias("r"),
-    )
+    ).withColumn("task", (F.col("bucket") % tasks).cast("int"))
     # A fixed order before the seeded shuffle, so a task that runs again repeats it.
     ordered = F.array_sort(F.collect_list("r"), lambda a, b: F.when(
         a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0))
     written = materialize(
-        scattered.repartition(tasks, "bucket").groupBy("bucket").agg(ordered.alias("rows"))
+        # buckets are dealt by turns: a hash of so few would leave some tasks with many
+        scattered.repartitionById(tasks, F.col("task")).groupBy("task", "bucket").agg(ordered.alias("rows"))
         .select("bucket", F.posexplode(F.shuffle("rows", F.lit(seed))).alias("pos", "r"))
         .select("bucket", F.col("pos").cast("long").alias("pos"), "r.row")
     )
