@@ -170,7 +170,9 @@ def cut_of(rows: DataFrame, model: dict, count: dict[int, int]) -> float:
     bad, good = count.get(0, 0), count.get(1, 0)
     if not bad or not good:
         return -2.0
-    return (value_at(rows, worth(model), bad - 1) + value_at(rows, worth(model), bad)) / 2
+    # written: the worth is a long expression, to be compiled once and not for each count
+    worths = materialize(rows.select(worth(model).alias("w")))
+    return (value_at(worths, F.col("w"), bad - 1) + value_at(worths, F.col("w"), bad)) / 2
 
 
 def worth(model: dict) -> Column:
