@@ -358,9 +358,11 @@ def _grouped(slim, words, similarity, recall, band_rows, block_texts, block_byte
     near = materialize(_found(slim, classes, spread.where(first), compared, words, similarity,
                               block_texts, block_bytes))
     groups = materialize(components(_edges(near, similarity)))
-    known = spread.where(later).join(
+    # joined per text, before its bands are rows
+    known = classes.select("uid", "bytes", "bands").join(
         groups.withColumnRenamed("node", "uid"), "uid", "left").select(
-        "uid", "bytes", "band", "hash", F.coalesce("component", "uid").alias("group"))
+        "uid", "bytes", F.coalesce("component", "uid").alias("group"),
+        F.posexplode("bands").alias("band", "hash")).where(later)
     settled = F.min("group") == F.max("group")
     # nor is one with the same texts as a bucket of the first bands
     open_ = materialize(_buckets(known, block_bytes, ~settled).join(
