@@ -2,8 +2,12 @@
 
 One aggregate counts the documents of every distinct line hash. The lines at or over the
 threshold go into shards; each shard is a minimal perfect hash (bit levels with ranks) whose
-slots hold a 64-bit fingerprint, the count and the last document. Documents probe these arrays
-in place: no line is joined, no text is shuffled.
+slots hold a 64-bit fingerprint, the count and the last document. Documents probe these arrays.
+
+The arrays of the most frequent lines, of bounded size, are sent to the executors and probed in
+place: no line is joined, no text is shuffled. If there are more lines, the hashes of lines that
+are not found there travel to the shard that would hold them and are probed in it. None of those
+is frequent, so all shards get about as many.
 """
 
 from __future__ import annotations
@@ -13,16 +17,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skyledger.llm.columns import BLANKS, LOWER, UPPER
 from skyledger.session import materialize
 
-# An index of up to this many bytes is sent to the executors; beyond it lines are joined.
+# Bytes of the arrays that are sent to the executors, and what a line takes of them.
 INDEX_BYTES = 64 << 20
+KEY_BYTES = 24
+# Lines that a shard holds, and lines of documents that come to a shard to be probed.
 KEYS_PER_SHARD = 200_000
+PROBES_PER_SHARD = 1_000_000
 ABSENT = -(2**63)
+# What a probe says of a line: in no array, found and kept, found and dropped.
+UNKNOWN, STAYS, GOES = 0, 1, 2
 
 
 def split_lines(text: Column) -> Column:
@@ -111,6 +120,8 @@ class Shard:
     def probe(self, first, second) -> tuple[np.ndarray, np.ndarray]:
         """Count and last document per hash pair; count 0 where the shard does not hold it."""
         slot = self.hash.slots(first, second)
+        if not self.mark.size:
+            return np.zeros(first.size, dtype=np.int64), np.full(first.size, ABSENT)
         here = (slot >= 0) & (self.mark[slot] == second)
         return np.where(here, self.count[slot], 0), np.where(here, self.last[slot], ABSENT)
 
@@ -141,12 +152,18 @@ def _pairs(keys: Column) -> Column:
 
 
 def common_lines(
-    df: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int
+    df: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int,
+    seen: Observation | None = None,
 ) -> DataFrame:
-    """Hash pair, number of documents and largest id of every line of ``min_docs`` documents."""
+    """Hash pair, number of documents and largest id of every line of ``min_docs`` documents.
+
+    ``seen`` gets the number of ``lines`` that were counted, once per document.
+    """
     keys = F.transform(split_lines(F.col(text_col)), line_key)
     own = F.array_distinct(F.filter(keys, lambda k: F.char_length(k) >= min_chars))
     lines = df.select(F.col(id_col).alias("id"), F.explode(_pairs(own)).alias("line"))
+    if seen is not None:
+        lines = lines.observe(seen, F.count(F.lit(1)).alias("lines"))
     return (
         lines.groupBy(F.col("line.first").alias("first"), F.col("line.second").alias("second"))
         .agg(F.count(F.lit(1)).alias("n"),
@@ -155,51 +172,79 @@ def common_lines(
     )
 
 
-def _with_index(lined: DataFrame, payloads: list[bytes], min_docs: int) -> DataFrame:
+def _number(first: Column, shards: int) -> Column:
+    """``shard_of`` as an expression."""
+    return F.shiftrightunsigned(first, 32) % shards
+
+
+def _index(lines: DataFrame, shards: int) -> DataFrame:
+    """The arrays of ``lines``, a row per shard that holds any."""
+    return materialize(
+        lines.withColumn("shard", _number(F.col("first"), shards)).groupBy("shard")
+        .applyInPandas(_build, "shard long, data binary")
+    )
+
+
+def _verdicts(shard: Shard, first: np.ndarray, second: np.ndarray, own: np.ndarray,
+              min_docs: int) -> np.ndarray:
+    count, last = shard.probe(first, second)
+    return np.where(count < min_docs, UNKNOWN, np.where(last == own, STAYS, GOES))
+
+
+def _in_place(lined: DataFrame, payloads: list[bytes], min_docs: int) -> DataFrame:
+    """``lined`` with ``state`` per line, from arrays that every executor has."""
     shards = lined.sparkSession.sparkContext.broadcast(payloads)
 
-    @F.pandas_udf("array<boolean>")
-    def drops(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.pandas_udf("array<tinyint>")
+    def probe(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         index = [Shard.load(data) for data in shards.value]
         for ids, firsts, seconds in batches:
             sizes = firsts.map(len).to_numpy()
             first = np.concatenate(firsts.to_numpy()).astype(np.int64).view(np.uint64)
             second = np.concatenate(seconds.to_numpy()).astype(np.int64).view(np.uint64)
             own = np.repeat(ids.to_numpy(np.int64), sizes)
-            out = np.zeros(first.size, dtype=bool)
+            out = np.zeros(first.size, dtype=np.int8)
             where = shard_of(first, len(index))
             for number, shard in enumerate(index):
                 at = np.flatnonzero(where == number)
-                count, last = shard.probe(first[at], second[at])
-                out[at] = (count >= min_docs) & (last != own[at])
+                out[at] = _verdicts(shard, first[at], second[at], own[at], min_docs)
             yield pd.Series(np.split(out, np.cumsum(sizes)[:-1]))
 
-    return lined.withColumn(
-        "drop",
-        drops(F.coalesce("id", F.lit(ABSENT)), F.col("pairs.first"), F.col("pairs.second")),
-    )
+    return lined.withColumn("state", probe("own", F.col("pairs.first"), F.col("pairs.second")))
 
 
-def _with_join(lined: DataFrame, common: DataFrame) -> DataFrame:
-    """The way beyond INDEX_BYTES: hash pairs joined; hot lines are split by the skew join."""
-    pair = F.explode(F.arrays_zip("pairs", "long"))
-    probes = (
-        lined.select(F.coalesce("id", F.lit(ABSENT)).alias("own"), pair.alias("p"))
-        .where("p.long")
-        .select("own", "p.pairs.first", "p.pairs.second")
-    )
-    found = (
-        probes.join(common, ["first", "second"])
-        .where(F.col("last") != F.col("own"))
-        .groupBy("own").agg(F.collect_set(F.struct("first", "second")).alias("found"))
-    )
-    joined = lined.join(found, F.coalesce("id", F.lit(ABSENT)) == F.col("own"), "left")
-    return joined.withColumn(
-        "drop",
-        F.transform(
-            "pairs", lambda p: F.coalesce(F.array_contains("found", p), F.lit(False))
-        ),
+def _in_shards(lined: DataFrame, index: DataFrame, shards: int, min_docs: int) -> DataFrame:
+    """``lined`` with ``state`` also for the lines of ``index``, which are probed in its shards.
+
+    What becomes of a row's lines follows from its id and text, so rows alike in both share one
+    answer, and rows without an id are told apart by their texts.
+    """
+    row = ["own", "text_first", "text_second"]
+    asked = F.filter(F.arrays_zip("pairs", "long", "state"),
+                     lambda p: p["long"] & (p["state"] == UNKNOWN))
+    pairs = F.array_distinct(F.transform(asked, lambda p: p["pairs"]))
+    probes = lined.select(*row, F.explode(pairs).alias("p")).select(
+        *row, "p.first", "p.second", _number(F.col("p.first"), shards).alias("shard"))
+
+    def probe(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        columns = [*row, "first", "second"]
+        if held.empty or asking.empty:
+            return asking.loc[[], columns]
+        state = _verdicts(
+            Shard.load(held["data"].iloc[0]), asking["first"].to_numpy(np.int64).view(np.uint64),
+            asking["second"].to_numpy(np.int64).view(np.uint64), asking["own"].to_numpy(np.int64),
+            min_docs)
+        return asking.loc[state == GOES, columns]
+
+    found = materialize(
+        probes.groupBy("shard").cogroup(index.groupBy("shard"))
+        .applyInPandas(probe, ", ".join(f"{c} long" for c in [*row, "first", "second"]))
+        .groupBy(*row).agg(F.collect_set(F.struct("first", "second")).alias("found"))
     )
+    late = F.transform("pairs", lambda p: F.when(
+        F.coalesce(F.array_contains("found", p), F.lit(False)), GOES).otherwise(UNKNOWN))
+    return lined.join(found, row, "left").withColumn(
+        "state", F.zip_with("state", late, lambda a, b: F.greatest(a.cast("int"), b)))
 
 
 def dedup_lines(
@@ -221,35 +266,42 @@ def dedup_lines(
     A null or empty text is one empty line. A row counts as one document, repeated ids included;
     rows that repeat the largest id all keep the line. A null id is smaller than any other. An
     empty table gives an empty table.
+
+    ``index_bytes`` bounds the arrays that are probed in place. A line goes there if it is in more
+    documents than the lines' documents over the number of lines that fit, which no more lines
+    than that can be; if all lines fit, all go there.
     """
-    common = materialize(common_lines(df, id_col, text_col, min_chars, min_docs))
-    n = common.count()
-    shards = max(1, -(-n // keys_per_shard))
-    shard = F.shiftrightunsigned("first", 32) % shards
-    index = materialize(
-        common.withColumn("shard", shard).groupBy("shard")
-        .applyInPandas(_build, "shard long, data binary")
-    )
-    size = index.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    seen = Observation()
+    common = materialize(common_lines(df, id_col, text_col, min_chars, min_docs, seen))
+    n, rows = common.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    fit = index_bytes // KEY_BYTES
+    often = min_docs if n <= fit else rows // max(1, fit) + 1
 
     keys = F.transform("lines", line_key)
+    text = F.coalesce(F.col(f"row.{text_col}"), F.lit(""))
     lined = (
         df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
-        .select("row", F.col(f"row.{id_col}").cast("long").alias("id"),
+        .select("row", F.coalesce(F.col(f"row.{id_col}").cast("long"), F.lit(ABSENT)).alias("own"),
+                F.xxhash64(text).alias("text_first"), F.xxhash64(text, F.lit(1)).alias("text_second"),
                 split_lines(F.col(f"row.{text_col}")).alias("lines"))
-        .select("row", "id", "lines", keys.alias("keys"))
-        .select("row", "id", "lines", _pairs(F.col("keys")).alias("pairs"),
+        .withColumn("keys", keys)
+        .select("row", "own", "text_first", "text_second", "lines",
+                _pairs(F.col("keys")).alias("pairs"),
                 F.transform("keys", lambda k: F.char_length(k) >= min_chars).alias("long"))
     )
-    if n == 0:
-        marked = lined.withColumn("drop", F.transform("lines", lambda _: F.lit(False)))
-    elif size <= index_bytes:
+    marked = lined.withColumn(
+        "state", F.transform("lines", lambda _: F.lit(UNKNOWN).cast("tinyint")))
+    if n and often <= rows:
+        shards = max(1, -(-min(n, fit) // keys_per_shard))
         empty = Shard(*[np.empty(0, dtype=t) for t in "QQqq"]).dump()
-        held = {r["shard"]: bytes(r["data"]) for r in index.collect()}
-        marked = _with_index(lined, [held.get(k, empty) for k in range(shards)], min_docs)
-    else:
-        marked = _with_join(lined, common)
-    gone = F.zip_with("drop", "long", lambda d, long: d & long)
+        held = {r["shard"]: bytes(r["data"])
+                for r in _index(common.where(F.col("n") >= often), shards).collect()}
+        marked = _in_place(lined, [held.get(k, empty) for k in range(shards)], min_docs)
+    if often > min_docs:
+        shards = max(-(-n // keys_per_shard), -(-seen.get.get("lines", 0) // PROBES_PER_SHARD))
+        marked = _in_shards(
+            marked, _index(common.where(F.col("n") < often), shards), shards, min_docs)
+    gone = F.zip_with("state", "long", lambda state, long: (state == GOES) & long)
     kept = F.filter("lines", lambda _, i: ~F.get("gone", i))
     out = marked.select("row", "lines", gone.alias("gone")).select(
         "row", F.array_join(kept, "\n").alias("kept"),

@@ -436,6 +436,32 @@ def test_lines_equal_plain(spark, texts, index_bytes):
     assert found == brute.deduped(texts.items())
 
 
+@pytest.mark.parametrize("index_bytes", [1 << 26, 4 * line_dedup.KEY_BYTES, 0])
+def test_lines_of_any_frequency_equal_plain(spark, index_bytes):
+    """One line in most documents, many in a few; ids that repeat and rows without one."""
+    rng = random.Random(5)
+    often = "a line that nearly every document of the table holds somewhere"
+    common = [f"a line that some of the documents hold, number {k} of all" for k in range(60)]
+    data = [(i // 2 if i < 40 else i, "\n".join(
+        [f"own line {i} which is also longer than forty characters", *rng.sample(common, 5),
+         *[often] * (i % 7 > 0)])) for i in range(200)]
+    data += [(None, "\n".join([often, line])) for line in common for _ in range(3)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(data, "doc_id long, text string"),
+                                 index_bytes=index_bytes, keys_per_shard=7)
+    lowest = -(2**63)
+    held = defaultdict(list)
+    for i, text in data:
+        for line in set(text.split("\n")):
+            held[line].append(lowest if i is None else i)
+    expected = []
+    for i, text in data:
+        kept = [line for line in text.split("\n") if len(held[line]) < 5
+                or max(held[line]) == (lowest if i is None else i)]
+        expected.append((i, "\n".join(kept)))
+    found = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+
+
 def test_perfect_hash():
     rng = np.random.default_rng(4)
     first = rng.integers(0, 2**64, 5000, dtype=np.uint64)
