@@ -348,21 +348,34 @@ def taken(draws: Column) -> Column:
     return F.aggregate(draws, F.lit(0).cast("long"), lambda a, d: a + d["words"])
 
 
-def mixed_documents(mixed: DataFrame, text_col: str = "text") -> DataFrame:
+def mixed_documents(mixed: DataFrame, text_col: str = "text", seed: int = 7) -> DataFrame:
     """One row per document and pass, whole or, for the last of a source, its first words.
 
-    A whole document keeps its text; one taken in part is its words joined by a space.
+    A whole document keeps its text; one taken in part is its words joined by a space. A row
+    lies in the shard that drew the block of its first word. The rows are ranges of the shards in
+    order, inside a shard shuffled by ``seed``; a hot shard is cut into as many as it takes.
     """
-    passes = F.transform(
-        F.array_distinct(F.transform("draws", lambda d: d["pass"])),
-        lambda p: F.struct(p.alias("pass"), taken(
-            F.filter("draws", lambda d: d["pass"] == p)).alias("words")),
-    )
+
+    def run(number: Column) -> Column:
+        runs = F.filter("draws", lambda d: d["pass"] == number)
+        return F.struct(number.alias("pass"), F.get(runs, 0)["shard"].alias("shard"),
+                        F.get(runs, 0)["block"].alias("block"), taken(runs).alias("words"))
+
+    passes = F.transform(F.array_distinct(F.transform("draws", lambda d: d["pass"])), run)
     columns = [c for c in mixed.columns if c not in ("source_size", "target", "draws", "size")]
-    rows = mixed.select(*[F.col(f"`{c}`") for c in columns], "size", F.explode(passes).alias("p"))
-    cut = F.array_join(F.slice(words(F.col(text_col)), 1, F.col("p.words").cast("int")), " ")
-    text = F.when(F.col("p.words") == F.col("size"), F.col(text_col)).otherwise(cut)
-    return replace(rows, {text_col: text}).select(*[F.col(f"`{c}`") for c in columns])
+    text = F.col(f"row.`{text_col}`")
+    place = F.xxhash64(F.lit(seed), "run.block", "run.pass", text)
+    rows = (
+        mixed.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "size",
+                     F.explode(passes).alias("run"))
+        .select("row", "size", "run.words", F.col("run.shard").alias("shard"),
+                place.alias("place"))
+        .repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+    )
+    cut = F.array_join(F.slice(words(text), 1, F.col("words").cast("int")), " ")
+    whole = F.when(F.col("words") == F.col("size"), text).otherwise(cut)
+    return rows.select(*[
+        (whole if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in columns])
 
 
 def shard_rows(mixed: DataFrame, text_col: str = "text", seed: int = 7) -> DataFrame:

@@ -524,6 +524,30 @@ def test_mixed_rows(docs):
     assert sum(len(brute.words(r["text"])) for r in shards) == words
 
 
+def test_mixed_rows_lie_by_shard(docs):
+    """The order of the rows is that of the shards which the tree gave the blocks to."""
+    orders = []
+    for seed in (7, 8):
+        mixed = mixing.mix(docs, shards=5, blocks_per_shard=8, seed=seed)
+        of = defaultdict(list)
+        for r in mixed.collect():
+            first = {}
+            for d in r["draws"]:
+                first.setdefault(d["pass"], d["shard"])
+            of[r["doc_id"]] = sorted(first.values())
+        out = [r["doc_id"] for r in mixing.mixed_documents(mixed, seed=seed).collect()]
+        assert Counter(out) == Counter({i: len(s) for i, s in of.items() if s})
+        # rows of one pass have one shard; those do not descend
+        once = [of[i][0] for i in out if len(of[i]) == 1]
+        assert once == sorted(once) and set(once) == set(range(5))
+        orders.append((out, of))
+    # another seed, another shard for many documents; in a shard they are not in order of id
+    assert orders[0][1] != orders[1][1]
+    out, of = orders[0]
+    ids = [i for i in out if of[i] == [0]]
+    assert ids != sorted(ids)
+
+
 def test_shards(docs, texts):
     out = sharding.shuffle_shards(docs, shards=7, bucket_bytes=20_000)
     slots = defaultdict(list)

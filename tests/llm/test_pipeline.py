@@ -85,3 +85,78 @@ def test_pack_and_run(spark, results):
     keys = ("doc_id", "start", "length")
     assert rerun.selectExpr("sum(length)").first()[0] == sum(r["length"] for r in pieces)
     assert set(keys) <= set(rerun.columns)
+
+
+# odd rows ----------------------------------------------------------------------------------
+
+# Names that operators use inside or return.
+CLASHES = ("id key row run p size words lines label n_words n_lines shard place slot draws target "
+           "source_size uid part rank score kept class_id token").split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+    f"{name} string" for name in CLASHES)
+LINE = "a line of more than forty characters that is in many documents"
+LONG = "lorem ipsum dolor sit amet " * 30_000
+NEAR = " ".join(f"word{k}" for k in range(100))
+ODD = [
+    (0, None, "a"), (1, "", "a"), (2, " \n\t\n ", None), (3, "one", None), (4, LONG, "b"),
+    (5, LONG, "b"), (6, NEAR, "b"), (7, NEAR + " more", None), (None, None, None),
+    (None, "a text that has no id of its own at all", "a"),
+    (None, "a text that has no id of its own at all", "a"), (12, f"{LINE}\nx", "c"),
+    (12, f"{LINE}\nx", "c"), *[(20 + k, f"{LINE}\nown {k}", "c") for k in range(6)],
+]
+
+
+def save(spark, folder, rows, labels):
+    spark.createDataFrame(
+        [(i, text, "en", source, 0, *["clash"] * len(CLASHES)) for i, text, source in rows],
+        SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """No labels: the classifier rejects nothing, so all odd rows reach the other stages."""
+    folder = save(spark, tmp_path / "odd", ODD, [])
+    docs, kept = table(spark, folder, "documents"), []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        kept.append(Counter((r["doc_id"], r["text"]) for r in docs.collect()))
+        assert {r["row"] for r in docs.collect()} <= {"clash"}
+    quality, lines, one, mix = kept
+    assert quality == Counter((i, text) for i, text, _ in ODD)
+    # null is one empty line; the line goes but for the largest id that has it
+    assert lines[12, "x"] == 2 and lines[25, f"{LINE}\nown 5"] == 1 and lines[24, "own 4"] == 1
+    assert lines[0, ""] == 1 and lines[1, ""] == 1 and lines[2, " \n\t\n "] == 1
+    # one row of equal or near texts, also of those that repeat or have no id
+    ids = Counter(i for i, _ in one.elements())
+    assert ids[4] == 1 and ids[5] == 0 and ids[6] == 1 and ids[7] == 0 and ids[12] == 1
+    assert one[None, "a text that has no id of its own at all"] == 1
+    # empty texts have no words to be alike in, and none to mix
+    assert {i for i, _ in one} >= {0, 1, 2}
+    assert not {i for i, _ in mix} & {0, 1, 2}
+    stage = corpus_pipeline.STAGES[-1][1]
+    pieces = stage(spark, docs, folder).collect()
+    places = {}
+    for r in pieces:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for held in places.values():
+        end = 0
+        for offset, length in sorted(held):
+            assert offset == end
+            end += length
+        assert end <= 1024
+    assert {r["doc_id"] for r in pieces} == {i for i, _ in mix}
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    folder = save(spark, tmp_path / "empty", [], [])
+    assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_run_on_rows_without_text(spark, tmp_path):
+    folder = save(spark, tmp_path / "blank", [(1, None, "a"), (None, "", None)], [(1, None, 0)])
+    assert corpus_pipeline.run(spark, folder).collect() == []
