@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,30 +117,35 @@ def band_hashes(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _signed(df: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """Per row: uid, id, 128-bit key of its words, bytes of its n-grams, band hashes; null where
-    it has no words."""
+    """Per row: uid, id, 128-bit key of its words, bytes of its n-grams, band hashes, its words
+    under zstd; null where it has no words."""
     rng = np.random.default_rng(21)
     factors = rng.integers(0, 2**32, bands * rows, dtype=np.uint32) | np.uint32(1)
     shifts = rng.integers(0, 2**32, bands * rows, dtype=np.uint32)
 
+    names = ["key", "bytes", "bands", "packed"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams = Grams(words)
+        grams, packer = Grams(words), zstandard.ZstdCompressor()
         for batch in batches:
             out = []
             for text in batch["text"]:
                 own = split(text)
                 if not own:
-                    out.append((None, 0, None))
+                    out.append((None, 0, None, None))
                     continue
                 found = grams.of(own)
                 least = signature(found, factors, shifts)
-                key = xxhash.xxh3_128_hexdigest(b" ".join(own))
-                out.append((key, found.nbytes, band_hashes(least, bands, rows)))
-            yield pd.DataFrame({"uid": batch["uid"].array, "id": batch["id"].array,
-                                "key": [k for k, _, _ in out], "bytes": [n for _, n, _ in out],
-                                "bands": [b for _, _, b in out]})
+                joined = b" ".join(own)
+                out.append((xxhash.xxh3_128_hexdigest(joined), found.nbytes,
+                            band_hashes(least, bands, rows), packer.compress(joined)))
+            frame = pd.DataFrame(out, columns=names)
+            frame.insert(0, "uid", batch["uid"].array)
+            frame.insert(1, "id", batch["id"].array)
+            yield frame
 
-    return df.mapInPandas(run, "uid long, id long, key string, bytes long, bands array<long>")
+    return df.mapInPandas(run, "uid long, id long, key string, bytes long, bands array<long>, "
+                               "packed binary")
 
 
 # buckets -----------------------------------------------------------------------------------
@@ -163,11 +169,11 @@ def _bucket_rows(candidates: DataFrame, words: int, similarity: float,
                 yield k, part[0].tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams = Grams(words)
+        grams, packer = Grams(words), zstandard.ZstdDecompressor()
         out, held = [], 0
         for batch in batches:
             for row in batch.itertuples(index=False):
-                found = grams.of(split(row.text))
+                found = grams.of(packer.decompress(row.packed).split())
                 bands = row.bands.astype("<i8").tobytes()
                 for b in row.buckets:
                     own = xxhash.xxh64_intdigest(int(row.id).to_bytes(8, "little", signed=True),
@@ -305,9 +311,9 @@ def join_ngrams(
     id may stand for many texts, and rows with a null id link like others; where all ids are
     null, ``copy_id`` and ``class_id`` are. An empty table gives an empty table.
     """
-    slim = materialize(df.select(
+    slim = df.select(
         F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("id"),
-        F.col(text_col).alias("text")))
+        F.col(text_col).alias("text"))
     joined = _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes)
     return joined.select(F.col("id").alias("doc_id"), "copy_id", "n_links", "class_id")
 
@@ -355,7 +361,7 @@ def _grouped(slim, words, similarity, recall, band_rows, block_texts, block_byte
     spread = classes.select("uid", "bytes", F.posexplode("bands").alias("band", "hash"))
     first, later = F.col("band") < FIRST_BANDS, F.col("band") >= FIRST_BANDS
     compared = materialize(_buckets(spread.where(first), block_bytes))
-    near = materialize(_found(slim, classes, spread.where(first), compared, words, similarity,
+    near = materialize(_found(signed, classes, spread.where(first), compared, words, similarity,
                               block_texts, block_bytes))
     groups = materialize(components(_edges(near, similarity)))
     # joined per text, before its bands are rows
@@ -367,7 +373,7 @@ def _grouped(slim, words, similarity, recall, band_rows, block_texts, block_byte
     # nor is one with the same texts as a bucket of the first bands
     open_ = materialize(_buckets(known, block_bytes, ~settled).join(
         compared.select("n", "texts"), ["n", "texts"], "left_anti"))
-    far = _found(slim, classes, spread.where(later), open_, words, similarity, block_texts,
+    far = _found(signed, classes, spread.where(later), open_, words, similarity, block_texts,
                  block_bytes)
     parts = components(
         groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(
@@ -390,7 +396,7 @@ def _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes
     spread = classes.select("uid", "bytes", F.posexplode("bands").alias("band", "hash"))
     buckets = materialize(_buckets(spread, block_bytes))
     found = materialize(_found(
-        slim, classes, spread, buckets, words, similarity, block_texts, block_bytes))
+        signed, classes, spread, buckets, words, similarity, block_texts, block_bytes))
     return _linked(signed, classes, _all_links(found, similarity))
 
 
@@ -425,7 +431,7 @@ def _buckets(spread: DataFrame, block_bytes: int, wanted: Column | None = None)
     )
 
 
-def _found(slim, classes, spread, buckets, words, similarity, block_texts,
+def _found(signed, classes, spread, buckets, words, similarity, block_texts,
            block_bytes) -> DataFrame:
     """What ``_bucket_links`` finds in the buckets."""
     blocks = F.greatest(F.ceil(F.col("n") / block_texts), F.ceil(F.col("bytes") / block_bytes))
@@ -438,9 +444,9 @@ def _found(slim, classes, spread, buckets, words, similarity, block_texts,
     )
     # one text of each class that is in a bucket
     wanted = classes.join(members, "uid").select("uid", "copies", "bands", "buckets")
-    own = slim.select("uid", "text").join(wanted, "uid")
+    own = signed.select("uid", "packed").join(wanted, "uid")
     rows = _bucket_rows(
-        own.select(F.col("uid").alias("id"), "text", "copies", "bands", "buckets"), words,
+        own.select(F.col("uid").alias("id"), "packed", "copies", "bands", "buckets"), words,
         similarity, block_bytes)
     group = ["band", "hash", "low", "high", "range"]
 
