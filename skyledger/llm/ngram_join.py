@@ -155,34 +155,36 @@ def _bucket_rows(candidates: DataFrame, words: int, similarity: float,
                  block_bytes: int) -> DataFrame:
     """A row per text, bucket and pair of blocks that the text takes part in.
 
-    ``range`` is 0 where the text is whole. Texts larger than a block, and those of the same
-    bucket that are large enough to link with one, have a row for every range of hashes.
+    ``range`` is 0 where the text is whole: such a row has its words under zstd, which are
+    fewer bytes than its n-grams. Texts larger than a block, and those of the same bucket that are large
+    enough to link with one, have a row with the n-grams of every range of hashes.
     """
     names = ["band", "hash", "low", "high", "range", "id", "copies", "block", "limit", "size",
-             "bands", "grams"]
-
-    def pieces(found: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes]]:
-        if found.nbytes <= block_bytes:
-            yield 0, found.tobytes()
-        if ranges > 1 and found.nbytes >= similarity * block_bytes:
-            for k, part in enumerate(_cut([found], ranges), 1):
-                yield k, part[0].tobytes()
+             "bands", "data"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams, packer = Grams(words), zstandard.ZstdDecompressor()
         out, held = [], 0
+
+        def pieces(row: tuple, ranges: int) -> Iterator[tuple[int, bytes]]:
+            if row.bytes <= block_bytes:
+                yield 0, row.packed
+            if ranges > 1 and row.bytes >= similarity * block_bytes:
+                found = grams.of(packer.decompress(row.packed).split())
+                for k, part in enumerate(_cut([found], ranges), 1):
+                    yield k, part[0].tobytes()
+
         for batch in batches:
             for row in batch.itertuples(index=False):
-                found = grams.of(packer.decompress(row.packed).split())
                 bands = row.bands.astype("<i8").tobytes()
                 for b in row.buckets:
                     own = xxhash.xxh64_intdigest(int(row.id).to_bytes(8, "little", signed=True),
                                                  9) % b["blocks"]
-                    for part, data in pieces(found, b["ranges"]):
+                    for part, data in pieces(row, b["ranges"]):
                         for other in range(b["blocks"]):
                             out.append((b["band"], b["hash"], min(own, other), max(own, other),
                                         part, row.id, row.copies, own, block_bytes // 8,
-                                        found.size, bands, data))
+                                        row.bytes // 8, bands, data))
                             held += len(bands) + len(data)
                             if held >= OUT_BYTES:
                                 yield pd.DataFrame(out, columns=names)
@@ -192,7 +194,7 @@ def _bucket_rows(candidates: DataFrame, words: int, similarity: float,
 
     return candidates.mapInPandas(
         run, "band int, hash long, low int, high int, range int, id long, copies long, "
-        "block int, limit long, size long, bands binary, grams binary")
+        "block int, limit long, size long, bands binary, data binary")
 
 
 def _cut(sets: list[np.ndarray], ranges: int) -> Iterator[list[np.ndarray]]:
@@ -443,16 +445,20 @@ def _found(signed, classes, spread, buckets, words, similarity, block_texts,
                                      ranges.cast("int").alias("ranges"))).alias("buckets"))
     )
     # one text of each class that is in a bucket
-    wanted = classes.join(members, "uid").select("uid", "copies", "bands", "buckets")
+    wanted = classes.join(members, "uid").select("uid", "copies", "bytes", "bands", "buckets")
     own = signed.select("uid", "packed").join(wanted, "uid")
     rows = _bucket_rows(
-        own.select(F.col("uid").alias("id"), "packed", "copies", "bands", "buckets"), words,
-        similarity, block_bytes)
+        own.select(F.col("uid").alias("id"), "packed", "copies", "bytes", "bands", "buckets"),
+        words, similarity, block_bytes)
     group = ["band", "hash", "low", "high", "range"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grams, packer = Grams(words), zstandard.ZstdDecompressor()
         for part in sorted_groups(batches, group):
-            found = _bucket_links(part, similarity)
+            whole = int(part["range"].iloc[0]) == 0
+            sets = [grams.of(packer.decompress(data).split()).tobytes() if whole else data
+                    for data in part["data"]]
+            found = _bucket_links(part.drop(columns="data").assign(grams=sets), similarity)
             if found is not None:
                 yield found
 
