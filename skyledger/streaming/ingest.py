@@ -12,6 +12,7 @@ from skyledger.operators.decode import decode
 from skyledger.operators.quality import split_rejects
 from skyledger.plans.load import run_load
 from skyledger.schemas import STAGED
+from skyledger.session import materialize, scratch_tables
 from skyledger.sources.store import Warehouse, replace_partitions
 from skyledger.streaming.metrics import observed
 
@@ -29,15 +30,15 @@ def staging_sink(staging: str, rejects: str) -> BatchSink:
 
     def write(rows: DataFrame, stream: str, batch_id: int) -> None:
         of_batch = {"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("long")}
-        # two writes from one batch: without this it would be read and decoded twice
-        rows.persist()
-        try:
-            good, rejected = split_rejects(rows)
+        # two writes from one batch: without this it would be read and decoded twice. The text of
+        # a good row is not looked at, so the table is far smaller than the batch
+        text = F.when(F.col("reject_reason").isNotNull(), F.col("raw")).alias("raw")
+        with scratch_tables(rows.sparkSession):
+            decoded = materialize(rows.select(*STAGED.fieldNames(), "reject_reason", text))
+            good, rejected = split_rejects(decoded)
             rejected = rejected.select(F.col("reject_reason").alias("reason"), "raw")
             for part, path in ((rejected, rejects), (good.select(STAGED.fieldNames()), staging)):
                 replace_partitions(part.withColumns(of_batch), path, *of_batch)
-        finally:
-            rows.unpersist()
 
     return write
 

@@ -179,3 +179,20 @@ def test_connector_options():
         "format": "jdbc", "mode": "append",
         "options": {"url": "jdbc:x", "dbtable": "t", "batchsize": "5000",
                     "isolationLevel": "READ_COMMITTED", "user": "u", "password": "p"}}
+
+
+def test_an_arrival_has_files_for_every_task_and_is_one_batch(spark, place, tmp_path):
+    from skyledger.catalog.queries import _send_by_day
+
+    spark.sql("""SELECT id AS event_id, timestamp_ntz'2024-01-03 00:00:00' AS ts, id AS user_id,
+        'view' AS event_type, 1.0D AS value, '{"k": 1}' AS props FROM range(0, 8, 1, 2)
+    """).write.parquet(str(tmp_path / "events.parquet"))
+    topic = _send_by_day(spark, str(tmp_path), str(tmp_path / "sent"))(0)
+    assert len(spark.read.parquet(topic).inputFiles()) == 2
+    house = place[0]
+    start_ingest(
+        read_messages(spark, {}, fmt="parquet", path=topic),
+        staging_sink(house.staging_path, house.rejects_path), str(tmp_path / "all"),
+        trigger={"availableNow": True}).awaitTermination()
+    assert len(house.staged_batches()) == 1 and house.staged().count() == 8
+    assert len(house.staged().inputFiles()) == 2
