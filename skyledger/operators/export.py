@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from skyledger.operators.dims import route_names
 from skyledger.operators.joins import lookup_join, measured_bytes
+from skyledger.operators.keys import assign_ids
 from skyledger.schemas import EXPORT_COLUMNS
 
 _FACT_COLUMNS = [c for c in EXPORT_COLUMNS if not c.endswith("_name")]
@@ -123,8 +124,10 @@ def load_page(
     target: int,
     limit: int | None,
 ) -> DataFrame:
-    """Next fact rows up to the load ``target`` in the order of load, ingest time and key.
+    """Next fact rows up to the load ``target`` by load, ingest time and key, unsorted.
 
+    With a limit the loads and hours before the one that completes it come whole; only the rows
+    of that hour are numbered, by ``assign_ids``, which writes them to the shared folder.
     ``after`` is the load, time and key of the last row that is out; without a key all rows of
     its load are. A row stored late has the number of its load, whatever its ingest time: it
     comes out once. The plain bounds on ``load_id`` are what the file statistics can use.
@@ -151,9 +154,15 @@ def load_page(
         F.struct("load_id", "hour").alias("at"),
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
     ).where(F.col("before") < limit)
-    last_needed = needed.agg(F.max("at")).scalar()
-    return rows.where(F.struct("load_id", hour) <= last_needed).orderBy(
-        "load_id", "ingest_time", "flight_key").limit(limit)
+    last = needed.agg(F.max(F.struct("at", "before")).alias("last")).select(
+        "last.at", "last.before")
+    at = F.struct("load_id", hour)
+    whole = rows.where(at < last.select("at").scalar())
+    # a page may be a third of the table: a limit would take all of it through one task
+    cut = assign_ids(rows.where(at == last.select("at").scalar()), "_place",
+                     ["load_id", "ingest_time", "flight_key"])
+    room = F.lit(limit) - last.select("before").scalar()
+    return whole.unionByName(cut.where(F.col("_place") <= room).drop("_place"))
 
 
 def max_ingest(fact: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.export import denormalize, full_extract, load_page, newest_first
+from skyledger.session import scratch_tables
 from skyledger.sources.connect import write_extract
 from skyledger.sources.files import Folder
 from skyledger.sources.store import Warehouse
@@ -74,17 +75,18 @@ def export_delta(
         return 0
     after = last and (last["load_id"], last["ingest_time"], last["flight_key"])
     number = last["export_id"] + 1 if last else 1
-    page = load_page(house.fact(), after, target, limit).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        end = page.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.max(F.struct("load_id", "ingest_time", "flight_key")).alias("last"),
-        ).first()
-        if end["rows"]:
-            frame = denormalize(page, *_dimensions(house, target)).orderBy(*newest_first())
-            write_extract(frame, f"{path}/export_id={number}", fmt)
-    finally:
-        page.unpersist()
+    with scratch_tables(spark):
+        page = load_page(house.fact(), after, target, limit).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            end = page.agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.max(F.struct("load_id", "ingest_time", "flight_key")).alias("last"),
+            ).first()
+            if end["rows"]:
+                frame = denormalize(page, *_dimensions(house, target)).orderBy(*newest_first())
+                write_extract(frame, f"{path}/export_id={number}", fmt)
+        finally:
+            page.unpersist()
     if limit is not None and end["rows"] == limit:
         place = end["last"].asDict()
     else:
