@@ -416,7 +416,7 @@ def airport_upsert_icao(spark, sf_dir):
 @query
 def airport_quarantine(spark, sf_dir):
     """Airports set aside by two loads, after old snapshots are gone."""
-    house, _ = _loaded(spark, sf_dir, (1, 2))
+    house = _loaded(spark, sf_dir, (1, 2))
     house.drop_old_snapshots(keep=1)
     return house.quarantine()
 
@@ -585,25 +585,29 @@ def export_delta_sql(spark, sf_dir):
 # jobs ------------------------------------------------------------------------------------
 
 
-def _stage(house: Warehouse, rows: DataFrame, batch: int) -> None:
-    arrived = rows.where(F.col("batch_id") == batch).select(*STAGED.fieldNames(), "batch_id")
+def _stage(house: Warehouse, rows: DataFrame) -> None:
+    """Each batch of the rows as a partition of staging, all by one write."""
+    arrived = rows.select(*STAGED.fieldNames(), "batch_id")
     replace_partitions(arrived.withColumn("stream", F.lit("orders")), house.staging_path,
                        "stream", "batch_id")
 
 
+def _load(house: Warehouse, batch: int) -> None:
+    run_load(house.spark, house.root, batches=[("orders", batch)])
+
+
 def _staging_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(order_staging(spark, sf_dir).withColumns(
-        {"arr_eta_delta_min": F.lit(None).cast("double"), "partial_parse": F.lit(False)}))
+    return order_staging(spark, sf_dir).withColumns(
+        {"arr_eta_delta_min": F.lit(None).cast("double"), "partial_parse": F.lit(False)})
 
 
-def _loaded(spark: SparkSession, sf_dir: str, batches: tuple) -> tuple[Warehouse, DataFrame]:
-    """A warehouse with one load per batch, and the rows of all batches."""
+def _loaded(spark: SparkSession, sf_dir: str, batches: tuple) -> Warehouse:
+    """A warehouse with all batches staged and one load for each of ``batches``."""
     house = Warehouse(spark, scratch_dir(spark, "warehouse"))
-    rows = _staging_rows(spark, sf_dir)
+    _stage(house, _staging_rows(spark, sf_dir))
     for batch in batches:
-        _stage(house, rows, batch)
-        run_load(spark, house.root)
-    return house, rows
+        _load(house, batch)
+    return house
 
 
 def _frame(house: Warehouse) -> DataFrame:
@@ -615,15 +619,14 @@ def _frame(house: Warehouse) -> DataFrame:
 @query
 def warehouse_load(spark, sf_dir):
     """Two loads through the store, then the export frame of the published tables."""
-    house, _ = _loaded(spark, sf_dir, (1, 2))
+    house = _loaded(spark, sf_dir, (1, 2))
     return _frame(house)
 
 
 @query
 def load_failure(spark, sf_dir):
     """A second load that stops before it stores leaves the first state; a retry goes on."""
-    house, rows = _loaded(spark, sf_dir, (1,))
-    _stage(house, rows, 2)
+    house = _loaded(spark, sf_dir, (1,))
     with scratch_tables(spark):
         prepare_load(house)
     failed = materialize(_frame(house).withColumn("state", F.lit("failed")))
@@ -642,10 +645,9 @@ _EXPORT_SCHEMA = ", ".join(
 @query
 def job_export_full(spark, sf_dir):
     """The full extract of the default call after each of two loads, read back from its files."""
-    house, rows = _loaded(spark, sf_dir, (1,))
+    house = _loaded(spark, sf_dir, (1,))
     out = f"{house.root}/extract"
     export_full_job(spark, house.root, out)
-    _stage(house, rows, 2)
     run_load(spark, house.root)
     count = export_full_job(spark, house.root, out)
     last = house.last_export("full")
@@ -658,11 +660,10 @@ def job_export_full(spark, sf_dir):
 @query
 def job_export_delta(spark, sf_dir):
     """Pages until nothing is left, after each of two loads: all pages, read back."""
-    house, rows = _loaded(spark, sf_dir, ())
+    house = _loaded(spark, sf_dir, ())
     pages = []
     for batch in (1, 2):
-        _stage(house, rows, batch)
-        run_load(spark, house.root)
+        _load(house, batch)
         limit = house.fact().count() // 3 + 1
         out = f"{house.root}/delta{batch}"
         while export_delta_job(spark, house.root, out, limit, "parquet"):
@@ -678,11 +679,10 @@ def job_export_late(spark, sf_dir):
     house = Warehouse(spark, scratch_dir(spark, "warehouse"))
     late = F.col("dep_terminal") == "1-URGENT"
     arrival = F.when((F.col("batch_id") == 1) & ~late, 1).otherwise(2).cast("long")
-    rows = materialize(_staging_rows(spark, sf_dir).withColumn("batch_id", arrival))
+    _stage(house, _staging_rows(spark, sf_dir).withColumn("batch_id", arrival))
     pages = []
     for batch in (1, 2):
-        _stage(house, rows, batch)
-        run_load(spark, house.root)
+        _load(house, batch)
         out = f"{house.root}/delta{batch}"
         export_delta_job(spark, house.root, out, fmt="parquet")
         read = spark.read.schema(_EXPORT_SCHEMA).parquet(f"{out}/export_id=*")
@@ -694,7 +694,7 @@ def job_export_late(spark, sf_dir):
 @query
 def job_export_empty(spark, sf_dir):
     """Rows that exports write before anything is loaded, after a load, and with nothing new."""
-    house, rows = _loaded(spark, sf_dir, ())
+    house = Warehouse(spark, scratch_dir(spark, "warehouse"))
     counts = []
 
     def export(step: str) -> None:
@@ -704,7 +704,7 @@ def job_export_empty(spark, sf_dir):
                            bool(house.folder.names(f"{kind}/export_id=*"))))
 
     export("empty")
-    _stage(house, rows, 1)
+    _stage(house, _staging_rows(spark, sf_dir).where("batch_id = 1"))
     run_load(spark, house.root)
     export("loaded")
     export("again")

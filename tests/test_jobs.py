@@ -327,6 +327,19 @@ def test_limits_do_not_sort_the_whole_fact(spark, house, stage):
         below = plan[plan.index("GlobalLimit"):] if "GlobalLimit" in plan else plan
         assert "scalar-subquery" in below
 
+
+def test_a_page_of_a_delta_takes_no_limit_through_one_task(spark, house, stage):
+    from skyledger.operators.export import load_page
+
+    stage(0, *flights(0, 1, 1, 1, 2, 2, 5))
+    run_load(spark, house.root)
+    order = ["load_id", "ingest_time", "flight_key"]
+    for limit in (1, 3, 4, 9):
+        page = load_page(house.fact(), None, 1, limit)
+        assert "GlobalLimit" not in page._jdf.queryExecution().optimizedPlan().toString()
+        assert tuples(page, *order) == tuples(house.fact().orderBy(*order).limit(limit), *order)
+
+
 def test_empty_warehouse_writes_nothing(spark, house, tmp_path):
     assert export_full(spark, house.root, str(tmp_path / "full")) == 0
     assert export_delta(spark, house.root, str(tmp_path / "delta")) == 0
@@ -404,3 +417,21 @@ def test_a_delta_that_fails_is_written_again(spark, house, stage, tmp_path, monk
             export_delta(spark, house.root, out)
     assert export_delta(spark, house.root, out) == 2
     assert len(delta_keys(spark, out, 1)) == 2
+
+
+def test_all_batches_are_staged_by_one_write_and_loaded_one_by_one(
+        spark, house, staged, monkeypatch):
+    from skyledger.catalog import queries
+
+    writes = []
+    plain = queries.replace_partitions
+    monkeypatch.setattr(queries, "replace_partitions",
+                        lambda *a: writes.append(a[1]) or plain(*a))
+    rows = staged(*flights(0, 1)).withColumn(
+        "batch_id", F.when(F.col("flight_key").startswith("F0"), 1).otherwise(2).cast("long"))
+    queries._stage(house, rows)
+    assert writes == [house.staging_path]
+    assert house.staged_batches() == [("orders", 1), ("orders", 2)]
+    queries._load(house, 1)
+    assert house.pending_batches() == [("orders", 2)]
+    assert house.fact().count() == 1
