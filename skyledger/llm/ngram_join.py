@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.graph import components
@@ -360,23 +360,19 @@ def _grouped(slim, words, similarity, recall, band_rows, block_texts, block_byte
     """
     bands = bands_for(similarity, recall, band_rows)
     signed, classes = _classes(slim, words, bands, band_rows)
-    spread = classes.select("uid", "bytes", F.posexplode("bands").alias("band", "hash"))
-    first, later = F.col("band") < FIRST_BANDS, F.col("band") >= FIRST_BANDS
-    compared = materialize(_buckets(spread.where(first), block_bytes))
-    near = materialize(_found(signed, classes, spread.where(first), compared, words, similarity,
-                              block_texts, block_bytes))
+    met = materialize(_met(classes))
+    first, later = met.where(F.col("band") < FIRST_BANDS), met.where(F.col("band") >= FIRST_BANDS)
+    compared = materialize(_buckets(first, block_bytes))
+    near = materialize(_found(signed, classes, first, compared, words, similarity, block_texts,
+                              block_bytes))
     groups = materialize(components(_edges(near, similarity)))
-    # joined per text, before its bands are rows
-    known = classes.select("uid", "bytes", "bands").join(
-        groups.withColumnRenamed("node", "uid"), "uid", "left").select(
-        "uid", "bytes", F.coalesce("component", "uid").alias("group"),
-        F.posexplode("bands").alias("band", "hash")).where(later)
+    known = later.join(groups.withColumnRenamed("node", "uid"), "uid", "left").withColumn(
+        "group", F.coalesce("component", "uid"))
     settled = F.min("group") == F.max("group")
     # nor is one with the same texts as a bucket of the first bands
     open_ = materialize(_buckets(known, block_bytes, ~settled).join(
         compared.select("n", "texts"), ["n", "texts"], "left_anti"))
-    far = _found(signed, classes, spread.where(later), open_, words, similarity, block_texts,
-                 block_bytes)
+    far = _found(signed, classes, later, open_, words, similarity, block_texts, block_bytes)
     parts = components(
         groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(
             _edges(materialize(far), similarity)))
@@ -395,10 +391,10 @@ def _joined(slim, words, similarity, recall, band_rows, block_texts, block_bytes
     between texts lead to, null without words. A text goes by the smallest uid that has it."""
     bands = bands_for(similarity, recall, band_rows)
     signed, classes = _classes(slim, words, bands, band_rows)
-    spread = classes.select("uid", "bytes", F.posexplode("bands").alias("band", "hash"))
-    buckets = materialize(_buckets(spread, block_bytes))
+    met = materialize(_met(classes))
+    buckets = materialize(_buckets(met, block_bytes))
     found = materialize(_found(
-        signed, classes, spread, buckets, words, similarity, block_texts, block_bytes))
+        signed, classes, met, buckets, words, similarity, block_texts, block_bytes))
     return _linked(signed, classes, _all_links(found, similarity))
 
 
@@ -414,7 +410,17 @@ def _classes(slim: DataFrame, words: int, bands: int, band_rows: int) -> tuple:
     return signed, classes
 
 
-def _buckets(spread: DataFrame, block_bytes: int, wanted: Column | None = None) -> DataFrame:
+def _met(classes: DataFrame) -> DataFrame:
+    """Texts and their band hashes (uid, bytes, band, hash), those without another text left out.
+
+    All bands are shuffled here, once; what follows reads only the texts that meet another.
+    """
+    spread = classes.select("uid", "bytes", F.posexplode("bands").alias("band", "hash"))
+    texts = F.count(F.lit(1)).over(Window.partitionBy("band", "hash"))
+    return spread.withColumn("n", texts).where("n > 1").drop("n")
+
+
+def _buckets(met: DataFrame, block_bytes: int, wanted: Column | None = None) -> DataFrame:
     """A bucket per band hash of several texts; of buckets with the same texts the first.
 
     ``wanted`` is a condition on the texts of a bucket.
@@ -422,7 +428,7 @@ def _buckets(spread: DataFrame, block_bytes: int, wanted: Column | None = None)
     # a text larger than a block is cut, so its part counts as one
     part = F.least("bytes", F.lit(block_bytes))
     return (
-        spread.groupBy("band", "hash").agg(
+        met.groupBy("band", "hash").agg(
             F.count(F.lit(1)).alias("n"), F.sum(part).alias("bytes"),
             F.max("bytes").alias("most"),
             F.sum(F.xxhash64("uid").cast("decimal(38,0)")).alias("texts"),
@@ -433,13 +439,13 @@ def _buckets(spread: DataFrame, block_bytes: int, wanted: Column | None = None)
     )
 
 
-def _found(signed, classes, spread, buckets, words, similarity, block_texts,
+def _found(signed, classes, met, buckets, words, similarity, block_texts,
            block_bytes) -> DataFrame:
     """What ``_bucket_links`` finds in the buckets."""
     blocks = F.greatest(F.ceil(F.col("n") / block_texts), F.ceil(F.col("bytes") / block_bytes))
     ranges = F.ceil(F.col("most") / block_bytes)
     members = (
-        spread.drop("bytes").join(buckets.drop("texts"), ["band", "hash"])
+        met.drop("bytes").join(buckets.drop("texts"), ["band", "hash"])
         .groupBy("uid")
         .agg(F.collect_list(F.struct("band", "hash", blocks.cast("int").alias("blocks"),
                                      ranges.cast("int").alias("ranges"))).alias("buckets"))

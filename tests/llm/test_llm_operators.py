@@ -364,6 +364,32 @@ def test_one_row_of_each_group(spark):
         (None, None, 0, None): 1}
 
 
+@pytest.mark.parametrize("join", [ngram_join.join_ngrams, ngram_join.one_of_each])
+def test_join_makes_rows_of_all_bands_once(spark, texts, monkeypatch, join):
+    plans = []
+    plain = ngram_join.materialize
+
+    def watched(df, *args, **kw):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, *args, **kw)
+
+    monkeypatch.setattr(ngram_join, "materialize", watched)
+    texts = near_copies(dict(list(texts.items())[:50]))
+    join(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert sum("posexplode" in plan for plan in plans) == 1
+
+
+def test_texts_that_meet_no_other_are_left_out(spark):
+    rows = [(1, 8, [5, 6]), (2, 16, [5, 7]), (3, 8, [6, 5]), (4, 8, [5, 7])]
+    classes = spark.createDataFrame(rows, "uid long, bytes long, bands array<long>")
+    met = ngram_join._met(classes).select("band", "hash", "uid", "bytes").collect()
+    met = sorted(map(tuple, met))
+    assert met == [(0, 5, 1, 8), (0, 5, 2, 16), (0, 5, 4, 8), (1, 7, 2, 16), (1, 7, 4, 8)]
+    buckets = ngram_join._buckets(ngram_join._met(classes), 10).collect()
+    assert sorted((b["band"], b["hash"], b["n"], b["bytes"], b["most"]) for b in buckets) == [
+        (0, 5, 3, 26, 16), (1, 7, 2, 18, 16)]
+
+
 def test_bands_reach_recall():
     bands = ngram_join.bands_for(0.8, 0.999999, 5)
     assert 1 - (1 - 0.8**5) ** bands >= 0.999999 > 1 - (1 - 0.8**5) ** (bands - 1)
